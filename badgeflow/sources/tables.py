@@ -77,9 +77,9 @@ class Layout:
         empty("ingest_log", schemas.INGEST_LOG_FILES, "batch_id")
         empty("run_log", schemas.RUN_LOG_FILES, "batch_id")
         empty_readers(spark).write.mode("ignore").parquet(self.path("dim_readers"))
-        seed_zones(spark, as_of).write.mode("ignore").parquet(self.path("dim_zones"))
+        seed_zones(spark, as_of).coalesce(1).write.mode("ignore").parquet(self.path("dim_zones"))
         seeds = seed_users(spark, as_of).withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint"))
-        seeds.write.mode("ignore").partitionBy("batch_id").parquet(self.path("dim_users"))
+        seeds.coalesce(1).write.mode("ignore").partitionBy("batch_id").parquet(self.path("dim_users"))
         return self
 
     def append_raw(self, raw: DataFrame) -> None:

@@ -360,13 +360,14 @@ _STATEMENTS = {
         redelivery AS batch_id FROM raw""",
     "fact_load_incremental": f"{_FACT} (SELECT * EXCLUDE (source) FROM any_facts WHERE source = 'stream')",
     "ingestion_metrics_stream": """
-      SELECT date_trunc('hour', ingestion_time) AS window_start,
-        date_trunc('hour', ingestion_time) + INTERVAL 1 HOUR AS window_end, count(*) AS event_count,
-        count(*) FILTER (signal_quality = 'WEAK') AS weak_signal_count,
-        count(*) FILTER (direction = 'ENTRY') AS entry_count, count(*) FILTER (direction = 'EXIT') AS exit_count,
-        count(*) FILTER (direction = 'ENTRY') - count(*) FILTER (direction = 'EXIT') AS net_occupancy_change
-      FROM raw GROUP BY ALL
-      HAVING window_end <= (SELECT max(ingestion_time) - INTERVAL 10 MINUTE FROM raw)""",
+      SELECT hour AS window_start, hour + INTERVAL 1 HOUR AS window_end, event_count, weak_signal_count,
+        entry_count, exit_count, entry_count - exit_count AS net_occupancy_change
+      FROM (SELECT date_trunc('hour', ingestion_time) AS hour, count(*) AS event_count,
+              count(*) FILTER (signal_quality = 'WEAK') AS weak_signal_count,
+              count(*) FILTER (direction = 'ENTRY') AS entry_count,
+              count(*) FILTER (direction = 'EXIT') AS exit_count
+            FROM raw GROUP BY 1)
+      WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ingestion_time) - INTERVAL 10 MINUTE FROM raw)""",
     "stream_dedup_first": "SELECT DISTINCT badge_id, event_timestamp FROM raw",
 }
 

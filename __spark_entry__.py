@@ -1,9 +1,8 @@
 """Queries of the pipeline on the given tables, and the same results as DuckDB SQL.
 
-Badge messages are derived from the whole ``events`` table (FIXTURES.md). Raw rows, logs and
-single operators are computed from it directly. Queries over staging, users and facts read
-tables that the pipeline itself has loaded into the shared folder, once per application and
-input, as they would in operation.
+Badge messages and logs are derived from the whole ``events`` table (FIXTURES.md). Queries over
+raw, staging, users and facts read tables that the pipeline itself has loaded into the shared
+folder, once per application and input, as they would in operation.
 """
 
 from __future__ import annotations
@@ -56,15 +55,6 @@ class Inputs:
     def decoded(self) -> DataFrame:
         return fixture.decoded_messages(self.events)
 
-    @property
-    def raw(self) -> DataFrame:
-        return messages.shape_events(self.decoded)
-
-    @property
-    def staged(self) -> DataFrame:
-        """Staging computed, not read."""
-        return staging.stage(self.raw, _staging_time())
-
     @property
     def seed_users(self) -> DataFrame:
         return seeds.seed_users(self.spark, AS_OF)
@@ -89,9 +79,14 @@ class Inputs:
     @cached_property
     def loaded(self) -> Layout:
         layout = Layout(work_dir(self.spark, "tables")).create(self.spark, AS_OF)
-        process_batch(self.spark, layout, self.raw, 0, AS_OF, _staging_time(), _load_time())
+        layout.append_raw(messages.shape_events(self.decoded))
+        process_batch(self.spark, layout, layout.raw(self.spark), 0, AS_OF, _staging_time(), _load_time())
         return layout
 
+    @property
+    def raw(self) -> DataFrame:
+        return self.loaded.raw(self.spark)
+
     @property
     def staging(self) -> DataFrame:
         return self.loaded.staging(self.spark).drop("batch_id", "load_date")
@@ -163,7 +158,7 @@ def _portable(df: DataFrame) -> DataFrame:
 def _ingest_stream(i: Inputs) -> DataFrame:
     layout = Layout(work_dir(i.spark, "ingest"))
     lines = layout.path("messages")
-    fixture.messages(i.events).write.text(lines)
+    fixture.messages(i.events).select("value").write.text(lines)
     ingest.ingest(i.spark, lines, layout, fixture.delivered_at()).awaitTermination()
     return layout.raw(i.spark).select(*messages.RAW_COLUMNS)
 
@@ -202,7 +197,7 @@ def _fact_load_incremental(i: Inputs) -> DataFrame:
 
 
 def _rejects(i: Inputs) -> DataFrame:
-    decoded = messages.decode_messages(fixture.messages(i.events), fixture.delivered_at())
+    decoded = messages.decode_messages(fixture.messages(i.events), F.col("timestamp"))
     return messages.rejected_events(decoded).withColumn(
         "broken_rules", F.array_join("broken_rules", "; ")
     )
@@ -248,20 +243,18 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "fact_date_slice": _fact_date_slice,
     "staging_retention": lambda i: staging.retained(i.loaded.staging(i.spark), AS_OF).drop("batch_id", "load_date"),
     # parsing
-    "ingest_parse": lambda i: messages.parse_messages(fixture.messages(i.events), fixture.delivered_at()),
+    "ingest_parse": lambda i: messages.parse_messages(fixture.messages(i.events), F.col("timestamp")),
     "ingest_rejects": _rejects,
     "signal_quality": _signal_quality,
     # staging, dimensions, facts
-    "stage_dedup": lambda i: i.staged,
-    "latest_rows_for_badge": lambda i: staging.latest_rows_for_badge(i.raw, BADGE),
+    "stage_dedup": lambda i: staging.stage(i.raw, _staging_time()),
+    "latest_rows_for_badge": lambda i: staging.latest_rows_for_badge(i.raw, BADGE).select(*messages.RAW_COLUMNS),
     "dim_users_merge": lambda i: users.merge_users(i.staging, i.seed_users, AS_OF),
     "scd2_apply": _scd2,
     "fact_time_parts": lambda i: facts.with_time_parts(i.staging).select(
         *staging.EVENT_KEY, "event_date", "event_hour", "event_day_of_week", "is_after_hours", "is_weekend"
     ),
-    "fact_load": lambda i: facts.enrich(i.staging, i.users, i.zones, None, _load_time()).withColumn(
-        "event_key", F.col("event_key").cast("string")
-    ),
+    "fact_load": lambda i: facts.enrich(i.staging, i.users, i.zones, None, _load_time()).drop("event_key"),
     "unmapped_zones": lambda i: facts.unmapped_zones(i.staging, i.zones),
     # monitoring
     "ingestion_metrics": lambda i: m.ingestion_metrics(i.raw, AS_OF),

@@ -41,7 +41,11 @@ def truncated(unit: str, column: Column) -> Column:
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Number of second boundaries between two timestamps (00.9 to 02.1 is 2)."""
-    return F.timestamp_diff("SECOND", truncated("second", start), truncated("second", end))
+
+    def whole_seconds(column: Column) -> Column:
+        return F.unix_seconds(column.cast("timestamp"))
+
+    return whole_seconds(end) - whole_seconds(start)
 
 
 def weekday(column: Column) -> Column:

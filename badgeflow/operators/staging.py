@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from badgeflow import schemas
 from badgeflow.functions.clock import AsOf, ago, instant, since
 
-EVENT_KEY = ["badge_id", "event_timestamp"]
+# The time comes first: sorts then compare longs, where badge ids often share a long prefix.
+EVENT_KEY = ["event_timestamp", "badge_id"]
 EVENT_COLUMNS = [c for c in schemas.STAGING.fieldNames() if c != "staging_time"]
 
 

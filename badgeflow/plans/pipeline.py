@@ -6,22 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.constants import RAW_TABLE
-from badgeflow.functions.clock import AsOf, instant
+from badgeflow.functions.clock import AsOf
 from badgeflow.operators.facts import enrich
 from badgeflow.operators.staging import stage
 from badgeflow.operators.users import new_users
 from badgeflow.sources.tables import Layout
 
 
-def write_staging(
-    spark: SparkSession, layout: Layout, batch: DataFrame, batch_id: int, staging_time: AsOf = None
-) -> None:
-    staged = stage(batch, staging_time).withColumn("load_date", F.to_date("staging_time"))
-    layout.replace_batch(staged, "staging", batch_id, "load_date")
-
-
 def write_ingest_log(
-    spark: SparkSession, layout: Layout, batch: DataFrame, batch_id: int, credits_per_row: float = 0.0
+    layout: Layout, batch: DataFrame, batch_id: int, credits_per_row: float = 0.0
 ) -> None:
     """One log row per arrival time of the batch."""
     log = batch.groupBy(F.col("ingestion_time").alias("end_time")).agg(
@@ -71,10 +64,10 @@ def process_batch(
     fact_load_time: AsOf = None,
 ) -> str:
     """Stage a batch, add its unknown users, load its facts. Safe to repeat."""
-    write_staging(spark, layout, batch, batch_id, instant(as_of) if staging_time is None else staging_time)
+    layout.replace_staging(stage(batch, as_of if staging_time is None else staging_time), batch_id)
     staged = layout.staging(spark).where(F.col("batch_id") == batch_id)
     merge_batch_users(spark, layout, staged, batch_id, as_of)
-    load_facts(spark, layout, staged, instant(as_of) if fact_load_time is None else fact_load_time)
+    load_facts(spark, layout, staged, as_of if fact_load_time is None else fact_load_time)
     return "COMPLETED"
 
 

@@ -250,19 +250,15 @@ def ingestion_latency(fact: DataFrame) -> DataFrame:
     Everything is computed from the number of facts per whole second of latency, which Spark
     adds up before it shuffles.
     """
-    counts = fact.where(F.col("fact_load_time").isNotNull()).groupBy(
-        fact_latency().alias("latency")
-    ).agg(F.count("*").alias("n"))
-    median = median_of_counts(
-        counts.where("latency IS NOT NULL"), "latency", "n", MEDIAN_BUCKET_SECONDS
-    ).scalar()
-    known = F.when(F.col("latency").isNotNull(), F.col("n"))
+    known = fact.where("fact_load_time IS NOT NULL AND ingestion_time IS NOT NULL")
+    counts = known.groupBy(fact_latency().alias("latency")).agg(F.count("*").alias("n"))
+    median = median_of_counts(counts, "latency", "n", MEDIAN_BUCKET_SECONDS).scalar()
     return counts.agg(
         F.lit("Ingestion Latency").alias("metric"),
         F.min("latency").alias("min_latency_sec"),
         F.max("latency").alias("max_latency_sec"),
         F.try_divide(
-            F.sum(F.col("latency") * F.col("n")).cast("double"), F.sum(known).cast("double")
+            F.sum(F.col("latency") * F.col("n")).cast("double"), F.sum("n").cast("double")
         ).alias("avg_latency_sec"),
     ).withColumn("median_latency_sec", median)
 

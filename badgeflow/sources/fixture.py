@@ -32,12 +32,14 @@ def decoded_messages(events: DataFrame) -> DataFrame:
     )
     again = F.col("redelivery")
     user_text = F.col("user_id").cast("string")
-    zone = F.element_at(
-        F.array(*map(F.lit, (
-            "ZONE-LOBBY-1", "ZONE-OFFICE-2A", "ZONE-SERVER-B1",
-            "ZONE-CONF-3B", "ZONE-PARKING-1", "ZONE-UNMAPPED",
-        ))),
-        (n % 6 + 1).cast("int"),
+    zone = (
+        F.when(n % 6 == 0, "ZONE-LOBBY-1").when(n % 6 == 1, "ZONE-OFFICE-2A")
+        .when(n % 6 == 2, "ZONE-SERVER-B1").when(n % 6 == 3, "ZONE-CONF-3B")
+        .when(n % 6 == 4, "ZONE-PARKING-1").otherwise("ZONE-UNMAPPED")
+    )
+    # -40 - n % 60 - 5 * again, and half a dBm less for odd n
+    signal = F.concat(
+        F.lit("-"), (n % 60 + 5 * again + 40).cast("string"), F.when(n % 2 == 1, ".5").otherwise(".0")
     )
     direction = F.when(F.col("event_type") == "click", "entry").when(
         F.col("event_type") == "view", "ENTRY"
@@ -51,28 +53,30 @@ def decoded_messages(events: DataFrame) -> DataFrame:
         zone.alias("zone_id"),
         F.concat(F.lit("RDR-"), (n % 6 + 100).cast("string")).alias("reader_id"),
         F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")).alias("event_timestamp"),
-        F.when(n % 11 != 0, -40.0 - n % 60 - 0.5 * (n % 2) - 5.0 * again).alias("signal_strength"),
+        F.when(n % 11 != 0, signal).alias("signal_strength"),
         direction.alias("direction"),
         n,
         "redelivery",
         (F.col("ts") + _seconds(n % 90 + 30 * again)).alias("ingestion_time"),
     )
     message = F.to_json(F.struct(
-        "badge_id", "user_id", "zone_id", "reader_id", "event_timestamp", "signal_strength",
-        "direction", "event_id", "redelivery",
+        "badge_id", "user_id", "zone_id", "reader_id", "event_timestamp",
+        F.col("signal_strength").cast("double").alias("signal_strength"), "direction",
+        "event_id", "redelivery",
         F.replace(F.col("ingestion_time").cast("string"), F.lit(" "), F.lit("T")).alias("delivered_at"),
     ))
-    return fields.withColumn("raw_json", message).withColumn(
-        "signal_strength", F.col("signal_strength").cast("string")
-    )
+    return fields.withColumn("raw_json", message)
 
 
 def messages(events: DataFrame) -> DataFrame:
-    """The JSON messages alone. Arrival time is their extra field ``delivered_at``."""
-    return decoded_messages(events).select(F.col("raw_json").alias("value"))
+    """The JSON messages with the time of their arrival, as a Kafka source would give them."""
+    return decoded_messages(events).select(
+        F.col("raw_json").alias("value"), F.col("ingestion_time").alias("timestamp")
+    )
 
 
 def delivered_at(value: str = "value"):
+    """Arrival time out of the message, for sources that hold nothing else."""
     return F.get_json_object(F.col(value), "$.delivered_at").cast("timestamp_ntz")
 
 

@@ -83,14 +83,20 @@ class Layout:
         return self
 
     def append_raw(self, raw: DataFrame) -> None:
-        raw_files(raw).write.mode("append").partitionBy("ingestion_date").parquet(self.path("raw"))
-
-    def replace_batch(self, rows: DataFrame, table: str, batch_id: int, *partitions: str) -> None:
-        folder = f"{self.path(table)}/batch_id={batch_id}"
-        rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
+        write_by_day(raw_files(raw), "ingestion_date", self.path("raw"))
 
     def append_fact(self, fact: DataFrame) -> None:
-        write_by_date(fact, self.path("fact"))
+        write_by_day(fact, "event_date", self.path("fact"))
+
+    def replace_staging(self, staged: DataFrame, batch_id: int) -> None:
+        rows = staged.withColumn("load_date", F.to_date("staging_time"))
+        write_by_day(rows, "load_date", self._batch("staging", batch_id), "overwrite")
+
+    def replace_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(self._batch(table, batch_id))
+
+    def _batch(self, table: str, batch_id: int) -> str:
+        return f"{self.path(table)}/batch_id={batch_id}"
 
 
 def raw_files(raw: DataFrame) -> DataFrame:
@@ -101,10 +107,10 @@ def raw_files(raw: DataFrame) -> DataFrame:
     })
 
 
-def write_by_date(fact: DataFrame, path: str, mode: str = "append") -> None:
-    """Write the fact in one folder per event date.
+def write_by_day(rows: DataFrame, day: str, path: str, mode: str = "append") -> None:
+    """Write one folder per day.
 
-    The rebalance hint brings a date's rows together so that each folder gets few files, and
-    lets adaptive execution split a date that is too large for one task.
+    The rebalance hint brings a day's rows together so that each folder gets few files, and
+    lets adaptive execution split a day that is too large for one task.
     """
-    fact.hint("rebalance", "event_date").write.mode(mode).partitionBy("event_date").parquet(path)
+    rows.hint("rebalance", day).write.mode(mode).partitionBy(day).parquet(path)

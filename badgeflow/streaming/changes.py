@@ -51,7 +51,7 @@ def batch_handler(
         # a stream's own session has adaptive execution off; the loads need it
         spark, started = configure(batch.sparkSession), _wall_clock()
         try:
-            write_ingest_log(spark, layout, batch, batch_id, credits_per_row)
+            write_ingest_log(layout, batch, batch_id, credits_per_row)
             process_batch(spark, layout, batch, batch_id, as_of, staging_time, fact_load_time)
         except Exception as error:
             _log_run(spark, layout, batch_id, started, error)

@@ -168,9 +168,6 @@ def _counts(labels: tuple[str, str, str]) -> str:
 
 _DAY = "event_day::VARCHAR AS event_date"
 _FACT = f"SELECT * EXCLUDE (event_day), {_DAY} FROM"
-_HIGH = "('0x' || substr(md5(badge_id || '|' || event_timestamp::VARCHAR), 1, 15))::HUGEINT"
-_LOW = "('0x' || substr(md5(badge_id || '|' || event_timestamp::VARCHAR), 16, 15))::HUGEINT"
-_EVENT_KEY = f"({_HIGH} * 1152921504606846976::HUGEINT + {_LOW})::VARCHAR AS event_key"
 _RAW = "SELECT * EXCLUDE (redelivery) FROM raw"
 _GIB = "1073741824.0::DOUBLE"
 
@@ -215,7 +212,7 @@ _STATEMENTS = {
         extract(hour FROM event_timestamp) NOT BETWEEN 6 AND 21 AS is_after_hours,
         extract(dow FROM event_timestamp) IN (0, 6) AS is_weekend
       FROM staging""",
-    "fact_load": f"SELECT * EXCLUDE (event_day), {_DAY}, {_EVENT_KEY} FROM fact",
+    "fact_load": f"{_FACT} fact",
     "unmapped_zones": "SELECT * FROM staging WHERE zone_id NOT IN (SELECT zone_id FROM zones)",
     "ingestion_metrics": f"""
       SELECT date_trunc('hour', ingestion_time) AS ingestion_hour, count(*) AS event_count,

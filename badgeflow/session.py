@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 # Timestamps are kept without a zone; UTC keeps every detour over TIMESTAMP (date_trunc,
 # watermarks) free of daylight-saving gaps. Adaptive execution picks broadcast or shuffle
-# joins from measured sizes and splits hot join keys and oversized write partitions.
+# joins from measured sizes and splits hot join keys and oversized write partitions. Stream
+# state goes to RocksDB: it may outgrow the executors' heap.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

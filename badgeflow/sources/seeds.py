@@ -71,4 +71,4 @@ def seed_zones(spark: SparkSession, as_of: AsOf = None) -> DataFrame:
 
 def empty_readers(spark: SparkSession) -> DataFrame:
     """The reader dimension has a schema but no seed rows."""
-    return spark.createDataFrame([], schemas.READERS)
+    return fill_columns(spark.range(0).select(), schemas.READERS, {})

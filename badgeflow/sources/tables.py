@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from badgeflow import schemas
 from badgeflow.functions.clock import AsOf
-from badgeflow.sources.seeds import empty_readers, seed_users, seed_zones
+from badgeflow.sources.seeds import fill_columns, seed_users, seed_zones
 
 SEED_BATCH = -1
 
@@ -68,7 +68,7 @@ class Layout:
         """Empty tables and seeded dimensions; a table that exists is left alone."""
 
         def empty(table: str, schema: StructType, *partitions: str) -> None:
-            rows = spark.createDataFrame([], schema)
+            rows = fill_columns(spark.range(0).select(), schema, {})
             rows.write.mode("ignore").partitionBy(*partitions).parquet(self.path(table))
 
         empty("raw", schemas.RAW_FILES, "ingestion_date")
@@ -76,13 +76,21 @@ class Layout:
         empty("fact", schemas.FACT, "event_date")
         empty("ingest_log", schemas.INGEST_LOG_FILES, "batch_id")
         empty("run_log", schemas.RUN_LOG_FILES, "batch_id")
-        empty_readers(spark).write.mode("ignore").parquet(self.path("dim_readers"))
+        empty("dim_readers", schemas.READERS)
         seed_zones(spark, as_of).coalesce(1).write.mode("ignore").parquet(self.path("dim_zones"))
         seeds = seed_users(spark, as_of).withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint"))
         seeds.coalesce(1).write.mode("ignore").partitionBy("batch_id").parquet(self.path("dim_users"))
         return self
 
     def append_raw(self, raw: DataFrame) -> None:
+        """Append a batch to raw, where no stream writes.
+
+        Once a stream has written to a folder, Spark lists the stream's files only.
+        """
+        log = raw.sparkSession._jvm.org.apache.hadoop.fs.Path(self.path("raw"), "_spark_metadata")
+        files = log.getFileSystem(raw.sparkSession._jsc.hadoopConfiguration())
+        if files.exists(log):
+            raise RuntimeError("a stream writes to this raw folder; send the rows through it")
         write_by_day(raw_files(raw), "ingestion_date", self.path("raw"))
 
     def append_fact(self, fact: DataFrame) -> None:

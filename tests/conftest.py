@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]").appName("badgeflow-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "4")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

@@ -1,7 +1,7 @@
 import pytest
 from badgeflow.operators.facts import enrich
 from badgeflow.operators.staging import EVENT_KEY, stage
-from badgeflow.plans import pipeline
+from badgeflow.plans import pipeline, views
 from badgeflow.plans.quality import orphan_keys, staging_duplicates
 from badgeflow.sources.messages import parse_messages
 from badgeflow.sources.seeds import seed_users, seed_zones
@@ -149,3 +149,31 @@ def test_first_arrival_stays_across_batches(spark, layout, tmp_path):
     layout.append_raw(raw(spark, raw_row(direction="EXIT", arrived="2024-01-10T10:05:00")))
     found = drained(spark, live.first_arrivals(layout.raw_stream(spark)), tmp_path)
     assert [r.direction for r in found.collect()] == ["ENTRY"]
+
+
+def test_views_and_checks_by_name(spark, layout):
+    layout.append_raw(raw(spark, *map(event, range(12))))
+    follow(spark, layout)
+    names = views.register(spark, layout, changes.DATABASE, as_of="2024-01-14 11:00:00")
+    assert len(names) == 12
+    for name in names:
+        spark.table(name).collect()
+    counts = spark.sql("SELECT sum(event_count) FROM V_INGESTION_METRICS").first()[0]
+    assert counts == 2  # the last 24 hours hold minutes 4 and 9 of the 14th
+    joined = spark.sql(
+        "SELECT count(*) FROM FCT_ACCESS_EVENTS f JOIN DIM_USERS u ON f.user_key = u.user_key "
+        "JOIN DIM_ZONES z ON f.zone_key = z.zone_key")
+    assert joined.first()[0] == 12
+    results = {n: rows(df) for n, df in views.run_checks(spark, layout, changes.DATABASE, "badge_%").items()}
+    assert results["layer_row_counts"] == [("RAW Layer", 12), ("STAGING Layer", 12), ("ANALYTICS Layer", 12)]
+    assert results["pending_status"][0][1] == "false"
+    assert [r[1] for r in results["recent_runs"]] == ["SUCCEEDED"]
+    assert results["staging_duplicates"] == results["dimension_duplicates"] == results["orphan_keys"] == []
+
+
+def test_batch_append_next_to_a_stream_is_refused(spark, layout, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(message() + "\n")
+    ingest.ingest(spark, str(tmp_path / "in"), layout, AS_OF).awaitTermination()
+    with pytest.raises(RuntimeError):
+        layout.append_raw(raw(spark, event(1)))

@@ -33,7 +33,9 @@ def with_dense_keys(rows: DataFrame, id_column: str, key_column: str, start: Col
     inside each, and shifted by the size of the buckets before it. Only the bucket sizes
     (at most 4096 rows) meet in one task and are broadcast.
     """
-    spread = rows.withColumn("_bucket", F.substring(F.md5(F.col(id_column)), 1, BUCKET_DIGITS))
+    # never null: the join below then adds no filter, and both uses of the rows are one shuffle
+    bucket = F.coalesce(F.substring(F.md5(F.col(id_column)), 1, BUCKET_DIGITS), F.lit(""))
+    spread = rows.withColumn("_bucket", bucket)
     sizes = spread.groupBy("_bucket").agg(F.count("*").alias("_size"))
     earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))

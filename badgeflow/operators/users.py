@@ -57,8 +57,10 @@ def apply_user_changes(
     over the one being read.
     """
     now = instant(as_of)
+    # the filter makes both uses of the changes equal, so that Spark shuffles them once
     wanted = latest_per_key(
-        changes.select("user_id", "changed_at", *attributes), ["user_id"], "changed_at"
+        changes.select("user_id", "changed_at", *attributes).where("user_id IS NOT NULL"),
+        ["user_id"], "changed_at",
     ).select("user_id", *[F.col(a).alias(f"_new_{a}") for a in attributes], F.lit(True).alias("_given"))
 
     differs = reduce(

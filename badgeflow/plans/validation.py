@@ -225,7 +225,8 @@ def median_of_counts(counts: DataFrame, value: str, weight: str, width: int) ->
     Values are first counted in buckets ``width`` wide. Only the bucket or two that hold the
     middle ranks are looked at row by row, each of at most ``width`` distinct values.
     """
-    bucketed = counts.withColumn("_bucket", F.floor(F.col(value) / width))
+    # never null: the join below then adds no filter, and all uses of the counts are one shuffle
+    bucketed = counts.withColumn("_bucket", F.coalesce(F.floor(F.col(value) / width), F.lit(0)))
     totals = bucketed.groupBy("_bucket").agg(F.sum(weight).alias("_weight"))
     until = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     total = totals.agg(F.sum("_weight").alias("n")).scalar()
@@ -270,24 +271,26 @@ def pipeline_health(
     required = F.lit(False)
     for column in ("badge_id", "user_key", "zone_key", "event_timestamp"):
         required = required | F.col(column).isNull()
-
-    def rule(df: DataFrame, name: str, ok: Column, observed: Column) -> DataFrame:
-        return df.agg(ok.alias("ok"), observed.cast("bigint").alias("observed")).select(
-            F.lit(name).alias("rule"), "ok", "observed"
+    seen = fact.agg(
+        F.count("*").alias("facts"),
+        F.coalesce(F.max(fact_latency()), F.lit(0)).alias("latency"),
+        F.count_if(required).alias("nulls"),
+    )
+    staged = staging.agg(F.count("*").alias("staged")).scalar()
+    of_fact = seen.withColumn("surplus", staged - F.col("facts")).select(F.stack(
+        F.lit(3),
+        F.lit("staging covers facts"), F.col("surplus") >= 0, F.col("surplus"),
+        F.lit("latency below 120 s"), F.col("latency") < HEALTHY_LATENCY_SECONDS, F.col("latency"),
+        F.lit("required fields present"), F.col("nulls") == 0, F.col("nulls"),
+    ).alias("rule", "ok", "observed"))
+
+    def none(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(
+            F.lit(name).alias("rule"), (F.count("*") == 0).alias("ok"), F.count("*").alias("observed")
         )
 
-    facts = fact.agg(F.count("*").alias("n")).scalar()
-    latency = F.coalesce(F.max(fact_latency()), F.lit(0))
-    failed = F.count_if(F.col("state") == "FAILED")
-    nulls = F.count_if(required)
-    rules = [
-        rule(staging, "staging covers facts", F.count("*") >= facts, F.count("*") - facts),
-        rule(pending(raw, staging), "no pending rows", F.count("*") == 0, F.count("*")),
-        rule(fact, "latency below 120 s", latency < HEALTHY_LATENCY_SECONDS, latency),
-        rule(fact, "required fields present", nulls == 0, nulls),
-        rule(since(run_log, "scheduled_time", ago(as_of, 2)), "no failed runs", failed == 0, failed),
-    ]
-    first, *rest = rules
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    failed = since(run_log, "scheduled_time", ago(as_of, 2)).where(F.col("state") == "FAILED")
+    return (
+        of_fact.unionByName(none(pending(raw, staging), "no pending rows"))
+        .unionByName(none(failed, "no failed runs"))
+    )

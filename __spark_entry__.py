@@ -248,7 +248,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "signal_quality": _signal_quality,
     # staging, dimensions, facts
     "stage_dedup": lambda i: staging.stage(i.raw, _staging_time()),
-    "latest_rows_for_badge": lambda i: staging.latest_rows_for_badge(i.raw, BADGE).select(*messages.RAW_COLUMNS),
+    "latest_rows_for_badge": lambda i: staging.latest_rows(i.raw, BADGE).select(*messages.RAW_COLUMNS),
     "dim_users_merge": lambda i: users.merge_users(i.staging, i.seed_users, AS_OF),
     "scd2_apply": _scd2,
     "fact_time_parts": lambda i: facts.with_time_parts(i.staging).select(

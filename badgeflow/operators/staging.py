@@ -56,6 +56,7 @@ def pending(raw: DataFrame, staging: DataFrame) -> DataFrame:
     return raw.where(last.isNull() | (F.col("ingestion_time") > last))
 
 
-def latest_rows_for_badge(raw: DataFrame, badge_id: str | Column, rows: int = 10) -> DataFrame:
-    kept = raw.where(F.col("badge_id") == badge_id)
-    return kept.orderBy(F.desc("ingestion_time"), F.desc("event_timestamp")).limit(rows)
+def latest_rows(raw: DataFrame, badge_id: str | Column | None = None, rows: int = 10) -> DataFrame:
+    """The newest arrivals, of one badge or of all."""
+    kept = raw if badge_id is None else raw.where(F.col("badge_id") == badge_id)
+    return kept.orderBy(F.desc("ingestion_time"), F.desc("event_timestamp"), "badge_id").limit(rows)

@@ -52,6 +52,11 @@ def zone_defaults(as_of: AsOf) -> dict:
     }
 
 
+def reader_defaults(as_of: AsOf) -> dict:
+    now = instant(as_of)
+    return {"is_online": F.lit(True), "created_timestamp": now, "updated_timestamp": now}
+
+
 def seed_users(spark: SparkSession, as_of: AsOf = None) -> DataFrame:
     names = ["user_id", "user_name", "user_type", "department", "clearance_level"]
     return fill_columns(

@@ -7,7 +7,7 @@ from badgeflow.functions.clock import seconds_between
 from badgeflow.functions.keys import event_key, with_dense_keys
 from badgeflow.operators import facts, staging, users
 from badgeflow.plans import quality
-from badgeflow.sources.seeds import seed_users, seed_zones
+from badgeflow.sources.seeds import fill_columns, reader_defaults, seed_users, seed_zones, zone_defaults
 from helpers import AS_OF, at, raw, raw_row, rows, staged
 from pyspark.sql import functions as F
 
@@ -65,10 +65,12 @@ def test_pending(spark):
     assert [r.badge_id for r in staging.pending(all_rows, first).collect()] == ["b"]
 
 
-def test_latest_rows_for_badge(spark):
+def test_latest_rows(spark):
     lines = [raw_row(when=f"2024-01-10T10:00:{s:02d}") for s in range(15)] + [raw_row(badge="B2")]
-    found = staging.latest_rows_for_badge(raw(spark, *lines), "B1")
+    found = staging.latest_rows(raw(spark, *lines), "B1")
     assert [r.event_timestamp.second for r in found.collect()] == list(range(14, 4, -1))
+    late = raw_row(badge="B2", arrived="2024-01-11T00:00:00")
+    assert [r.badge_id for r in staging.latest_rows(raw(spark, *lines, late), rows=2).collect()] == ["B2", "B1"]
 
 
 def test_dense_keys(spark):
@@ -180,3 +182,12 @@ def test_quality_checks(spark):
     made = facts.enrich(staged(spark, raw_row(), raw_row(badge="B2")), seeded, zones, None, AS_OF)
     orphans = quality.orphan_keys(made, seeded.where("user_key > 1"), zones)
     assert rows(orphans) == [("user_key", 1, 2)]
+
+
+def test_defaults_on_insert(spark):
+    given = spark.createDataFrame([(1, "R1")], "reader_key bigint, reader_id string")
+    reader = fill_columns(given, schemas.READERS, reader_defaults(AS_OF)).first()
+    assert reader.is_online and reader.created_timestamp == at("2024-01-31T00:00:00") and reader.model is None
+    given = spark.createDataFrame([("Z1", True)], "zone_id string, is_restricted boolean")
+    zone = fill_columns(given, schemas.ZONES, zone_defaults(AS_OF)).first()
+    assert zone.is_restricted and zone.is_monitored and zone.zone_key is None

@@ -13,7 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType
+from pyspark.sql.types import DateType, DecimalType, DoubleType
 
 import oracle
 from badgeflow.operators import facts, staging, users
@@ -140,9 +140,14 @@ def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def _portable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and dates as text, which every client compares alike."""
+    """Decimals as doubles and dates as text, which every client compares alike.
+
+    Sums of credits depend on the order of addition in their last digits and are rounded.
+    """
 
     def column(field):
+        if "credits" in field.name and isinstance(field.dataType, DoubleType):
+            return F.round(field.name, 9).alias(field.name)
         if isinstance(field.dataType, DecimalType):
             return F.col(field.name).cast("double").alias(field.name)
         if isinstance(field.dataType, DateType):

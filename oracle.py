@@ -237,7 +237,7 @@ _STATEMENTS = {
         {_age('max(end_time)')} AS seconds_since_last_ingestion, sum(num_rows)::BIGINT AS total_rows_inserted,
         sum(num_bytes) / {_GIB} AS total_gb_inserted, count(DISTINCT end_time) AS active_minutes_last_hour,
         avg(num_rows) AS avg_rows_per_insert, max(num_rows) AS max_rows_per_insert,
-        sum(num_rows) / 1e6 AS total_credits_used
+        round(sum(num_rows) / 1e6, 9) AS total_credits_used
       FROM ingest_log WHERE end_time >= {AS_OF} - INTERVAL 1 HOUR HAVING count(*) > 0""",
     "daily_ingest_cost": f"""
       SELECT end_time::DATE::VARCHAR AS ingestion_date, sum(num_bytes) / {_GIB} AS gb_ingested,

@@ -25,6 +25,14 @@ from badgeflow.sources import fixture, messages, sample, seeds
 from badgeflow.sources.tables import Layout
 from badgeflow.streaming import changes, ingest, live
 
+try:
+    import corpus_pipeline
+    from badgeflow.llm import queries as llm
+except ModuleNotFoundError as e:  # the subpackage and its pipeline can be left out
+    if e.name not in ("corpus_pipeline", "badgeflow.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 AS_OF = fixture.AS_OF
 DATABASE = fixture.DATABASE
@@ -315,8 +323,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _registered(build) for name, build in _QUERIES.items()}
+    own = {name: _registered(build) for name, build in _QUERIES.items()}
+    return own | llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else own
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    if not llm:
+        return oracle.statements()
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracle.statements() | llm.ORACLE_SQL | whole

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from badgeflow.llm import decontaminate, line_dedup, simhash, token_files
+from badgeflow.llm import decontaminate, line_dedup, quality, simhash, token_files, toxicity
+from badgeflow.llm.labels import held_out
 
 #: The vocabulary file of the token queries.
 TOKENIZER = "word_bpe_49k.json"
@@ -50,16 +51,37 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.written_and_read(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def _predicted(found: DataFrame, least: float) -> list[Column]:
+    return [
+        F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("score"),
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    ]
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(*_predicted(found, 0.5), F.size("spans").alias("n_spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(*_predicted(found, 0.3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
+    "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
+    "op10_quality": op10_quality,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

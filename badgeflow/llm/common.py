@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -41,6 +41,11 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, also where use has it in a lambda or several times."""
+    return F.transform(F.array(value), use)[0]
+
+
 def column_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from badgeflow.llm.common import ascii_lower, written
+from badgeflow.llm.common import ascii_lower, let, written
 
 #: The white space that is stripped from a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -77,20 +77,21 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool = F
 
 def kept_lines(text: Column, keep: Column) -> Column:
     """The text without the lines whose bit is 0."""
-    all_lines = lines(text)
-    words = F.sequence(F.lit(0), ((F.size(all_lines) - 1) / WORD).cast("int"))
-
-    def of_word(word: Column) -> Column:
-        bits = F.coalesce(F.element_at(keep, word), F.lit(-1).cast("bigint"))
-        # nth line of the word: bring its bit to the sign
-        return F.filter(
-            F.slice(all_lines, word * WORD + 1, WORD),
-            lambda line, n: F.call_function("shiftleft", bits, F.lit(WORD - 1) - n) < 0,
-        )
 
-    return F.when(keep.isNull(), F.coalesce(text, F.lit(""))).otherwise(
-        F.array_join(F.flatten(F.transform(words, of_word)), "\n")
-    )
+    def of(all_lines: Column) -> Column:
+        words = F.sequence(F.lit(0), ((F.size(all_lines) - 1) / WORD).cast("int"))
+
+        def of_word(word: Column) -> Column:
+            bits = F.coalesce(F.element_at(keep, word), F.lit(-1).cast("bigint"))
+            # the sign is the bit of the line
+            return F.filter(
+                F.slice(all_lines, word * WORD + 1, WORD),
+                lambda line, n: F.call_function("shiftleft", bits, F.lit(WORD - 1) - n) < 0,
+            )
+
+        return F.array_join(F.flatten(F.transform(words, of_word)), "\n")
+
+    return F.when(keep.isNull(), F.coalesce(text, F.lit(""))).otherwise(let(lines(text), of))
 
 
 def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool = False) -> DataFrame:

@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from badgeflow.llm import decontaminate, line_dedup, quality, simhash, token_files, toxicity
+from badgeflow.llm import decontaminate, fingerprints, line_dedup, mixing, quality, simhash, token_files, toxicity
 from badgeflow.llm.labels import held_out
 
 #: The vocabulary file of the token queries.
 TOKENIZER = "word_bpe_49k.json"
+#: How often the mix may use a document of the rarest source.
+MAX_REPEATS = 2.0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,11 +66,26 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*_predicted(found, 0.5), F.size("spans").alias("n_spans"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.edited(table(spark, sf_dir, "documents"))
+    own, other, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(own).alias("fingerprint"), fingerprints.as_text(other).alias("edited_fingerprint"),
+        fingerprints.resemblance(own, other).alias("near_edited"),
+        F.coalesce(fingerprints.resemblance(own, following), F.lit(0.0)).alias("near_next"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents"), mixing.Target(max_repeats=MAX_REPEATS))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -80,7 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_toxicity": op6_toxicity,
+    "op7_fingerprints": op7_fingerprints,
     "op8_simhash": op8_simhash,
+    "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }
 
@@ -127,5 +146,55 @@ repeated AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DIS
 SELECT doc_id, count(*) AS n_lines, count(r.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE r.key IS NULL), '')) AS kept_sha256
 FROM keyed k LEFT JOIN repeated r ON k.key = r.key GROUP BY doc_id
+""",
+    "op9_mixing": rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(source, '') AS source, len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+'))::BIGINT AS n_tokens
+  FROM documents
+),
+sources AS (SELECT source, count(*) AS documents, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY source),
+limits AS (SELECT greatest(0.0, 1 - ln({MAX_REPEATS}) / nullif(ln(max(tokens) / min(tokens)), 0)) AS least, max(tokens)::DOUBLE AS most
+  FROM sources WHERE tokens > 0),
+bisected AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high
+  UNION ALL
+  SELECT step + 1, CASE WHEN (low + high) / 2 >= coalesce(least, 0) THEN low ELSE (low + high) / 2 END,
+    CASE WHEN (low + high) / 2 >= coalesce(least, 0) THEN (low + high) / 2 ELSE high END
+  FROM bisected, limits WHERE step < 30
+),
+temperature AS (
+  SELECT CASE WHEN coalesce(least, 0) <= 0 THEN 0.0 ELSE round(high, 6) END AS a, most FROM bisected, limits WHERE step = 30
+),
+weighted AS (
+  SELECT source, documents, tokens, CASE WHEN tokens > 0 THEN pow(tokens::DOUBLE, a) ELSE 0 END AS w,
+    CASE WHEN tokens > 0 THEN round(pow(most / tokens, 1 - a), 6) ELSE 1.0 END AS repeats
+  FROM sources, temperature
+),
+plan AS (
+  SELECT source, round(w / sum(w) OVER (), 6) AS weight, repeats, ceil(sqrt(documents))::BIGINT AS n_blocks,
+    floor(repeats)::BIGINT AS passes, round((repeats - floor(repeats)) * tokens)::BIGINT AS rest
+  FROM weighted
+),
+placed AS (
+  SELECT d.*, weight, repeats, passes, rest,
+    ('0x' || substr(md5('1:block:' || d.source || ':' || doc_id), 1, 8))::BIGINT % n_blocks AS block,
+    md5('1:' || passes || ':' || doc_id) AS place
+  FROM docs d JOIN plan USING (source)
+),
+blocks AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY place, block) AS upto
+  FROM (
+    SELECT source, block, sum(n_tokens) AS size, md5('1:' || passes || ':' || source || ':' || block) AS place
+    FROM placed GROUP BY source, block, passes
+  )
+),
+counted AS (
+  SELECT p.*, b.upto AS block_upto,
+    b.upto - b.size + sum(n_tokens) OVER (PARTITION BY p.source, p.block ORDER BY p.place, p.doc_id::VARCHAR, n_tokens) AS upto
+  FROM placed p JOIN blocks b USING (source, block)
+)
+SELECT doc_id, source, n_tokens, weight, repeats, passes, block,
+  passes + CASE WHEN block_upto <= rest OR upto <= rest THEN 1 ELSE 0 END AS copies
+FROM counted
 """,
 }

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from badgeflow.llm import decontaminate, fingerprints, line_dedup, mixing, quality, simhash, token_files, toxicity
+from badgeflow.llm import (
+    decontaminate, fingerprints, license_scan, line_dedup, mixing, quality, simhash, token_files, toxicity, url_filter,
+)
 from badgeflow.llm.labels import held_out
 
 #: The vocabulary file of the token queries.
@@ -38,6 +40,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    best = F.get("licenses", F.lit(0))
+    return found.select(
+        "doc_id", F.size("licenses").alias("n_licenses"), best["license"].alias("license"), best["score"].alias("score"),
+        best["first_line"].alias("first_line"), best["last_line"].alias("last_line"),
+    )
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document of the same number: bad if its quality is 0."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    found = url_filter.verdicts(table(spark, sf_dir, "pages"), labels)
+    return found.select("page_id", "host", "path", "rule", "verdict", "confidence")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -94,6 +112,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_license_scan": op2_license_scan,
+    "op3_url_filter": op3_url_filter,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_toxicity": op6_toxicity,
@@ -106,7 +126,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[0-9a-z\x{80}-\x{10FFFF}]+')"""
 
+
+
+def _templates() -> str:
+    rows = [(i, name, " ".join(license_scan.normalised(text))) for i, (name, text) in enumerate(license_scan.TEMPLATES)]
+    return ", ".join(f"({i}, '{name}', '{text}')" for i, name, text in rows)
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": f"""
+WITH templates AS (
+  SELECT i, license, list_distinct([w[k] || ' ' || w[k + 1] for k in range(1, len(w))]) AS grams
+  FROM (SELECT i, license, string_split(words, ' ') AS w FROM (VALUES {_templates()}) t(i, license, words))
+),
+lines AS (
+  SELECT doc_id, pos, {_WORDS.replace("coalesce(text, '')", "line")} AS w
+  FROM (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+      unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+    FROM documents
+  )
+),
+placed AS (SELECT *, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM lines),
+-- no template reaches the threshold with more words than that, unless words repeat
+runs AS (
+  SELECT a.doc_id, a.pos AS first_line, b.pos AS last_line,
+    (SELECT flatten(list(c.w ORDER BY c.pos)) FROM lines c WHERE c.doc_id = a.doc_id AND c.pos BETWEEN a.pos AND b.pos) AS w
+  FROM placed a JOIN placed b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + len(a.w) <= 400
+),
+sized AS (
+  SELECT doc_id, first_line, last_line, list_distinct([w[k] || ' ' || w[k + 1] for k in range(1, len(w))]) AS grams
+  FROM runs WHERE len(w) > 1
+),
+scored AS (
+  SELECT doc_id, license, first_line, last_line,
+    2 * len(list_intersect(s.grams, t.grams)) / (len(s.grams) + len(t.grams))::DOUBLE AS score
+  FROM sized s JOIN templates t ON len(s.grams) BETWEEN 0.66 * len(t.grams) AND 1.51 * len(t.grams)
+),
+best AS (
+  SELECT DISTINCT ON (doc_id, license) * FROM scored WHERE score >= 0.8
+  ORDER BY doc_id, license, score DESC, first_line, last_line
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) AS place,
+    count(*) OVER (PARTITION BY doc_id) AS n
+  FROM best
+)
+SELECT d.doc_id, coalesce(n, 0)::INTEGER AS n_licenses, license, score, first_line::INTEGER AS first_line, last_line::INTEGER AS last_line
+FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id AND place = 1
+""",
     "op1_decontaminate": f"""
 WITH item_words AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 windows AS (

@@ -8,7 +8,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.session import work_dir
@@ -41,6 +41,12 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of work_dir, through the file system that Spark wrote it to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with the value computed once, also where use has it in a lambda or several times."""
     return F.transform(F.array(value), use)[0]

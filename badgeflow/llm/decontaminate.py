@@ -204,5 +204,6 @@ def hit_words(runs: Column) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark window, as they are."""
-    leaked = contamination(docs, benchmark).where(F.size("runs") > 0).select("doc_id").distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["doc_id"]), "left_anti")
+    leaked = contamination(docs, benchmark).where(F.size("runs") > 0).select(F.col("doc_id").alias("leaked")).distinct()
+    leaked = written(leaked, "contaminated")  # so that the join knows its size
+    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked"]), "left_anti")

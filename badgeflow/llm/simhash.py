@@ -183,4 +183,5 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents without those that have a near-duplicate of smaller id, as they are."""
     copies = near_duplicates(docs, max_bits).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    # written, so that the join knows its size
+    return docs.join(written(copies, "near-duplicates"), "doc_id", "left_anti").select(docs.columns)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from badgeflow.llm.common import column_type, slices
+from badgeflow.llm.common import column_type, remove, slices
 from badgeflow.session import work_dir
 
 END_ID = 2
@@ -226,6 +226,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
         )
     )
     blocks.select(F.spark_partition_id().alias("shard"), "*").write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    remove(spark, raw)
 
 
 def _arrow_type(docs: DataFrame) -> pa.DataType:

@@ -298,3 +298,15 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         _scored(shared), f"doc_id {column_type(docs, 'doc_id')}, score double, spans array<struct<begin:int,end:int>>"
     )
+
+
+def clean_documents(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+    """The documents with a score below ``least``, as they are, without a shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, texts in slices(batches):
+            words = words_of(texts)
+            yield piece.filter(pa.array(shared.value.scores(words, shared.value.tokens(words)) < least))
+
+    return docs.mapInArrow(rows, docs.schema)

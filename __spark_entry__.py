@@ -7,22 +7,27 @@ folder, once per application and input, as they would in operation.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 from functools import cached_property
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType
 
 import oracle
+from badgeflow import schemas
+from badgeflow.functions import clock
 from badgeflow.operators import facts, staging, users
 from badgeflow.plans import monitoring as m
 from badgeflow.plans import quality, validation as v
-from badgeflow.plans.pipeline import process_batch
+from badgeflow.plans.pipeline import change_users, load_facts, process_batch
 from badgeflow.session import configure, work_dir
-from badgeflow.sources import fixture, messages, sample, seeds
-from badgeflow.sources.tables import Layout
+from badgeflow.sources import files, fixture, messages, sample, seeds
+from badgeflow.sources.tables import Layout, with_file
 from badgeflow.streaming import changes, ingest, live
 
 try:
@@ -39,6 +44,13 @@ DATABASE = fixture.DATABASE
 TASK_PATTERN = "badge_%"
 BADGE = "BADGE-000008"
 SLICE = ("2024-01-10", "2024-01-16")
+FOLDERS = ("load_date", "run", "batch_id")
+#: Arrival times that part the rows of the streams into three files.
+PARTS = ("2024-01-11", "2024-01-21")
+#: Start of the clock of the followed runs, and their stated costs.
+RUNS_BEGIN = datetime(2024, 1, 30, 23, 30)
+CREDITS_PER_ROW = 1e-6
+CREDITS_PER_RUN = 0.25
 
 
 def _staging_time() -> Column:
@@ -88,36 +100,115 @@ class Inputs:
     def loaded(self) -> Layout:
         layout = Layout(work_dir(self.spark, "tables")).create(self.spark, AS_OF)
         layout.append_raw(messages.shape_events(self.decoded))
-        process_batch(self.spark, layout, layout.raw(self.spark), 0, AS_OF, _staging_time(), _load_time())
+        process_batch(self.spark, layout, with_file(layout.raw(self.spark)), 0, AS_OF, _staging_time(), _load_time())
         return layout
 
     @property
     def raw(self) -> DataFrame:
-        return self.loaded.raw(self.spark)
+        return self.loaded.raw(self.spark).drop(*FOLDERS)
 
     @property
     def staging(self) -> DataFrame:
-        return self.loaded.staging(self.spark).drop("batch_id", "load_date")
+        return self.loaded.staging(self.spark).drop(*FOLDERS)
 
     @property
     def users(self) -> DataFrame:
-        return self.loaded.users(self.spark).drop("batch_id")
+        return self.loaded.users(self.spark)
 
     @property
     def fact(self) -> DataFrame:
         return self.loaded.fact(self.spark)
 
+    def _deliver(self, layout: Layout, delivery: int) -> None:
+        layout.append_raw(messages.shape_events(self.decoded.where(F.col("redelivery") == delivery)))
+
     @cached_property
     def followed(self) -> Layout:
-        """The same rows as a stream in two deliveries: first ones, then redeliveries."""
+        """The same rows as a stream in two deliveries: first ones, then redeliveries.
+
+        The clock stands still but for a minute a reading. The first attempt at the second
+        delivery fails in its second task, and is tried again.
+        """
         layout = Layout(work_dir(self.spark, "stream")).create(self.spark, AS_OF)
+        minutes = itertools.count()
+        options = {
+            "credits_per_row": CREDITS_PER_ROW, "credits_per_run": CREDITS_PER_RUN,
+            "clock": lambda: RUNS_BEGIN + timedelta(minutes=next(minutes)),
+        }
+        handle = changes.batch_handler(layout, AS_OF, _staging_time(), _load_time(), **options)
+        failing = changes.batch_handler(layout, AS_OF, _staging_time(), F.col("no_such_column"), **options)
+        for delivery, attempts in enumerate(([handle], [failing, handle])):
+            self._deliver(layout, delivery)
+            for attempt in attempts:
+                query = changes.follow_raw(self.spark, layout, handle=attempt)
+                try:
+                    query.awaitTermination()
+                except StreamingQueryException:
+                    if attempt is handle:
+                        raise
+        return layout
+
+    @cached_property
+    def half_followed(self) -> Layout:
+        """The first delivery is followed, the second has only arrived."""
+        layout = Layout(work_dir(self.spark, "half")).create(self.spark, AS_OF)
+        self._deliver(layout, 0)
+        handle = changes.batch_handler(layout, AS_OF, _staging_time(), _load_time())
+        changes.follow_raw(self.spark, layout, handle=handle).awaitTermination()
+        self._deliver(layout, 1)
+        return layout
+
+    @property
+    def unstaged(self) -> DataFrame:
+        layout = self.half_followed
+        return layout.unstaged(self.spark, with_file(layout.raw(self.spark)))
+
+    @cached_property
+    def backfilled(self) -> Layout:
+        """Redeliveries loaded by hand as batch 0, then the first ones followed from batch 0 on.
+
+        In between, users change their department, and the checkpoint is lost once.
+        """
+        layout = Layout(work_dir(self.spark, "backfill")).create(self.spark, AS_OF)
+        again = messages.shape_events(self.decoded.where(F.col("redelivery") == 1))
+        process_batch(self.spark, layout, again, 0, AS_OF, _staging_time(), _load_time())
         handle = changes.batch_handler(layout, AS_OF, _staging_time(), _load_time())
-        for delivery in (0, 1):
-            layout.append_raw(messages.shape_events(self.decoded.where(F.col("redelivery") == delivery)))
-            changes.follow_raw(self.spark, layout, handle=handle).awaitTermination()
+        self._deliver(layout, 0)
+        changes.follow_raw(self.spark, layout, handle=handle).awaitTermination()
+        files.remove(self.spark, layout.checkpoint("changes"))
+        changes.follow_raw(self.spark, layout, handle=handle).awaitTermination()
+        return layout
+
+    @cached_property
+    def changed(self) -> Layout:
+        """Loaded users with Type-2 changes applied to the stored dimension."""
+        layout = Layout(work_dir(self.spark, "changed")).create(self.spark, AS_OF)
+        process_batch(self.spark, layout, self.loaded.raw(self.spark), 0, AS_OF, _staging_time(), _load_time())
+        change_users(self.spark, layout, _department_changes(self), ["department"], AS_OF)
         return layout
 
     # --- streams -----------------------------------------------------------------------
+    @cached_property
+    def ingested(self) -> Layout:
+        """The messages as text files, every fiftieth line holding two of them, ingested as a stream."""
+        layout = Layout(work_dir(self.spark, "ingest")).create(self.spark, AS_OF)
+        lines = layout.path("messages")
+        fixture.message_lines(self.events).write.text(lines)
+        ingest.ingest(self.spark, lines, layout, fixture.delivered_at()).awaitTermination()
+        return layout
+
+    @cached_property
+    def three_parts(self) -> str:
+        """Raw rows as three files, by arrival; the stream reads one in a micro-batch."""
+        path = work_dir(self.spark, "parts")
+        rows = messages.shape_events(self.decoded).select(*messages.RAW_COLUMNS)
+        for part, bounds in enumerate(zip((None, *PARTS), (*PARTS, None))):
+            low, high = (F.lit(b).cast("timestamp_ntz") if b else None for b in bounds)
+            kept = rows if low is None else rows.where(F.col("ingestion_time") >= low)
+            kept = kept if high is None else kept.where(F.col("ingestion_time") < high)
+            kept.coalesce(1).write.parquet(f"{path}/part={part}")
+        return path
+
     def drained(self, stream: DataFrame, name: str) -> DataFrame:
         """What a stream appends by the time its input is used up."""
         path = work_dir(self.spark, name)
@@ -128,12 +219,9 @@ class Inputs:
         )
         return self.spark.read.schema(stream.schema).parquet(f"{path}/out")
 
-    @property
-    def raw_stream(self) -> DataFrame:
-        # a pattern, because a stream takes a plain path for a folder and this may be one file
-        path = f"{self.sf_dir}/event[s].parquet"
-        events = self.spark.readStream.schema(self.events.schema).parquet(path)
-        return messages.shape_events(fixture.decoded_messages(events))
+    def raw_stream(self, folders: str) -> DataFrame:
+        reader = self.spark.readStream.schema(schemas.RAW).option("maxFilesPerTrigger", 1)
+        return reader.parquet(folders)
 
 
 _INPUTS: dict[tuple[str, str], Inputs] = {}
@@ -148,7 +236,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def _portable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and dates as text, which every client compares alike.
+    """Short decimals as doubles, long ones and dates as text, which every client compares alike.
 
     Sums of credits depend on the order of addition in their last digits and are rounded.
     """
@@ -157,6 +245,8 @@ def _portable(df: DataFrame) -> DataFrame:
         if "credits" in field.name and isinstance(field.dataType, DoubleType):
             return F.round(field.name, 9).alias(field.name)
         if isinstance(field.dataType, DecimalType):
+            if field.dataType.precision > 15:
+                return F.col(field.name).cast("string").alias(field.name)
             return F.col(field.name).cast("double").alias(field.name)
         if isinstance(field.dataType, DateType):
             return F.col(field.name).cast("string").alias(field.name)
@@ -169,11 +259,12 @@ def _portable(df: DataFrame) -> DataFrame:
 
 
 def _ingest_stream(i: Inputs) -> DataFrame:
-    layout = Layout(work_dir(i.spark, "ingest"))
-    lines = layout.path("messages")
-    fixture.messages(i.events).select("value").write.text(lines)
-    ingest.ingest(i.spark, lines, layout, fixture.delivered_at()).awaitTermination()
-    return layout.raw(i.spark).select(*messages.RAW_COLUMNS)
+    return i.ingested.raw(i.spark).select(*messages.RAW_COLUMNS)
+
+
+def _ingest_rejects_stream(i: Inputs) -> DataFrame:
+    rejects = i.ingested.table(i.spark, "rejects").drop("ingestion_date", "run", "batch_id")
+    return rejects.withColumn("broken_rules", F.array_join("broken_rules", "; "))
 
 
 def _signal_quality(i: Inputs) -> DataFrame:
@@ -182,7 +273,7 @@ def _signal_quality(i: Inputs) -> DataFrame:
 
 def _fact_date_slice(i: Inputs) -> DataFrame:
     first, last = (F.lit(day).cast("date") for day in SLICE)
-    return i.fact.where(F.col("event_date").between(first, last)).drop("event_key")
+    return i.fact.where(F.col("event_date").between(first, last)).drop("load_date")
 
 
 def _sample_events(i: Inputs) -> DataFrame:
@@ -196,17 +287,14 @@ def _events_to_json(i: Inputs) -> DataFrame:
     return sample.to_ndjson(i.decoded.select(*[signal if f == "signal_strength" else f for f in fields]))
 
 
-def _in_use(dimension: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    return dimension.join(staged.select(key).distinct(), key, "left_semi").select(*dimension.columns)
-
-
-def _staged_until(i: Inputs) -> DataFrame:
-    """Staging as it stood a day before the clock."""
-    return i.staging.where(F.col("ingestion_time") < F.lit(AS_OF).cast("timestamp_ntz") - F.expr("INTERVAL '24' HOUR"))
+def _fact_load_incremental(i: Inputs) -> DataFrame:
+    return i.followed.fact(i.spark).drop("load_date")
 
 
-def _fact_load_incremental(i: Inputs) -> DataFrame:
-    return i.followed.fact(i.spark).drop("event_key")
+def _fact_user_ids(i: Inputs) -> DataFrame:
+    """Which user each fact of a layout with several runs names."""
+    users = i.backfilled.users(i.spark).select("user_key", "user_id")
+    return i.backfilled.fact(i.spark).join(users, "user_key").select("badge_id", "event_timestamp", "user_id", "user_key")
 
 
 def _rejects(i: Inputs) -> DataFrame:
@@ -216,45 +304,91 @@ def _rejects(i: Inputs) -> DataFrame:
     )
 
 
-def _scd2(i: Inputs) -> DataFrame:
-    change = fixture.decoded_messages(i.events).where(F.col("redelivery") == 0)
+def _department_changes(i: Inputs) -> DataFrame:
     department = F.when(F.col("direction").isNull(), "UNKNOWN").otherwise(F.upper("direction"))
-    return users.apply_user_changes(
-        i.users,
-        change.select("user_id", F.col("ingestion_time").alias("changed_at"), department.alias("department")),
-        ["department"],
-        AS_OF,
-    )
+    return i.decoded.select("user_id", F.col("ingestion_time").alias("changed_at"), department.alias("department"))
+
+
+def _scd2(i: Inputs) -> DataFrame:
+    return i.changed.users(i.spark)
+
+
+def _facts_after_change(i: Inputs) -> DataFrame:
+    """A day later the same events come again under other badges: facts take the new keys."""
+    layout = i.changed
+    later = F.expr("INTERVAL '1' DAY")
+    again = i.staging.withColumns({
+        "badge_id": F.concat("badge_id", F.lit("-NEW")), "event_timestamp": F.col("event_timestamp") + later,
+    })
+    if not layout.fact(i.spark).where(F.endswith("badge_id", F.lit("-NEW"))).take(1):
+        load_facts(i.spark, layout, again, AS_OF)
+    return layout.fact(i.spark).groupBy("user_key").agg(F.count("*").alias("fact_rows"))
 
 
 def _dim_unique(i: Inputs) -> DataFrame:
-    """Readers are taken as one row per reader and direction, so some ids repeat."""
-    readers = i.raw.select("reader_id", "direction").distinct()
-    return quality.dimension_duplicates(i.users, i.zones, readers)
+    """Dimensions as they would be without keys: a row for each way an id was seen with another column."""
+    seen = i.raw.select("user_id", "reader_id", "zone_id", "direction").distinct()
+    users_seen = seen.select("user_id", "direction").distinct().withColumn("is_current", F.coalesce(F.col("direction") != "EXIT", F.lit(True)))
+    zones_seen = seen.select("zone_id", "reader_id", "direction").distinct()
+    return quality.dimension_duplicates(users_seen, zones_seen, seen.select("reader_id", "direction").distinct())
 
 
 def _fact_fk(i: Inputs) -> DataFrame:
-    """Against the seeded users and the open zones only, so some keys are missing."""
-    return quality.orphan_keys(i.fact, i.seed_users, i.zones.where("NOT is_restricted"))
+    """Facts whose keys are moved beyond some of the dimension's keys."""
+    moved = i.fact.withColumns({"user_key": F.col("user_key") * 2, "zone_key": F.col("zone_key") + 2})
+    return quality.orphan_keys(moved, i.users, i.zones)
+
+
+def _broken_messages(i: Inputs) -> DataFrame:
+    return quality.broken_rule_counts(fixture.broken_messages(i.decoded))
+
+
+def _nulls(i: Inputs) -> DataFrame:
+    """Facts in which each checked column is missing now and then."""
+    def missing(column: str, n: int):
+        return F.when(F.col("event_hour") % n != 0, F.col(column))
+
+    return v.null_check(i.fact.withColumns({
+        "badge_id": missing("badge_id", 5), "user_key": missing("user_key", 7),
+        "zone_key": missing("zone_key", 11), "event_timestamp": missing("event_timestamp", 13),
+    }))
 
 
 def _metrics_stream(i: Inputs) -> DataFrame:
-    return i.drained(live.hourly_metrics(i.raw_stream, distinct=False), "metrics")
+    """Windows of three micro-batches; the approximate counts as whether they are close to the exact ones."""
+    found = i.drained(live.hourly_metrics(i.raw_stream(f"{i.three_parts}/part=*")), "metrics")
+    hour = clock.truncated("hour", F.col("ingestion_time")).alias("window_start")
+    exact = i.raw.groupBy(hour).agg(
+        F.countDistinct("badge_id").alias("badges"), F.countDistinct("zone_id").alias("zones")
+    )
+
+    def close(approximate: str, count: str):
+        # three times the stated standard error of 5 %
+        return (F.abs(F.col(approximate) - F.col(count)) <= 1 + 0.15 * F.col(count)).alias(f"{approximate}_close")
+
+    kept = [c for c in found.columns if not c.startswith("approx_")]
+    return found.join(exact, "window_start").select(*kept, close("approx_badges", "badges"), close("approx_zones", "zones"))
 
 
 def _dedup_stream(i: Inputs) -> DataFrame:
-    return i.drained(live.first_arrivals(i.raw_stream).select(*staging.EVENT_KEY), "first")
+    """Three micro-batches; the older of two copies may come in a later one."""
+    layout = Layout(work_dir(i.spark, "first")).create(i.spark, AS_OF)
+    for part in range(3):
+        of_part = F.expr(f"(event_id div 20 + 2 * redelivery) % 3 = {part}")
+        rows = messages.shape_events(i.decoded.where(of_part)).select(*messages.RAW_COLUMNS)
+        rows.coalesce(1).write.mode("append").parquet(layout.path("arriving"))
+        live.first_arrivals(i.spark, i.raw_stream(layout.path("arriving")), layout).awaitTermination()
+    return layout.table(i.spark, "first_events").drop("event_date", "run", "batch_id")
 
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources and sinks
     "ingest_stream": _ingest_stream,
+    "ingest_stream_rejects": _ingest_rejects_stream,
     "sample_events": _sample_events,
     "events_to_json": _events_to_json,
-    "dim_users_seed": lambda i: _in_use(i.seed_users, i.staging, "user_id"),
-    "dim_zones_seed": lambda i: _in_use(i.zones, i.staging, "zone_id"),
     "fact_date_slice": _fact_date_slice,
-    "staging_retention": lambda i: staging.retained(i.loaded.staging(i.spark), AS_OF).drop("batch_id", "load_date"),
+    "staging_retention": lambda i: staging.retained(i.loaded.staging(i.spark), AS_OF).drop(*FOLDERS),
     # parsing
     "ingest_parse": lambda i: messages.parse_messages(fixture.messages(i.events), F.col("timestamp")),
     "ingest_rejects": _rejects,
@@ -267,7 +401,9 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "fact_time_parts": lambda i: facts.with_time_parts(i.staging).select(
         *staging.EVENT_KEY, "event_date", "event_hour", "event_day_of_week", "is_after_hours", "is_weekend"
     ),
-    "fact_load": lambda i: facts.enrich(i.staging, i.users, i.zones, None, _load_time()).drop("event_key"),
+    "fact_load": lambda i: facts.enrich(i.staging, i.users, i.zones, None, _load_time()),
+    "fact_user_ids": _fact_user_ids,
+    "facts_after_change": _facts_after_change,
     "unmapped_zones": lambda i: facts.unmapped_zones(i.staging, i.zones),
     # monitoring
     "ingestion_metrics": lambda i: m.ingestion_metrics(i.raw, AS_OF),
@@ -279,11 +415,24 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "partition_efficiency": lambda i: m.partition_efficiency(i.scan_log, AS_OF),
     "run_history": lambda i: m.run_history(i.run_log, DATABASE, AS_OF),
     "run_summary": lambda i: m.run_summary(i.run_log, DATABASE, AS_OF),
+    # the same, over the logs that the pipeline wrote
+    "channel_status_logged": lambda i: m.channel_status(i.followed.ingest_log(i.spark), AS_OF),
+    "daily_ingest_cost_logged": lambda i: m.daily_ingest_cost(i.followed.ingest_log(i.spark), AS_OF),
+    "cost_total_logged": lambda i: m.cost_total(i.followed.ingest_log(i.spark), AS_OF),
+    "run_history_logged": lambda i: m.run_history(i.followed.run_log(i.spark), DATABASE, AS_OF).withColumn(
+        "error_message", F.col("error_message").isNotNull()
+    ),
+    "run_summary_logged": lambda i: m.run_summary(i.followed.run_log(i.spark), DATABASE, AS_OF),
+    "recent_runs_logged": lambda i: v.recent_runs(i.followed.run_log(i.spark), DATABASE, AS_OF),
+    "run_errors_logged": lambda i: v.run_errors(i.followed.run_log(i.spark), DATABASE, AS_OF).withColumn(
+        "error_message", F.col("error_message").isNotNull()
+    ),
+    "task_credits_logged": lambda i: v.task_credits(i.followed.run_log(i.spark), TASK_PATTERN, AS_OF),
     # validation
     "layer_row_counts": lambda i: v.layer_row_counts(i.raw, i.staging, i.fact),
     "layer_row_summary": lambda i: v.layer_row_summary(i.raw, i.staging, i.fact),
-    "pending_status": lambda i: v.pending_status(i.raw, _staged_until(i)),
-    "pending_count": lambda i: v.pending_count(i.raw, _staged_until(i)),
+    "pending_status": lambda i: v.pending_status(i.unstaged),
+    "pending_count": lambda i: v.pending_count(i.unstaged),
     "recent_runs": lambda i: v.recent_runs(i.run_log, DATABASE, AS_OF),
     "run_errors": lambda i: v.run_errors(i.run_log, DATABASE, AS_OF),
     "task_credits": lambda i: v.task_credits(i.run_log, TASK_PATTERN, AS_OF),
@@ -299,15 +448,19 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "top_zones": lambda i: v.top_zones(i.fact, i.zones),
     "top_badges": lambda i: v.top_badges(i.fact, i.users),
     "null_check": lambda i: v.null_check(i.fact),
+    "null_check_broken": _nulls,
     "ingestion_latency": lambda i: v.ingestion_latency(i.fact),
-    "pipeline_health": lambda i: v.pipeline_health(i.raw, _staged_until(i), i.fact, i.run_log, AS_OF),
+    "pipeline_health": lambda i: v.pipeline_health(
+        i.unstaged, i.half_followed.staging(i.spark), i.half_followed.fact(i.spark), i.run_log, AS_OF
+    ),
     # declared constraints
     "dq_staging_pk": lambda i: quality.staging_duplicates(i.followed.staging(i.spark)),
     "dq_dim_unique": _dim_unique,
     "dq_fact_fk": _fact_fk,
     "dq_required": lambda i: quality.broken_rule_counts(i.decoded),
+    "dq_required_broken": _broken_messages,
     # streams
-    "cdc_incremental": lambda i: i.followed.staging(i.spark).drop("load_date"),
+    "cdc_incremental": lambda i: i.followed.staging(i.spark).drop("load_date", "run"),
     "fact_load_incremental": _fact_load_incremental,
     "ingestion_metrics_stream": _metrics_stream,
     "stream_dedup_first": _dedup_stream,

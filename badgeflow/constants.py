@@ -9,8 +9,15 @@ DIRECTION_LENGTH = 10
 MISSING_SIGNAL = -999
 WEAK_BELOW = -80
 MEDIUM_BELOW = -60
+# Event times this far from the arrival time are rejected: a broken clock must not make folders without limit.
+EVENT_DAYS_BEFORE_ARRIVAL = 3660
+EVENT_DAYS_AFTER_ARRIVAL = 1
 SIGNAL_LIMIT = 1000  # decimal(5,2) holds values strictly between -1000 and 1000
 
+# --- tasks of a run ---------------------------------------------------------------------
+STAGE_TASK = "badge_stage_task"
+ENRICH_TASK = "badge_enrich_task"
+
 # --- derived flags --------------------------------------------------------------------
 DAY_STARTS_AT = 6
 DAY_ENDS_AT = 22
@@ -23,6 +30,8 @@ EXCELLENT_BELOW_PCT = 20
 GOOD_BELOW_PCT = 50
 FAIR_BELOW_PCT = 80
 RUN_HISTORY_LIMIT = 1000
+RECENT_RUNS_LIMIT = 5
+RUN_ERRORS_LIMIT = 20
 
 # --- table names shown in results -----------------------------------------------------
 RAW_TABLE = "RAW_BADGE_EVENTS"

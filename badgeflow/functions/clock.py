@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 AsOf = datetime | str | Column | None
 
 # Partition column that holds the day of a timestamp column, where a table has one.
-DAY_OF = {"ingestion_time": "ingestion_date", "staging_time": "load_date"}
+DAY_OF = {
+    "ingestion_time": "ingestion_date",
+    "staging_time": "load_date",
+    "fact_load_time": "load_date",
+    "end_time": "log_date",
+    "scheduled_time": "run_date",
+}
 
 
 def instant(as_of: AsOf) -> Column:

@@ -9,7 +9,7 @@ from badgeflow import schemas
 from badgeflow.constants import DAY_ENDS_AT, DAY_STARTS_AT
 from badgeflow.functions.clock import AsOf, instant, weekday
 from badgeflow.functions.keys import event_key
-from badgeflow.operators.staging import EVENT_COLUMNS, EVENT_KEY, latest_per_key
+from badgeflow.operators.staging import EVENT_COLUMNS, latest_per_key, without_known
 from badgeflow.operators.users import current
 
 FACT_COLUMNS = schemas.FACT.fieldNames()
@@ -32,10 +32,6 @@ def unmapped_zones(staging: DataFrame, zones: DataFrame) -> DataFrame:
     return staging.join(zones.select("zone_id"), "zone_id", "left_anti").select(*staging.columns)
 
 
-def not_loaded(staging: DataFrame, fact: DataFrame) -> DataFrame:
-    return staging.join(fact.select(*EVENT_KEY), EVENT_KEY, "left_anti")
-
-
 def enrich(
     staging: DataFrame,
     users: DataFrame,
@@ -46,14 +42,14 @@ def enrich(
     """Fact rows for staged events that ``fact`` does not hold yet, one per key.
 
     Zones come first: events of unknown zones must not win over an earlier event of the same
-    key. Deduplication and the anti join share one shuffle on the key. Neither dimension is
+    key. Of ``fact`` only the staged keys take part. Neither dimension is
     hinted as broadcast: users grow with the data, and Spark picks by measured size.
     """
     zone_part = zones.select("zone_id", "zone_key", F.col("is_restricted").alias("is_restricted_access"))
     in_zones = staging.select(*EVENT_COLUMNS, "staging_time").join(zone_part, "zone_id")
     fresh = latest_per_key(in_zones)
     if fact is not None:
-        fresh = not_loaded(fresh, fact)
+        fresh = without_known(fresh, staging, fact)
     keyed = fresh.join(current(users).select("user_id", "user_key"), "user_id")
     return with_time_parts(keyed).select(
         event_key(F.col("badge_id"), F.col("event_timestamp")).alias("event_key"),

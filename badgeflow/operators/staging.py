@@ -32,10 +32,30 @@ def latest_per_key(
     per key in each task before it shuffles, so copies of one key never meet in one task.
     """
     rest = [F.col(c).desc_nulls_last() for c in rows.columns if c not in (*keys, newest)]
-    window = W.partitionBy(*keys).orderBy(F.col(newest).desc_nulls_last(), *rest)
+    return _one_per_key(rows, keys, [F.col(newest).desc_nulls_last(), *rest])
+
+
+def first_per_key(rows: DataFrame, keys: list[str] = EVENT_KEY, oldest: str = "ingestion_time") -> DataFrame:
+    """The oldest row of each key; ties fall to the other columns."""
+    rest = [F.col(c).asc_nulls_last() for c in rows.columns if c not in (*keys, oldest)]
+    return _one_per_key(rows, keys, [F.col(oldest).asc_nulls_last(), *rest])
+
+
+def _one_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    window = W.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def without_known(rows: DataFrame, keys: DataFrame, known: DataFrame, on: list[str] = EVENT_KEY) -> DataFrame:
+    """Rows whose key is not known. ``keys`` holds the keys of the rows, or more.
+
+    The known side is reduced to these keys first. Spark broadcasts them when they are few, so a
+    large known side is neither shuffled nor sorted for a small batch.
+    """
+    held = known.select(*on).join(keys.select(*on), on, "left_semi")
+    return rows.join(held, on, "left_anti")
+
+
 def stage(raw: DataFrame, staging_time: AsOf = None) -> DataFrame:
     """One row per key of this batch, with the staging columns."""
     kept = latest_per_key(inserts(as_changes(raw)).select(*EVENT_COLUMNS))
@@ -46,16 +66,6 @@ def retained(staging: DataFrame, as_of: AsOf = None, days: int = 1) -> DataFrame
     return since(staging, "staging_time", ago(as_of, 24 * days))
 
 
-def pending(raw: DataFrame, staging: DataFrame) -> DataFrame:
-    """Raw rows that arrived after the last staged batch.
-
-    All rows of a micro-batch carry its clock as arrival time, so the newest staged arrival
-    time marks the last batch taken.
-    """
-    last = staging.agg(F.max("ingestion_time").alias("last")).scalar()
-    return raw.where(last.isNull() | (F.col("ingestion_time") > last))
-
-
 def latest_rows(raw: DataFrame, badge_id: str | Column | None = None, rows: int = 10) -> DataFrame:
     """The newest arrivals, of one badge or of all."""
     kept = raw if badge_id is None else raw.where(F.col("badge_id") == badge_id)

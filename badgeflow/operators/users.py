@@ -11,7 +11,7 @@ from badgeflow import schemas
 from badgeflow.constants import UNKNOWN, UNKNOWN_CLEARANCE
 from badgeflow.functions.clock import AsOf, instant
 from badgeflow.functions.keys import with_dense_keys
-from badgeflow.operators.staging import latest_per_key
+from badgeflow.operators.staging import latest_per_key, without_known
 from badgeflow.sources.seeds import fill_columns, user_defaults
 
 USER_COLUMNS = schemas.USERS.fieldNames()
@@ -28,10 +28,8 @@ def _last_key(users: DataFrame) -> Column:
 
 def new_users(staging: DataFrame, users: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Rows to append for user ids that have no current row. Nothing is updated."""
-    unknown = (
-        staging.select("user_id").where("user_id IS NOT NULL").distinct()
-        .join(current(users).select("user_id"), "user_id", "left_anti")
-    )
+    ids = staging.select("user_id").where("user_id IS NOT NULL")
+    unknown = without_known(ids.distinct(), ids, current(users), ["user_id"])
     keyed = with_dense_keys(unknown, "user_id", "user_key", _last_key(users))
     defaults = user_defaults(as_of) | {
         "user_name": F.lit(UNKNOWN),
@@ -52,16 +50,16 @@ def apply_user_changes(
     """The whole dimension after Type-2 changes.
 
     ``changes`` has ``user_id``, ``changed_at`` and the attributes; the newest change of a user
-    counts. A current row whose attributes differ is closed and a new version opened; ids
-    without a current row are opened; all else stays. Write the result to a new folder, never
-    over the one being read.
+    counts. A current row whose attributes differ is closed at that time and a new version opened
+    from then on; ids without a current row are opened; all else stays. Write the result to a new
+    folder, never over the one being read.
     """
     now = instant(as_of)
     # the filter makes both uses of the changes equal, so that Spark shuffles them once
     wanted = latest_per_key(
         changes.select("user_id", "changed_at", *attributes).where("user_id IS NOT NULL"),
         ["user_id"], "changed_at",
-    ).select("user_id", *[F.col(a).alias(f"_new_{a}") for a in attributes], F.lit(True).alias("_given"))
+    ).select("user_id", "changed_at", *[F.col(a).alias(f"_new_{a}") for a in attributes], F.lit(True).alias("_given"))
 
     differs = reduce(
         lambda x, y: x | y, [~F.col(a).eqNullSafe(F.col(f"_new_{a}")) for a in attributes]
@@ -69,7 +67,7 @@ def apply_user_changes(
     matched = users.select(*USER_COLUMNS).join(wanted, "user_id", "left")
     closes = F.coalesce(F.col("_given") & F.col("is_current") & differs, F.lit(False))
     kept = matched.withColumn("_closes", closes).withColumns({
-        "effective_end_date": F.when(F.col("_closes"), now).otherwise(F.col("effective_end_date")),
+        "effective_end_date": F.when(F.col("_closes"), F.col("changed_at")).otherwise(F.col("effective_end_date")),
         "updated_timestamp": F.when(F.col("_closes"), now).otherwise(F.col("updated_timestamp")),
         "is_current": F.col("is_current") & ~F.col("_closes"),
     }).select(*USER_COLUMNS)
@@ -78,7 +76,8 @@ def apply_user_changes(
     carried = [c for c in ATTRIBUTES if c not in attributes]
     held = current(users).select("user_id", *attributes, *carried, F.lit(True).alias("_held"))
     opening = wanted.join(held, "user_id", "left").where(F.col("_held").isNull() | differs).select(
-        "user_id", *[F.col(f"_new_{a}").alias(a) for a in attributes], *carried
+        "user_id", F.col("changed_at").alias("effective_start_date"),
+        *[F.col(f"_new_{a}").alias(a) for a in attributes], *carried,
     )
     keyed = with_dense_keys(opening, "user_id", "user_key", _last_key(users))
     versions = keyed.withColumn("is_active", F.coalesce("is_active", F.lit(True)))

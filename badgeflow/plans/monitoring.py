@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from badgeflow.constants import (
-    EXCELLENT_BELOW_PCT, FACT_TABLE, FAIR_BELOW_PCT, GOOD_BELOW_PCT, RAW_TABLE, RUN_HISTORY_LIMIT,
-    STALE_AFTER_SECONDS, WARNING_AFTER_SECONDS,
+    EXCELLENT_BELOW_PCT, FACT_TABLE, FAIR_BELOW_PCT, GOOD_BELOW_PCT, MISSING_SIGNAL, RAW_TABLE,
+    RUN_HISTORY_LIMIT, STALE_AFTER_SECONDS, WARNING_AFTER_SECONDS,
 )
 from badgeflow.functions.clock import AsOf, ago, instant, seconds_between, since, truncated
 from badgeflow.functions.signal import mean_of_decimal, percent
@@ -18,7 +18,7 @@ GIB = float(1024**3)
 def hourly_stats(raw: DataFrame, hour: Column, ignore_sentinel: bool = False) -> DataFrame:
     signal = F.col("signal_strength")
     if ignore_sentinel:
-        signal = F.when(signal != -999, signal)
+        signal = F.when(signal != MISSING_SIGNAL, signal)
     return raw.groupBy(hour.alias("ingestion_hour")).agg(
         F.count("*").alias("event_count"),
         F.countDistinct("badge_id").alias("unique_badges"),
@@ -171,11 +171,11 @@ def partition_efficiency(scan_log: DataFrame, as_of: AsOf = None) -> DataFrame:
     )
 
 
-def newest_runs(run_log: DataFrame, as_of: AsOf, hours: int, limit: int, database: str) -> DataFrame:
-    """The newest ``limit`` runs of the last hours; of those, the runs of one database."""
-    newest = since(run_log, "scheduled_time", ago(as_of, hours)).orderBy(
-        F.desc("scheduled_time"), "name", "completed_time"
-    ).limit(limit)
+def newest_runs(run_log: DataFrame, as_of: AsOf, hours: int, limit: int | None, database: str) -> DataFrame:
+    """The newest ``limit`` runs of the last hours (None: all); of those, the runs of one database."""
+    newest = since(run_log, "scheduled_time", ago(as_of, hours))
+    if limit is not None:
+        newest = newest.orderBy(F.desc("scheduled_time"), "name", "completed_time").limit(limit)
     return newest.where(F.col("database_name") == database)
 
 
@@ -184,7 +184,7 @@ def duration() -> Column:
 
 
 def run_history(
-    run_log: DataFrame, database: str, as_of: AsOf = None, limit: int = RUN_HISTORY_LIMIT
+    run_log: DataFrame, database: str, as_of: AsOf = None, limit: int | None = RUN_HISTORY_LIMIT
 ) -> DataFrame:
     status = (
         F.when(F.col("state") == "SUCCEEDED", "SUCCESS")
@@ -198,8 +198,9 @@ def run_history(
     ).orderBy(F.desc("scheduled_time"))
 
 
-def run_summary(run_log: DataFrame, database: str, as_of: AsOf = None) -> DataFrame:
-    done = run_history(run_log, database, as_of).where(F.col("execution_status") == "SUCCESS")
+def run_summary(run_log: DataFrame, database: str, as_of: AsOf = None, limit: int | None = None) -> DataFrame:
+    """Over all runs of the last day; ``limit`` would cap them before they are counted."""
+    done = run_history(run_log, database, as_of, limit).where(F.col("execution_status") == "SUCCESS")
     return done.groupBy("task_name").agg(
         F.count("*").alias("executions"), F.avg("duration_seconds").alias("avg_duration")
     )

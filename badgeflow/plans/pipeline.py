@@ -6,52 +6,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.constants import RAW_TABLE
-from badgeflow.functions.clock import AsOf
+from badgeflow.functions.clock import AsOf, truncated
 from badgeflow.operators.facts import enrich
 from badgeflow.operators.staging import stage
-from badgeflow.operators.users import new_users
-from badgeflow.sources.tables import Layout
+from badgeflow.operators.users import apply_user_changes, new_users
+from badgeflow.sources.tables import BY_HAND, Layout
 
 
 def write_ingest_log(
-    layout: Layout, batch: DataFrame, batch_id: int, credits_per_row: float = 0.0
+    layout: Layout, batch: DataFrame, batch_id: int, credits_per_row: float = 0.0, run: str = BY_HAND
 ) -> None:
-    """One log row per arrival time of the batch."""
-    log = batch.groupBy(F.col("ingestion_time").alias("end_time")).agg(
+    """One log row per minute of arrivals of the batch."""
+    log = batch.groupBy(truncated("minute", F.col("ingestion_time")).alias("end_time")).agg(
         F.count("*").alias("num_rows_migrated"),
         F.sum(F.col("message_bytes").cast("bigint")).alias("num_bytes_migrated"),
     )
     log = log.select(
         F.lit(RAW_TABLE).alias("table_name"), "end_time", "num_rows_migrated", "num_bytes_migrated",
         (F.col("num_rows_migrated") * credits_per_row).cast("double").alias("credits_used"),
+        F.to_date("end_time").alias("log_date"),
     )
-    layout.replace_batch(log, "ingest_log", batch_id)
+    layout.write_batch(log, "ingest_log", run, batch_id)
 
 
-def merge_batch_users(
-    spark: SparkSession, layout: Layout, staging: DataFrame, batch_id: int, as_of: AsOf = None
-) -> None:
-    """Append the unknown users of a batch.
+def stage_batch(
+    spark: SparkSession, layout: Layout, batch: DataFrame, batch_id: int, staging_time: AsOf = None, run: str = BY_HAND
+) -> DataFrame:
+    """Write a batch to staging, in place of an earlier attempt, and give it back.
 
-    Only users of earlier batches count as known, so a replay of the batch writes the same
-    rows with the same keys again.
+    Files of the batch (column ``file``, where it has one) count as staged from then on.
     """
-    known = layout.users(spark).where(F.col("batch_id") < batch_id)
-    layout.replace_batch(new_users(staging, known, as_of), "dim_users", batch_id)
+    rows = stage(batch, staging_time).withColumn("load_date", F.to_date("staging_time"))
+    layout.write_batch(rows, "staging", run, batch_id)
+    if "file" in batch.columns:
+        layout.append_staged_files(batch.select("file", "ingestion_date").distinct())
+    return layout.batch(spark, "staging", run, batch_id)
 
 
-def load_facts(
-    spark: SparkSession, layout: Layout, staging: DataFrame, load_time: AsOf = None
-) -> None:
-    """Append the facts that are missing, reading only the event dates the rows fall on.
+def merge_batch_users(spark: SparkSession, layout: Layout, staging: DataFrame, as_of: AsOf = None) -> None:
+    """Append the unknown users of a batch. A key, once given, never changes: a replay finds its
+    users known, and so does any other batch."""
+    layout.append_users(new_users(staging, layout.users(spark), as_of))
+
+
+def missing_facts(spark: SparkSession, layout: Layout, staging: DataFrame, load_time: AsOf = None) -> DataFrame:
+    """Facts of staged rows that are not loaded yet.
 
-    The dates are a list no longer than the calendar span of the rows.
+    The two ends of the rows' event times bound the days and row groups of the fact that are read;
+    ``enrich`` compares by key within them.
     """
-    dates = [row[0] for row in staging.select(F.to_date("event_timestamp")).distinct().collect()]
-    held = layout.fact(spark).where(F.col("event_date").isin(dates))
-    layout.append_fact(
-        enrich(staging, layout.users(spark), layout.zones(spark), held, load_time)
+    first, last = staging.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    held = layout.fact(spark).where(
+        F.col("event_date").between(F.to_date(F.lit(first)), F.to_date(F.lit(last)))
+        & F.col("event_timestamp").between(F.lit(first), F.lit(last))
     )
+    return enrich(staging, layout.users(spark), layout.zones(spark), held, load_time)
+
+
+def load_facts(spark: SparkSession, layout: Layout, staging: DataFrame, load_time: AsOf = None) -> None:
+    layout.append_fact(missing_facts(spark, layout, staging, load_time))
 
 
 def process_batch(
@@ -62,16 +75,32 @@ def process_batch(
     as_of: AsOf = None,
     staging_time: AsOf = None,
     fact_load_time: AsOf = None,
+    run: str = BY_HAND,
 ) -> str:
-    """Stage a batch, add its unknown users, load its facts. Safe to repeat."""
-    layout.replace_staging(stage(batch, as_of if staging_time is None else staging_time), batch_id)
-    staged = layout.staging(spark).where(F.col("batch_id") == batch_id)
-    merge_batch_users(spark, layout, staged, batch_id, as_of)
-    load_facts(spark, layout, staged, as_of if fact_load_time is None else fact_load_time)
+    """Stage a batch, add its unknown users, load its facts. Safe to repeat.
+
+    A batch is named by its run and number; batches of different runs never replace each other.
+    """
+    staged = stage_batch(spark, layout, batch, batch_id, as_of if staging_time is None else staging_time, run)
+    enrich_batch(spark, layout, staged, as_of, fact_load_time)
     return "COMPLETED"
 
 
+def enrich_batch(
+    spark: SparkSession, layout: Layout, staged: DataFrame, as_of: AsOf = None, fact_load_time: AsOf = None
+) -> None:
+    merge_batch_users(spark, layout, staged, as_of)
+    load_facts(spark, layout, staged, as_of if fact_load_time is None else fact_load_time)
+
+
 def catch_up(spark: SparkSession, layout: Layout, load_time: AsOf = None) -> str:
     """Load facts for all staged rows that have none, such as those of zones added later."""
     load_facts(spark, layout, layout.staging(spark), load_time)
     return "COMPLETED"
+
+
+def change_users(
+    spark: SparkSession, layout: Layout, changes: DataFrame, attributes: list[str], as_of: AsOf = None
+) -> None:
+    """Apply Type-2 changes to the stored dimension. Batches loaded afterwards take the new keys."""
+    layout.replace_users(apply_user_changes(layout.users(spark), changes, attributes, as_of))

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from badgeflow.constants import (
     DRAINED_TEXT, FACT_TABLE, HEALTHY_LATENCY_SECONDS, PENDING_CHECK, PENDING_TEXT, RAW_TABLE,
-    STAGING_TABLE, UNKNOWN, USERS_TABLE,
+    RECENT_RUNS_LIMIT, RUN_ERRORS_LIMIT, STAGING_TABLE, UNKNOWN, USERS_TABLE,
 )
 from badgeflow.functions.clock import AsOf, ago, seconds_between, since
 from badgeflow.functions.signal import mean_of_decimal, percent
-from badgeflow.operators.staging import pending
 from badgeflow.operators.users import current
 from badgeflow.plans.monitoring import duration, newest_runs
 
@@ -38,30 +37,39 @@ def layer_row_summary(raw: DataFrame, staging: DataFrame, fact: DataFrame) -> Da
     return _row_counts(tables).orderBy(F.desc("row_count"), "layer")
 
 
-def pending_status(raw: DataFrame, staging: DataFrame) -> DataFrame:
-    any_pending = F.count("*") > 0
-    return pending(raw, staging).agg(
+def _pending_rows() -> Column:
+    return F.coalesce(F.sum("n_rows"), F.lit(0))
+
+
+def pending_status(unstaged: DataFrame) -> DataFrame:
+    """``unstaged``: raw files that are not staged yet, with ``n_rows``."""
+    any_pending = _pending_rows() > 0
+    return unstaged.agg(
         F.lit(PENDING_CHECK).alias("check_type"),
         F.when(any_pending, "true").otherwise("false").alias("status"),
         F.when(any_pending, PENDING_TEXT).otherwise(DRAINED_TEXT).alias("interpretation"),
     )
 
 
-def pending_count(raw: DataFrame, staging: DataFrame) -> DataFrame:
-    return pending(raw, staging).agg(
-        F.lit("Stream Pending Records").alias("check_type"), F.count("*").alias("pending_count")
+def pending_count(unstaged: DataFrame) -> DataFrame:
+    return unstaged.agg(
+        F.lit("Stream Pending Records").alias("check_type"), _pending_rows().alias("pending_count")
     )
 
 
-def recent_runs(run_log: DataFrame, database: str, as_of: AsOf = None) -> DataFrame:
-    return newest_runs(run_log, as_of, 1, 5, database).select(
+def recent_runs(
+    run_log: DataFrame, database: str, as_of: AsOf = None, limit: int | None = RECENT_RUNS_LIMIT
+) -> DataFrame:
+    return newest_runs(run_log, as_of, 1, limit, database).select(
         F.col("name").alias("task_name"), "state", "scheduled_time", "completed_time",
         duration().alias("duration_sec"),
     ).orderBy(F.desc("scheduled_time"))
 
 
-def run_errors(run_log: DataFrame, database: str, as_of: AsOf = None) -> DataFrame:
-    return newest_runs(run_log, as_of, 2, 20, database).select(
+def run_errors(
+    run_log: DataFrame, database: str, as_of: AsOf = None, limit: int | None = RUN_ERRORS_LIMIT
+) -> DataFrame:
+    return newest_runs(run_log, as_of, 2, limit, database).select(
         F.col("name").alias("task_name"), "state", "scheduled_time", "completed_time",
         duration().alias("duration_sec"), "error_code", "error_message",
     ).orderBy(F.desc("scheduled_time"))
@@ -265,7 +273,7 @@ def ingestion_latency(fact: DataFrame) -> DataFrame:
 
 
 def pipeline_health(
-    raw: DataFrame, staging: DataFrame, fact: DataFrame, run_log: DataFrame, as_of: AsOf = None
+    unstaged: DataFrame, staging: DataFrame, fact: DataFrame, run_log: DataFrame, as_of: AsOf = None
 ) -> DataFrame:
     """One row per rule of a healthy pipeline: whether it holds and what was seen."""
     required = F.lit(False)
@@ -284,13 +292,11 @@ def pipeline_health(
         F.lit("required fields present"), F.col("nulls") == 0, F.col("nulls"),
     ).alias("rule", "ok", "observed"))
 
-    def none(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(
-            F.lit(name).alias("rule"), (F.count("*") == 0).alias("ok"), F.count("*").alias("observed")
-        )
+    def none(df: DataFrame, name: str, found: Column) -> DataFrame:
+        return df.agg(F.lit(name).alias("rule"), (found == 0).alias("ok"), found.alias("observed"))
 
     failed = since(run_log, "scheduled_time", ago(as_of, 2)).where(F.col("state") == "FAILED")
     return (
-        of_fact.unionByName(none(pending(raw, staging), "no pending rows"))
-        .unionByName(none(failed, "no failed runs"))
+        of_fact.unionByName(none(unstaged, "no pending rows", _pending_rows()))
+        .unionByName(none(failed, "no failed runs", F.count("*")))
     )

@@ -8,7 +8,7 @@ from badgeflow.constants import FACT_TABLE, RAW_TABLE, STAGING_TABLE, USERS_TABL
 from badgeflow.functions.clock import AsOf
 from badgeflow.plans import monitoring as m
 from badgeflow.plans import quality, validation as v
-from badgeflow.sources.tables import Layout
+from badgeflow.sources.tables import Layout, with_file
 
 
 def tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -60,12 +60,13 @@ def run_checks(
     """All validation queries, in the order a person would read them."""
     raw, staging, fact = layout.raw(spark), layout.staging(spark), layout.fact(spark)
     users, zones, runs = layout.users(spark), layout.zones(spark), layout.run_log(spark)
+    unstaged = layout.unstaged(spark, with_file(raw))
     return {
         "layer_row_counts": v.layer_row_counts(raw, staging, fact),
-        "pending_status": v.pending_status(raw, staging),
+        "pending_status": v.pending_status(unstaged),
         "recent_runs": v.recent_runs(runs, database, as_of),
         "raw_stats": v.raw_stats(raw),
-        "pending_count": v.pending_count(raw, staging),
+        "pending_count": v.pending_count(unstaged),
         "staging_stats": v.staging_stats(staging),
         "user_dim_stats": v.user_dim_stats(users),
         "auto_users_sample": v.auto_users_sample(users),
@@ -81,7 +82,7 @@ def run_checks(
         "task_credits": v.task_credits(runs, task_pattern, as_of),
         "ingestion_latency": v.ingestion_latency(fact),
         "layer_row_summary": v.layer_row_summary(raw, staging, fact),
-        "pipeline_health": v.pipeline_health(raw, staging, fact, runs, as_of),
+        "pipeline_health": v.pipeline_health(unstaged, staging, fact, runs, as_of),
         "staging_duplicates": quality.staging_duplicates(staging),
         "dimension_duplicates": quality.dimension_duplicates(users, zones, layout.readers(spark)),
         "orphan_keys": quality.orphan_keys(fact, users, zones),

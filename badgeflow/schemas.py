@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
+    ArrayType, BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampNTZType,
 )
 
@@ -12,96 +12,152 @@ FLAG, DAY, MOMENT, REAL = BooleanType(), DateType(), TimestampNTZType(), DoubleT
 SIGNAL, DEGREES, DIGEST = DecimalType(5, 2), DecimalType(10, 6), DecimalType(38, 0)
 
 
-def _table(*groups: tuple[DataType, str]) -> StructType:
-    """Columns in order, given as runs of names that share a type."""
-    return StructType([StructField(name, kind) for kind, names in groups for name in names.split()])
+def _table(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-def _with(schema: StructType, *groups: tuple[DataType, str]) -> StructType:
-    return StructType(schema.fields + _table(*groups).fields)
+def _with(schema: StructType, **columns: DataType) -> StructType:
+    return StructType(schema.fields + _table(**columns).fields)
 
 
+# The columns of this module are fixed values: their names and order are those of the tables.
+
 # Every message field is read as text first, so that a bad value can be told from a missing one.
 MESSAGE = _table(
-    (TEXT, "badge_id user_id zone_id reader_id event_timestamp signal_strength direction"),
+    badge_id=TEXT,
+    user_id=TEXT,
+    zone_id=TEXT,
+    reader_id=TEXT,
+    event_timestamp=TEXT,
+    signal_strength=TEXT,
+    direction=TEXT,
 )
 
 _EVENT = _table(
-    (TEXT, "badge_id user_id zone_id reader_id"),
-    (MOMENT, "event_timestamp"),
-    (SIGNAL, "signal_strength"),
-    (TEXT, "signal_quality direction"),
-    (MOMENT, "ingestion_time"),
+    badge_id=TEXT,
+    user_id=TEXT,
+    zone_id=TEXT,
+    reader_id=TEXT,
+    event_timestamp=MOMENT,
+    signal_strength=SIGNAL,
+    signal_quality=TEXT,
+    direction=TEXT,
+    ingestion_time=MOMENT,
 )
-RAW = _with(_EVENT, (TEXT, "raw_json"))
-STAGING = _with(_EVENT, (MOMENT, "staging_time"))
+RAW = _with(_EVENT, raw_json=TEXT)
+STAGING = _with(_EVENT, staging_time=MOMENT)
 
 USERS = _table(
-    (LONG, "user_key"),
-    (TEXT, "user_id user_name user_type department email phone clearance_level"),
-    (FLAG, "is_active"),
-    (MOMENT, "effective_start_date effective_end_date"),
-    (FLAG, "is_current"),
-    (MOMENT, "created_timestamp updated_timestamp"),
+    user_key=LONG,
+    user_id=TEXT,
+    user_name=TEXT,
+    user_type=TEXT,
+    department=TEXT,
+    email=TEXT,
+    phone=TEXT,
+    clearance_level=TEXT,
+    is_active=FLAG,
+    effective_start_date=MOMENT,
+    effective_end_date=MOMENT,
+    is_current=FLAG,
+    created_timestamp=MOMENT,
+    updated_timestamp=MOMENT,
 )
 
 ZONES = _table(
-    (LONG, "zone_key"),
-    (TEXT, "zone_id reader_id building_name"),
-    (INT, "floor_number"),
-    (TEXT, "zone_name zone_type"),
-    (LONG, "capacity"),
-    (TEXT, "requires_clearance"),
-    (FLAG, "is_monitored is_restricted"),
-    (TEXT, "reader_location reader_type"),
-    (DEGREES, "latitude longitude"),
-    (MOMENT, "created_timestamp updated_timestamp"),
+    zone_key=LONG,
+    zone_id=TEXT,
+    reader_id=TEXT,
+    building_name=TEXT,
+    floor_number=INT,
+    zone_name=TEXT,
+    zone_type=TEXT,
+    capacity=LONG,
+    requires_clearance=TEXT,
+    is_monitored=FLAG,
+    is_restricted=FLAG,
+    reader_location=TEXT,
+    reader_type=TEXT,
+    latitude=DEGREES,
+    longitude=DEGREES,
+    created_timestamp=MOMENT,
+    updated_timestamp=MOMENT,
 )
 
 READERS = _table(
-    (LONG, "reader_key"),
-    (TEXT, "reader_id reader_name reader_type manufacturer model firmware_version"),
-    (FLAG, "is_online"),
-    (MOMENT, "last_heartbeat created_timestamp updated_timestamp"),
+    reader_key=LONG,
+    reader_id=TEXT,
+    reader_name=TEXT,
+    reader_type=TEXT,
+    manufacturer=TEXT,
+    model=TEXT,
+    firmware_version=TEXT,
+    is_online=FLAG,
+    last_heartbeat=MOMENT,
+    created_timestamp=MOMENT,
+    updated_timestamp=MOMENT,
 )
 
 # event_key is a 120-bit digest of the natural key; see functions.keys.
 FACT = _table(
-    (DIGEST, "event_key"),
-    (LONG, "user_key zone_key"),
-    (TEXT, "badge_id reader_id"),
-    (MOMENT, "event_timestamp"),
-    (DAY, "event_date"),
-    (INT, "event_hour event_day_of_week"),
-    (TEXT, "direction"),
-    (SIGNAL, "signal_strength"),
-    (TEXT, "signal_quality"),
-    (FLAG, "is_restricted_access is_after_hours is_weekend"),
-    (MOMENT, "ingestion_time fact_load_time"),
+    event_key=DIGEST,
+    user_key=LONG,
+    zone_key=LONG,
+    badge_id=TEXT,
+    reader_id=TEXT,
+    event_timestamp=MOMENT,
+    event_date=DAY,
+    event_hour=INT,
+    event_day_of_week=INT,
+    direction=TEXT,
+    signal_strength=SIGNAL,
+    signal_quality=TEXT,
+    is_restricted_access=FLAG,
+    is_after_hours=FLAG,
+    is_weekend=FLAG,
+    ingestion_time=MOMENT,
+    fact_load_time=MOMENT,
 )
 
 INGEST_LOG = _table(
-    (TEXT, "table_name"),
-    (MOMENT, "end_time"),
-    (LONG, "num_rows_migrated num_bytes_migrated"),
-    (REAL, "credits_used"),
+    table_name=TEXT,
+    end_time=MOMENT,
+    num_rows_migrated=LONG,
+    num_bytes_migrated=LONG,
+    credits_used=REAL,
 )
 
 SCAN_LOG = _table(
-    (TEXT, "table_name"),
-    (MOMENT, "interval_start_time"),
-    (LONG, "num_queries partitions_scanned partitions_pruned rows_scanned rows_pruned"),
+    table_name=TEXT,
+    interval_start_time=MOMENT,
+    num_queries=LONG,
+    partitions_scanned=LONG,
+    partitions_pruned=LONG,
+    rows_scanned=LONG,
+    rows_pruned=LONG,
 )
 
 RUN_LOG = _table(
-    (TEXT, "name state error_code error_message database_name"),
-    (MOMENT, "scheduled_time completed_time"),
-    (REAL, "credits_used"),
+    name=TEXT,
+    state=TEXT,
+    error_code=TEXT,
+    error_message=TEXT,
+    database_name=TEXT,
+    scheduled_time=MOMENT,
+    completed_time=MOMENT,
+    credits_used=REAL,
 )
 
+# What the decoded messages carry next to their fields, and why one was rejected.
+REJECTS = _with(MESSAGE, ingestion_time=MOMENT, raw_json=TEXT)
+REJECTS = StructType([*REJECTS.fields, StructField("broken_rules", ArrayType(TEXT))])
+
 # The same tables as files: with the columns that only the folders carry.
-RAW_FILES = _with(RAW, (INT, "message_bytes"), (DAY, "ingestion_date"))
-STAGING_FILES = _with(STAGING, (LONG, "batch_id"), (DAY, "load_date"))
-USERS_FILES = _with(USERS, (LONG, "batch_id"))
-INGEST_LOG_FILES = _with(INGEST_LOG, (LONG, "batch_id"))
-RUN_LOG_FILES = _with(RUN_LOG, (LONG, "batch_id"))
+RAW_FILES = _with(RAW, message_bytes=INT, ingestion_date=DAY, run=TEXT, batch_id=LONG)
+REJECTS_FILES = _with(REJECTS, ingestion_date=DAY, run=TEXT, batch_id=LONG)
+STAGING_FILES = _with(STAGING, load_date=DAY, run=TEXT, batch_id=LONG)
+FIRST_EVENTS_FILES = _with(_EVENT, event_date=DAY, run=TEXT, batch_id=LONG)
+STAGED_FILES = _table(file=TEXT, ingestion_date=DAY)
+FACT_FILES = _with(FACT, load_date=DAY)
+INGEST_LOG_FILES = _with(INGEST_LOG, log_date=DAY, run=TEXT, batch_id=LONG)
+RUN_LOG_FILES = _with(RUN_LOG, attempt=LONG, run_date=DAY, run=TEXT, batch_id=LONG)

@@ -6,7 +6,7 @@ or a signal, and users go beyond the seeded ones. Everything is a projection of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.constants import FACT_TABLE, RAW_TABLE
@@ -75,6 +75,37 @@ def messages(events: DataFrame) -> DataFrame:
     )
 
 
+def message_lines(events: DataFrame) -> DataFrame:
+    """The messages as lines of text; two in one line for every fiftieth event."""
+    n, message = F.col("event_id"), F.col("raw_json")
+    return decoded_messages(events).select(F.when(n % 50 == 7, F.concat(message, message)).otherwise(message).alias("value"))
+
+
+def broken_messages(decoded: DataFrame) -> DataFrame:
+    """The decoded messages with each rule broken now and then."""
+    n = F.col("event_id")
+
+    def now_and_then(column: str, remainder: int, broken) -> Column:
+        return F.when(n % 50 == remainder, broken).otherwise(F.col(column))
+
+    long = F.repeat(F.lit("x"), 51)
+    kept = decoded.withColumns({
+        "user_id": now_and_then("user_id", 1, F.lit(None)), "zone_id": now_and_then("zone_id", 2, F.lit(None)),
+        "reader_id": now_and_then("reader_id", 3, F.lit(None)), "event_timestamp": now_and_then("event_timestamp", 4, F.lit(None)),
+    })
+    kept = kept.withColumns({
+        "badge_id": now_and_then("badge_id", 5, long), "user_id": now_and_then("user_id", 6, long),
+        "zone_id": now_and_then("zone_id", 7, long), "reader_id": now_and_then("reader_id", 8, long),
+        "event_timestamp": now_and_then("event_timestamp", 9, F.lit("2024")),
+        "signal_strength": now_and_then("signal_strength", 10, F.lit("weak")),
+        "direction": now_and_then("direction", 11, F.lit("ENTRY SOUTH")),
+    })
+    return kept.withColumns({
+        "event_timestamp": now_and_then("event_timestamp", 12, F.lit("1999-12-31T23:59:59")),
+        "signal_strength": now_and_then("signal_strength", 13, F.lit("-1000")),
+    })
+
+
 def delivered_at(value: str = "value"):
     """Arrival time out of the message, for sources that hold nothing else."""
     return F.get_json_object(F.col(value), "$.delivered_at").cast("timestamp_ntz")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from badgeflow import schemas
-from badgeflow.constants import DIRECTION_LENGTH, ID_FIELDS, ID_LENGTH, REQUIRED_FIELDS
+from badgeflow.constants import (
+    DIRECTION_LENGTH, EVENT_DAYS_AFTER_ARRIVAL, EVENT_DAYS_BEFORE_ARRIVAL, ID_FIELDS, ID_LENGTH, REQUIRED_FIELDS,
+)
 from badgeflow.functions.clock import AsOf, instant
 from badgeflow.functions.signal import signal_bucket, signal_fits, stored_signal, whole_signal
 
@@ -24,18 +27,36 @@ def decode_messages(
 ) -> DataFrame:
     """Message fields as text, the message itself and its arrival time.
 
-    Left at None, the arrival time is the wall clock, which is one value per micro-batch.
+    Left at None, the arrival time is the wall clock, which is one value per micro-batch. A line
+    must hold exactly one object: of any other line every field is missing.
     """
     body = F.col(value).cast("string")
     # inline() keeps later filters above the parse; a plain projection would be merged into
     # each of their conditions and parse the message once per condition
+    objects = F.from_json(F.concat(F.lit("["), body, F.lit("]")), ArrayType(schemas.MESSAGE))
+    # one row per line also where there are none or several objects; the parse is written once
+    single = F.flatten(F.filter(F.array(objects), lambda found: F.size(found) == 1))
     return messages.select(
-        F.inline(F.array(F.from_json(body, schemas.MESSAGE))),
+        F.inline_outer(single),
         instant(ingestion_time).alias("ingestion_time"),
         body.alias("raw_json"),
     )
 
 
+def event_time() -> Column:
+    """The event's time, which must begin with a whole date; null otherwise."""
+    text = F.col("event_timestamp")
+    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp_ntz"))
+
+
+def plausible(moment: Column) -> Column:
+    """Whether an event's time lies within the stated days around its arrival."""
+    arrival = F.col("ingestion_time")
+    earliest = arrival - F.expr(f"INTERVAL '{EVENT_DAYS_BEFORE_ARRIVAL}' DAY")
+    latest = arrival + F.expr(f"INTERVAL '{EVENT_DAYS_AFTER_ARRIVAL}' DAY")
+    return moment.between(earliest, latest)
+
+
 def broken_rules() -> Column:
     """Names of the rules a decoded row breaks; empty for a good row."""
     rules = [F.when(F.col(f).isNull(), f"{f} missing") for f in REQUIRED_FIELDS]
@@ -44,9 +65,10 @@ def broken_rules() -> Column:
     rules += [
         F.when(
             F.col("event_timestamp").isNotNull()
-            & F.col("event_timestamp").try_cast("timestamp_ntz").isNull(),
+            & event_time().isNull(),
             "event_timestamp not a timestamp",
         ),
+        F.when(~plausible(event_time()), "event_timestamp out of range"),
         F.when(
             F.col("signal_strength").isNotNull() & number.isNull(), "signal_strength not a number"
         ),
@@ -59,7 +81,7 @@ def broken_rules() -> Column:
 def _is_good() -> Column:
     """True for a row that breaks no rule; false or null otherwise."""
     signal, direction = F.col("signal_strength"), F.col("direction")
-    good = F.col("event_timestamp").try_cast("timestamp_ntz").isNotNull()
+    good = plausible(event_time())
     for field in ID_FIELDS:
         good = good & (F.length(field) <= ID_LENGTH)
     good = good & (signal.isNull() | signal_fits(whole_signal(signal)))
@@ -76,7 +98,7 @@ def shape_events(decoded: DataFrame, keep_fraction: bool = False) -> DataFrame:
     kept_signal = F.col("signal_strength").try_cast("decimal(5,2)") if keep_fraction else number
     return decoded.where(_is_good()).select(
         *ID_FIELDS,
-        F.col("event_timestamp").try_cast("timestamp_ntz").alias("event_timestamp"),
+        event_time().alias("event_timestamp"),
         stored_signal(kept_signal).alias("signal_strength"),
         signal_bucket(number).alias("signal_quality"),
         F.upper("direction").alias("direction"),

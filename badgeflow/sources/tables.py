@@ -1,11 +1,15 @@
 """Where the pipeline's tables lie, and how they are read and written.
 
-Every folder is Parquet. Batches are written to a folder of their own and replaced on a
-replay; only the fact is appended to, and its load skips keys it already holds.
+Every folder is Parquet. Tables that grow batch by batch are partitioned by day first, then by
+the run and batch that wrote the rows: readers prune days, a replay finds and replaces its own
+folders, and a batch id of one run never touches those of another. ``close_day`` merges a day's
+batches into one folder once no more are expected, and ``expire`` removes old days, so what a
+reader lists follows the days that are kept, not the batches ever run.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +18,20 @@ from pyspark.sql.types import StructType
 
 from badgeflow import schemas
 from badgeflow.functions.clock import AsOf
+from badgeflow.sources import files
 from badgeflow.sources.seeds import fill_columns, seed_users, seed_zones
 
-SEED_BATCH = -1
+BATCHED = {
+    "raw": (schemas.RAW_FILES, "ingestion_date"),
+    "rejects": (schemas.REJECTS_FILES, "ingestion_date"),
+    "staging": (schemas.STAGING_FILES, "load_date"),
+    "ingest_log": (schemas.INGEST_LOG_FILES, "log_date"),
+    "run_log": (schemas.RUN_LOG_FILES, "run_date"),
+    "first_events": (schemas.FIRST_EVENTS_FILES, "event_date"),
+}
+#: The run that merged days belong to; runs of writers start with another letter.
+CLOSED = "closed"
+BY_HAND = "by-hand"
 
 
 @dataclass(frozen=True)
@@ -33,20 +48,27 @@ class Layout:
     def _read(self, spark: SparkSession, table: str, schema: StructType) -> DataFrame:
         return spark.read.schema(schema).parquet(self.path(table))
 
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        """A table of batches, with the columns of its folders."""
+        return self._read(spark, name, BATCHED[name][0])
+
     def raw(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "raw", schemas.RAW_FILES)
+        return self.table(spark, "raw")
 
     def raw_stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
-        reader = spark.readStream.schema(schemas.RAW_FILES)
+        """Raw rows of open days with the file they come from, in column ``file``."""
+        reader = spark.readStream.schema(schemas.RAW_FILES).option("basePath", self.path("raw"))
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path("raw"))
+        open_days = f"{self.path('raw')}/ingestion_date=*/run=[^{CLOSED[0]}]*"
+        return with_file(reader.parquet(open_days))
 
     def staging(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "staging", schemas.STAGING_FILES)
+        return self.table(spark, "staging")
 
     def users(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "dim_users", schemas.USERS_FILES)
+        """The newest version of the dimension."""
+        return spark.read.schema(schemas.USERS).parquet(self._users_version(spark))
 
     def zones(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "dim_zones", schemas.ZONES)
@@ -55,13 +77,28 @@ class Layout:
         return self._read(spark, "dim_readers", schemas.READERS)
 
     def fact(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "fact", schemas.FACT)
+        return self._read(spark, "fact", schemas.FACT_FILES)
+
+    def staged_files(self, spark: SparkSession) -> DataFrame:
+        """The raw files that have been staged."""
+        return self._read(spark, "staged_files", schemas.STAGED_FILES)
 
     def ingest_log(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "ingest_log", schemas.INGEST_LOG_FILES)
+        return self.table(spark, "ingest_log")
 
     def run_log(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "run_log", schemas.RUN_LOG_FILES)
+        return self.table(spark, "run_log")
+
+    def batch(self, spark: SparkSession, name: str, run: str, batch_id: int) -> DataFrame:
+        """The rows of one batch, read from its own folders."""
+        schema, _ = BATCHED[name]
+        folders = files.matching(spark, self._folders(name, run, batch_id))
+        if not folders:
+            return fill_columns(spark.range(0).select(), schema, {})
+        return spark.read.schema(schema).option("basePath", self.path(name)).parquet(*folders)
+
+    def _folders(self, name: str, run: str, batch_id: int | str, day: str = "*") -> str:
+        return f"{self.path(name)}/{BATCHED[name][1]}={day}/run={run}/batch_id={batch_id}"
 
     # --- writing ---------------------------------------------------------------------
     def create(self, spark: SparkSession, as_of: AsOf = None) -> Layout:
@@ -71,40 +108,109 @@ class Layout:
             rows = fill_columns(spark.range(0).select(), schema, {})
             rows.write.mode("ignore").partitionBy(*partitions).parquet(self.path(table))
 
-        empty("raw", schemas.RAW_FILES, "ingestion_date")
-        empty("staging", schemas.STAGING_FILES, "batch_id", "load_date")
-        empty("fact", schemas.FACT, "event_date")
-        empty("ingest_log", schemas.INGEST_LOG_FILES, "batch_id")
-        empty("run_log", schemas.RUN_LOG_FILES, "batch_id")
+        for name, (schema, day) in BATCHED.items():
+            empty(name, schema, day, "run", "batch_id")
+        empty("fact", schemas.FACT_FILES, "event_date", "load_date")
+        empty("staged_files", schemas.STAGED_FILES, "ingestion_date")
         empty("dim_readers", schemas.READERS)
         seed_zones(spark, as_of).coalesce(1).write.mode("ignore").parquet(self.path("dim_zones"))
-        seeds = seed_users(spark, as_of).withColumn("batch_id", F.lit(SEED_BATCH).cast("bigint"))
-        seeds.coalesce(1).write.mode("ignore").partitionBy("batch_id").parquet(self.path("dim_users"))
+        seed_users(spark, as_of).coalesce(1).write.mode("ignore").parquet(self._version(0))
         return self
 
     def append_raw(self, raw: DataFrame) -> None:
-        """Append a batch to raw, where no stream writes.
-
-        Once a stream has written to a folder, Spark lists the stream's files only.
-        """
-        log = raw.sparkSession._jvm.org.apache.hadoop.fs.Path(self.path("raw"), "_spark_metadata")
-        files = log.getFileSystem(raw.sparkSession._jsc.hadoopConfiguration())
-        if files.exists(log):
-            raise RuntimeError("a stream writes to this raw folder; send the rows through it")
-        write_by_day(raw_files(raw), "ingestion_date", self.path("raw"))
+        """Append rows to raw by hand, as a batch of their own."""
+        self.write_batch(raw_files(raw), "raw", f"{BY_HAND}-{uuid.uuid4().hex}", 0)
 
-    def append_fact(self, fact: DataFrame) -> None:
-        write_by_day(fact, "event_date", self.path("fact"))
+    def write_batch(self, rows: DataFrame, name: str, run: str, batch_id: int) -> None:
+        """Write a batch, in place of what an earlier attempt of it may have written.
 
-    def replace_staging(self, staged: DataFrame, batch_id: int) -> None:
-        rows = staged.withColumn("load_date", F.to_date("staging_time"))
-        write_by_day(rows, "load_date", self._batch("staging", batch_id), "overwrite")
+        The rebalance brings a day's rows together, so that each folder gets few files, and lets
+        adaptive execution split a day that is too large for one task.
+        """
+        day = BATCHED[name][1]
+        self.drop_batch(rows.sparkSession, name, run, batch_id)
+        named = rows.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
+        named.hint("rebalance", day).write.mode("append").partitionBy(day, "run", "batch_id").parquet(self.path(name))
 
-    def replace_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self._batch(table, batch_id))
+    def drop_batch(self, spark: SparkSession, name: str, run: str, batch_id: int) -> None:
+        files.remove(spark, self._folders(name, run, batch_id))
 
-    def _batch(self, table: str, batch_id: int) -> str:
-        return f"{self.path(table)}/batch_id={batch_id}"
+    def append_fact(self, fact: DataFrame) -> None:
+        rows = fact.withColumn("load_date", F.to_date("fact_load_time"))
+        rows.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date", "load_date").parquet(
+            self.path("fact")
+        )
+
+    def append_staged_files(self, staged: DataFrame) -> None:
+        staged.coalesce(1).write.mode("append").partitionBy("ingestion_date").parquet(self.path("staged_files"))
+
+    # --- versions of the user dimension ----------------------------------------------
+    def _version(self, number: int) -> str:
+        return f"{self.path('dim_users')}/version={number}"
+
+    def _users_version(self, spark: SparkSession) -> str:
+        """The newest complete version: Spark marks a folder when all of it is written."""
+        done = files.matching(spark, f"{self.path('dim_users')}/version=*/_SUCCESS")
+        return self._version(max(int(path.split("version=")[1].split("/")[0]) for path in done))
+
+    def append_users(self, users: DataFrame) -> None:
+        """Add rows to the newest version; nothing is written when there are none."""
+        kept = users.persist()
+        try:
+            if kept.take(1):
+                kept.write.mode("append").parquet(self._users_version(users.sparkSession))
+        finally:
+            kept.unpersist()
+
+    def replace_users(self, users: DataFrame) -> None:
+        """A new version of the dimension, which readers take from then on."""
+        newest = int(self._users_version(users.sparkSession).split("version=")[1])
+        users.write.mode("overwrite").parquet(self._version(newest + 1))
+
+    # --- keeping folders few -----------------------------------------------------------
+    def close_day(self, spark: SparkSession, name: str, day: str) -> None:
+        """Merge the batches of a day. Run it when no batch writes to that day any more.
+
+        The merged rows are complete under a hidden name before the batches are removed, and
+        take their place after that; a run that was broken off is finished by the next call.
+        A raw day must be staged first: streams read open days only.
+        """
+        schema, column = BATCHED[name]
+        hidden = f"{self.path(name)}/_closing/{column}={day}"
+        listed = f"{self.path(name)}/_closing/list-{day}"
+        if not files.exists(spark, f"{hidden}/_SUCCESS"):
+            batches = files.matching(spark, f"{self.path(name)}/{column}={day}/run=*/batch_id=*")
+            if not batches:
+                return
+            rows = spark.read.schema(schema).option("basePath", self.path(name)).parquet(*batches)
+            if name == "raw" and self.unstaged(spark, with_file(rows)).take(1):
+                raise RuntimeError(f"raw rows of {day} are not staged yet")
+            spark.createDataFrame([(b,) for b in batches], "value string").coalesce(1).write.mode("overwrite").text(listed)
+            rows.drop(column, "run", "batch_id").hint("rebalance").write.mode("overwrite").parquet(hidden)
+        for row in spark.read.text(listed).collect():  # the batches of one day
+            files.remove(spark, row.value)
+        files.rename(spark, hidden, f"{self.path(name)}/{column}={day}/run={CLOSED}/batch_id={uuid.uuid4().int % 10**9}")
+        files.remove(spark, listed)
+        if name == "raw":
+            files.remove(spark, f"{self.path('staged_files')}/ingestion_date={day}")
+
+    def close_users(self, spark: SparkSession) -> None:
+        self.replace_users(self.users(spark).hint("rebalance"))
+
+    def expire(self, spark: SparkSession, name: str, before: str) -> None:
+        """Remove the days of a table before a day (``2024-01-31``)."""
+        column = BATCHED[name][1]
+        for path in files.matching(spark, f"{self.path(name)}/{column}=*"):
+            if path.split(f"{column}=")[1] < before:
+                files.remove(spark, path)
+
+    def unstaged(self, spark: SparkSession, raw: DataFrame) -> DataFrame:
+        """Files of raw rows that have not been staged, with their number of rows.
+
+        Only files are counted: Spark takes the numbers of rows from the files' footers.
+        """
+        held = raw.where(F.col("run") != CLOSED).groupBy("ingestion_date", "file").agg(F.count("*").alias("n_rows"))
+        return held.join(self.staged_files(spark), ["ingestion_date", "file"], "left_anti")
 
 
 def raw_files(raw: DataFrame) -> DataFrame:
@@ -115,10 +221,6 @@ def raw_files(raw: DataFrame) -> DataFrame:
     })
 
 
-def write_by_day(rows: DataFrame, day: str, path: str, mode: str = "append") -> None:
-    """Write one folder per day.
-
-    The rebalance hint brings a day's rows together so that each folder gets few files, and
-    lets adaptive execution split a day that is too large for one task.
-    """
-    rows.hint("rebalance", day).write.mode(mode).partitionBy(day).parquet(path)
+def with_file(rows: DataFrame) -> DataFrame:
+    """Rows of files with the file's path in column ``file``."""
+    return rows.withColumn("file", F.col("_metadata.file_path"))

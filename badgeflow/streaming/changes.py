@@ -4,38 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from badgeflow import schemas
+from badgeflow.constants import ENRICH_TASK, STAGE_TASK
 from badgeflow.functions.clock import AsOf
-from badgeflow.plans.pipeline import process_batch, write_ingest_log
+from badgeflow.plans.pipeline import enrich_batch, stage_batch, write_ingest_log
 from badgeflow.session import configure
 from badgeflow.sources.tables import Layout
+from badgeflow.streaming.runs import run_of
 
-TASK_NAME = "badge_pipeline_task"
 DATABASE = "BADGE_DB"
+Clock = Callable[[], datetime]
+T = TypeVar("T")
 
 
 def _wall_clock() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _log_run(
-    spark: SparkSession, layout: Layout, batch_id: int, started: datetime, error: Exception | None
+def log_run(
+    spark: SparkSession, layout: Layout, task: str, run: str, batch_id: int, started: datetime, ended: datetime,
+    error: Exception | None = None, credits: float = 0.0,
 ) -> None:
+    """Append a row for an attempt of a task. Earlier attempts of the batch keep theirs."""
+    held = layout.batch(spark, "run_log", run, batch_id)
+    attempt = held.where(F.col("name") == task).count() + 1
     row = (
-        TASK_NAME,
+        task,
         "FAILED" if error else "SUCCEEDED",
         type(error).__name__ if error else None,
         str(error) if error else None,
         DATABASE,
         started,
-        _wall_clock(),
-        0.0,
+        ended,
+        credits,
+        attempt,
+        started.date(),
+        run,
+        batch_id,
     )
-    layout.replace_batch(spark.createDataFrame([row], schemas.RUN_LOG), "run_log", batch_id)
+    rows = spark.createDataFrame([row], schemas.RUN_LOG_FILES).coalesce(1)
+    rows.write.mode("append").partitionBy("run_date", "run", "batch_id").parquet(layout.path("run_log"))
 
 
 def batch_handler(
@@ -44,19 +58,35 @@ def batch_handler(
     staging_time: AsOf = None,
     fact_load_time: AsOf = None,
     credits_per_row: float = 0.0,
+    credits_per_run: float = 0.0,
+    clock: Clock = _wall_clock,
 ) -> Callable[[DataFrame, int], None]:
-    """What is done with a micro-batch of raw rows. A replay of a batch repeats its effect."""
+    """What is done with a micro-batch of raw rows: two tasks, each logged.
+
+    A replay of a batch repeats its effect.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # a stream's own session has adaptive execution off; the loads need it
-        spark, started = configure(batch.sparkSession), _wall_clock()
-        try:
-            write_ingest_log(layout, batch, batch_id, credits_per_row)
-            process_batch(spark, layout, batch, batch_id, as_of, staging_time, fact_load_time)
-        except Exception as error:
-            _log_run(spark, layout, batch_id, started, error)
-            raise
-        _log_run(spark, layout, batch_id, started, None)
+        spark = configure(batch.sparkSession)
+        run = run_of(spark, layout.checkpoint("changes"))
+
+        def logged(task: str, work: Callable[[], T]) -> T:
+            started = clock()
+            try:
+                result = work()
+            except Exception as error:
+                log_run(spark, layout, task, run, batch_id, started, clock(), error, credits_per_run)
+                raise
+            log_run(spark, layout, task, run, batch_id, started, clock(), None, credits_per_run)
+            return result
+
+        def stage() -> DataFrame:
+            write_ingest_log(layout, batch, batch_id, credits_per_row, run)
+            return stage_batch(spark, layout, batch, batch_id, as_of if staging_time is None else staging_time, run)
+
+        staged = logged(STAGE_TASK, stage)
+        logged(ENRICH_TASK, lambda: enrich_batch(spark, layout, staged, as_of, fact_load_time))
 
     return handle
 

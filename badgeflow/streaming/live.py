@@ -1,13 +1,15 @@
-"""Stateful streams over raw: hourly metrics and first-arrival deduplication."""
+"""Streams over raw: hourly metrics and first-arrival deduplication."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from badgeflow.operators.staging import EVENT_KEY
-
-SALTS = 16
+from badgeflow.operators.staging import EVENT_COLUMNS, first_per_key, without_known
+from badgeflow.session import configure
+from badgeflow.sources.tables import Layout
+from badgeflow.streaming.runs import run_of
 
 
 def with_watermark(raw: DataFrame, column: str, delay: str) -> DataFrame:
@@ -38,14 +40,37 @@ def hourly_metrics(
     )
 
 
-def first_arrivals(raw: DataFrame, delay: str = "1 hour", salts: int = SALTS) -> DataFrame:
-    """The first row to arrive for each key, as long as copies come within ``delay``.
+def keep_first_arrivals(spark: SparkSession, layout: Layout, batch: DataFrame, run: str, batch_id: int) -> None:
+    """Add the first arrival of each key of a batch that no earlier batch has had.
+
+    Copies of one key are reduced to the oldest in each task before they are shuffled. Of the keys
+    held, only the days and the keys of the batch take part.
+    """
+    layout.drop_batch(spark, "first_events", run, batch_id)
+    kept = first_per_key(batch.select(*EVENT_COLUMNS)).withColumn("event_date", F.to_date("event_timestamp")).persist()
+    try:
+        first, last = kept.agg(F.min("event_date"), F.max("event_date")).first()
+        held = layout.table(spark, "first_events").where(F.col("event_date").between(F.lit(first), F.lit(last)))
+        layout.write_batch(without_known(kept, kept, held), "first_events", run, batch_id)
+    finally:
+        kept.unpersist()
+
+
+def first_arrivals(
+    spark: SparkSession, raw: DataFrame, layout: Layout, trigger: dict | None = None
+) -> StreamingQuery:
+    """The first row to arrive for each key, whenever its copies come.
 
-    Copies are first dropped per (key, salt) and then per key, so that the copies of one key
-    are spread over ``salts`` tasks. The outcome does not depend on the salt.
+    The first micro-batch that has a key decides; within it, the oldest arrival. No row is lost
+    for being late. The result is the layout's table ``first_events``.
     """
-    rows = with_watermark(raw, "ingestion_time", delay)
-    if salts > 1:
-        spread = F.pmod(F.xxhash64("ingestion_time", "user_id", "reader_id", "signal_strength"), F.lit(salts))
-        rows = rows.withColumn("_salt", spread).dropDuplicatesWithinWatermark([*EVENT_KEY, "_salt"])
-    return rows.dropDuplicatesWithinWatermark(EVENT_KEY).drop("_salt", "_clock")
+    checkpoint = layout.checkpoint("first_events")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = configure(batch.sparkSession)
+        keep_first_arrivals(session, layout, batch, run_of(session, checkpoint), batch_id)
+
+    return (
+        raw.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(handle).trigger(**(trigger or {"availableNow": True})).start()
+    )

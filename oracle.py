@@ -6,20 +6,34 @@ messages, raw, staging, users, facts and logs from ``events`` with plain SQL.
 
 from __future__ import annotations
 
-from badgeflow.constants import DRAINED_TEXT, PENDING_CHECK, PENDING_TEXT, SEED_USERS, SEED_ZONES
-
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
+# Fixed values, written out here too so that a wrong one in the pipeline shows.
+SEED_USERS = """
+  (1, 'USR-001', 'John Smith', 'EMPLOYEE', 'Engineering', 'CONFIDENTIAL'),
+  (2, 'USR-002', 'Jane Doe', 'EMPLOYEE', 'HR', 'PUBLIC'),
+  (3, 'USR-003', 'Bob Johnson', 'CONTRACTOR', 'IT Support', 'PUBLIC'),
+  (4, 'USR-004', 'Alice Williams', 'EMPLOYEE', 'Security', 'SECRET'),
+  (5, 'USR-005', 'Mike Davis', 'VISITOR', 'External', 'PUBLIC')"""
+SEED_ZONES = """
+  (1, 'ZONE-LOBBY-1', 'RDR-101', 'Main Building', 1, 'Main Lobby', 'LOBBY', 100, NULL, false, 'Main Entrance', 'BIDIRECTIONAL'),
+  (2, 'ZONE-OFFICE-2A', 'RDR-201', 'Main Building', 2, 'Engineering Office 2A', 'OFFICE', 30, 'CONFIDENTIAL', true,
+    'Floor 2 East', 'ENTRY'),
+  (3, 'ZONE-SERVER-B1', 'RDR-B101', 'Main Building', -1, 'Server Room B1', 'SECURE_AREA', 5, 'SECRET', true,
+    'Basement Security Door', 'BIDIRECTIONAL'),
+  (4, 'ZONE-CONF-3B', 'RDR-301', 'Main Building', 3, 'Conference Room 3B', 'CONFERENCE_ROOM', 20, NULL, false,
+    'Floor 3 West', 'ENTRY'),
+  (5, 'ZONE-PARKING-1', 'RDR-P01', 'Parking Structure', 1, 'Employee Parking Level 1', 'PARKING', 200, NULL, false,
+    'Garage Entry', 'ENTRY')"""
+PENDING_CHECK = "Stream Has Data?"
+PENDING_TEXT = "WARNING:  Data pending (tasks still processing)"
+DRAINED_TEXT = " Stream consumed (pipeline caught up)"
 
-def _literal(value) -> str:
-    if value is None:
-        return "NULL"
-    return f"'{value}'" if isinstance(value, str) else str(value)
-
-
-def _values(rows: list[tuple]) -> str:
-    numbered = [(n, *row) for n, row in enumerate(rows, start=1)]
-    return ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in numbered)
+# The runs of the layout that was followed: a clock of a minute a reading from 23:30, and one failed attempt.
+RUNS = """
+  ('badge_stage_task', 'SUCCEEDED', 0, NULL), ('badge_enrich_task', 'SUCCEEDED', 2, NULL),
+  ('badge_stage_task', 'SUCCEEDED', 4, NULL), ('badge_enrich_task', 'FAILED', 6, 'AnalysisException'),
+  ('badge_stage_task', 'SUCCEEDED', 8, NULL), ('badge_enrich_task', 'SUCCEEDED', 10, NULL)"""
 
 
 def _age(column: str) -> str:
@@ -62,23 +76,23 @@ messages AS (
 raw AS (
   SELECT badge_id, user_id, zone_id, reader_id, event_timestamp::TIMESTAMP AS event_timestamp,
     coalesce(whole, -999)::DOUBLE AS signal_strength,
-    CASE WHEN whole < -80 THEN 'WEAK' WHEN whole >= -80 AND whole < -60 THEN 'MEDIUM' ELSE 'STRONG' END AS signal_quality,
-    upper(direction) AS direction, ingestion_time, raw_json, redelivery
+    CASE WHEN whole < -80 THEN 'WEAK' WHEN whole < -60 THEN 'MEDIUM' ELSE 'STRONG' END AS signal_quality,
+    upper(direction) AS direction, ingestion_time, raw_json, redelivery, event_id
   FROM (SELECT *, signal_strength::VARCHAR::DECIMAL(38, 0) AS whole FROM messages)
   WHERE badge_id IS NOT NULL
 ),
 staging AS (
-  SELECT DISTINCT ON (badge_id, event_timestamp) * EXCLUDE (raw_json, redelivery),
+  SELECT DISTINCT ON (badge_id, event_timestamp) * EXCLUDE (raw_json, redelivery, event_id),
     ingestion_time + INTERVAL 60 SECOND AS staging_time
   FROM raw ORDER BY badge_id, event_timestamp, ingestion_time DESC
 ),
 zones AS (
   SELECT *, true AS is_monitored, NULL::DOUBLE AS latitude, NULL::DOUBLE AS longitude,
     {AS_OF} AS created_timestamp, {AS_OF} AS updated_timestamp
-  FROM (VALUES {_values(SEED_ZONES)}) t(zone_key, zone_id, reader_id, building_name, floor_number, zone_name,
+  FROM (VALUES {SEED_ZONES}) t(zone_key, zone_id, reader_id, building_name, floor_number, zone_name,
     zone_type, capacity, requires_clearance, is_restricted, reader_location, reader_type)
 ),
-seeded(user_key, user_id, user_name, user_type, department, clearance_level) AS (VALUES {_values(SEED_USERS)}),
+seeded(user_key, user_id, user_name, user_type, department, clearance_level) AS (VALUES {SEED_USERS}),
 created AS (
   SELECT user_id, 5 + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key
   FROM (SELECT user_id FROM staging EXCEPT SELECT user_id FROM seeded)
@@ -92,18 +106,23 @@ users AS (
         SELECT user_key, user_id, 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'PUBLIC' FROM created)
 ),
 first_staging AS (
-  SELECT * EXCLUDE (raw_json, redelivery), ingestion_time + INTERVAL 60 SECOND AS staging_time
+  SELECT * EXCLUDE (raw_json, redelivery, event_id), ingestion_time + INTERVAL 60 SECOND AS staging_time
   FROM raw WHERE redelivery = 0
 ),
 any_facts AS (
-  SELECT source, user_key, zone_key, badge_id, s.reader_id, event_timestamp,
+  SELECT source, ((('0x' || substr(digest, 1, 15))::BIGINT)::HUGEINT * 1152921504606846976::HUGEINT
+      + ('0x' || substr(digest, 16, 15))::BIGINT)::VARCHAR AS event_key,
+    user_key, zone_key, badge_id, s.reader_id, event_timestamp,
     event_timestamp::DATE AS event_day, extract(hour FROM event_timestamp) AS event_hour,
     extract(dow FROM event_timestamp) AS event_day_of_week, direction, signal_strength, signal_quality,
     is_restricted AS is_restricted_access,
     extract(hour FROM event_timestamp) NOT BETWEEN 6 AND 21 AS is_after_hours,
     extract(dow FROM event_timestamp) IN (0, 6) AS is_weekend, ingestion_time,
     staging_time + to_seconds(extract(second FROM event_timestamp)::BIGINT) AS fact_load_time
-  FROM (SELECT 'batch' AS source, * FROM staging UNION ALL SELECT 'stream', * FROM first_staging) s
+  FROM (
+    SELECT *, md5(badge_id || '|' || epoch_us(event_timestamp)) AS digest
+    FROM (SELECT 'batch' AS source, * FROM staging UNION ALL SELECT 'stream', * FROM first_staging)
+  ) s
   JOIN users USING (user_id) JOIN zones USING (zone_id)
 ),
 fact AS (SELECT * EXCLUDE (source) FROM any_facts WHERE source = 'batch'),
@@ -124,8 +143,28 @@ run_log AS (
     (event_id % 10) / 1000.0::DOUBLE AS credits_used
   FROM events
 ),
-stage_cut AS (SELECT * FROM staging WHERE ingestion_time < {AS_OF} - INTERVAL 24 HOUR),
-pending AS (SELECT * FROM raw WHERE ingestion_time > (SELECT max(ingestion_time) FROM stage_cut))
+pending AS (SELECT * FROM raw WHERE redelivery = 1),
+half_fact AS (SELECT * FROM any_facts WHERE source = 'stream'),
+logged AS (
+  SELECT date_trunc('minute', ingestion_time) AS end_time, count(*) AS num_rows, sum(strlen(raw_json)) AS num_bytes,
+    count(*) * 1e-6 AS credits_used
+  FROM raw GROUP BY redelivery, 1
+),
+runs AS (
+  SELECT task_name, state, error_code, error_code IS NOT NULL AS error_message,
+    TIMESTAMP '2024-01-30 23:30:00' + to_minutes(minute) AS scheduled_time,
+    scheduled_time + INTERVAL 1 MINUTE AS completed_time
+  FROM (VALUES {RUNS}) t(task_name, state, minute, error_code)
+),
+created_first AS (
+  SELECT user_id, 5 + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key
+  FROM (SELECT user_id FROM raw WHERE redelivery = 1 EXCEPT SELECT user_id FROM seeded)
+),
+created_later AS (
+  SELECT user_id, 5 + (SELECT count(*) FROM created_first)
+    + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key
+  FROM (SELECT user_id FROM raw EXCEPT SELECT user_id FROM seeded EXCEPT SELECT user_id FROM created_first)
+)
 """
 
 
@@ -136,6 +175,30 @@ def _newest(hours: int, limit: int) -> str:
     )
 
 
+def _channel_status(log: str) -> str:
+    return f"""
+      SELECT 'RAW_BADGE_EVENTS' AS pipe_name, max(end_time) AS last_ingestion_time,
+        {_age('max(end_time)')} AS seconds_since_last_ingestion, sum(num_rows)::BIGINT AS total_rows_inserted,
+        sum(num_bytes) / {_GIB} AS total_gb_inserted, count(DISTINCT end_time) AS active_minutes_last_hour,
+        avg(num_rows) AS avg_rows_per_insert, max(num_rows) AS max_rows_per_insert,
+        round(sum(num_rows) / 1e6, 9) AS total_credits_used
+      FROM {log} WHERE end_time >= {AS_OF} - INTERVAL 1 HOUR HAVING count(*) > 0"""
+
+
+def _daily_cost(log: str) -> str:
+    return f"""
+      SELECT end_time::DATE::VARCHAR AS ingestion_date, sum(num_bytes) / {_GIB} AS gb_ingested,
+        sum(num_rows)::BIGINT AS rows_ingested, round(sum(credits_used), 9) AS actual_credits_used,
+        round(sum(num_rows) / (sum(num_bytes) / {_GIB})) AS rows_per_gb
+      FROM {log} WHERE end_time >= {AS_OF} - INTERVAL 720 HOUR GROUP BY 1"""
+
+
+def _cost_total(log: str) -> str:
+    return f"""
+      SELECT round(sum(credits_used), 9) AS total_credits_last_30_days
+      FROM {log} WHERE end_time >= {AS_OF} - INTERVAL 720 HOUR"""
+
+
 def _last_hour(layer: str, table: str, column: str) -> str:
     return (
         f"SELECT '{layer}' AS layer, max({column}) AS last_update, count(*) AS row_count "
@@ -168,11 +231,19 @@ def _counts(labels: tuple[str, str, str]) -> str:
 
 _DAY = "event_day::VARCHAR AS event_date"
 _FACT = f"SELECT * EXCLUDE (event_day), {_DAY} FROM"
-_RAW = "SELECT * EXCLUDE (redelivery) FROM raw"
+_RAW = "SELECT * EXCLUDE (redelivery, event_id) FROM raw"
 _GIB = "1073741824.0::DOUBLE"
 
 _STATEMENTS = {
-    "ingest_stream": _RAW,
+    "ingest_stream": f"{_RAW} WHERE event_id % 50 <> 7",
+    "ingest_stream_rejects": """
+      SELECT badge_id, user_id, zone_id, reader_id, event_timestamp, signal_strength::VARCHAR AS signal_strength,
+        direction, ingestion_time, raw_json, 'badge_id missing' AS broken_rules
+      FROM messages WHERE badge_id IS NULL AND event_id % 50 <> 7
+      UNION ALL
+      SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, ingestion_time, raw_json || raw_json,
+        'badge_id missing; user_id missing; zone_id missing; reader_id missing; event_timestamp missing'
+      FROM messages WHERE event_id % 50 = 7""",
     "ingest_parse": _RAW,
     "sample_events": f"""
       SELECT 'BADGE-' || lpad(n, greatest(3, length(n))::INTEGER, '0') AS badge_id,
@@ -183,8 +254,6 @@ _STATEMENTS = {
         CASE WHEN event_id % 2 = 0 THEN 'ENTRY' ELSE 'EXIT' END AS direction
       FROM (SELECT event_id, event_id::VARCHAR AS n, (SELECT count(*) FROM events) AS total FROM events)""",
     "events_to_json": "SELECT value FROM messages",
-    "dim_users_seed": "SELECT * FROM users WHERE user_key <= 5 AND user_id IN (SELECT user_id FROM staging)",
-    "dim_zones_seed": "SELECT * FROM zones WHERE zone_id IN (SELECT zone_id FROM staging)",
     "fact_date_slice": f"{_FACT} fact WHERE event_day BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'",
     "staging_retention": f"SELECT * FROM staging WHERE staging_time >= {AS_OF} - INTERVAL 24 HOUR",
     "ingest_rejects": """
@@ -194,15 +263,15 @@ _STATEMENTS = {
     "signal_quality": "SELECT signal_strength, signal_quality, count(*) AS row_count FROM raw GROUP BY ALL",
     "stage_dedup": "SELECT * FROM staging",
     "latest_rows_for_badge": """
-      SELECT * EXCLUDE (redelivery) FROM raw WHERE badge_id = 'BADGE-000008'
+      SELECT * EXCLUDE (redelivery, event_id) FROM raw WHERE badge_id = 'BADGE-000008'
       ORDER BY ingestion_time DESC, event_timestamp DESC LIMIT 10""",
     "dim_users_merge": "SELECT * FROM users",
     "scd2_apply": f"""
-      SELECT u.* REPLACE (CASE WHEN d.department <> u.department THEN {AS_OF} END AS effective_end_date,
+      SELECT u.* REPLACE (CASE WHEN d.department <> u.department THEN changed_at END AS effective_end_date,
           d.department IS NULL OR d.department = u.department AS is_current)
       FROM users u LEFT JOIN wanted d USING (user_id)
       UNION ALL
-      SELECT u.* REPLACE (d.department AS department,
+      SELECT u.* REPLACE (d.department AS department, changed_at AS effective_start_date,
           (SELECT max(user_key) FROM users)
             + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key)
       FROM users u JOIN wanted d USING (user_id) WHERE d.department <> u.department""",
@@ -213,6 +282,22 @@ _STATEMENTS = {
         extract(dow FROM event_timestamp) IN (0, 6) AS is_weekend
       FROM staging""",
     "fact_load": f"{_FACT} fact",
+    "fact_user_ids": """
+      SELECT badge_id, event_timestamp, user_id, user_key
+      FROM (
+        SELECT user_id, badge_id, event_timestamp FROM raw WHERE redelivery = 1 AND zone_id <> 'ZONE-UNMAPPED'
+        UNION SELECT user_id, badge_id, event_timestamp FROM raw WHERE redelivery = 0 AND zone_id <> 'ZONE-UNMAPPED'
+      ) JOIN (
+        SELECT user_id, user_key FROM seeded UNION ALL FROM created_first UNION ALL FROM created_later
+      ) USING (user_id)""",
+    "facts_after_change": """
+      SELECT user_key, count(*) AS fact_rows
+      FROM (
+        SELECT user_key FROM fact
+        UNION ALL
+        SELECT coalesce(o.user_key, u.user_key)
+        FROM fact f JOIN users u USING (user_key) LEFT JOIN opened o ON o.user_id = u.user_id
+      ) GROUP BY 1""",
     "unmapped_zones": "SELECT * FROM staging WHERE zone_id NOT IN (SELECT zone_id FROM zones)",
     "ingestion_metrics": f"""
       SELECT date_trunc('hour', ingestion_time) AS ingestion_hour, count(*) AS event_count,
@@ -232,21 +317,12 @@ _STATEMENTS = {
             {_last_hour('ANALYTICS', 'fact', 'fact_load_time')})""",
     "data_freshness": _freshness("RAW_BADGE_EVENTS", "raw", "ingestion_time")
     + " UNION ALL " + _freshness("FCT_ACCESS_EVENTS", "fact", "fact_load_time"),
-    "channel_status": f"""
-      SELECT 'RAW_BADGE_EVENTS' AS pipe_name, max(end_time) AS last_ingestion_time,
-        {_age('max(end_time)')} AS seconds_since_last_ingestion, sum(num_rows)::BIGINT AS total_rows_inserted,
-        sum(num_bytes) / {_GIB} AS total_gb_inserted, count(DISTINCT end_time) AS active_minutes_last_hour,
-        avg(num_rows) AS avg_rows_per_insert, max(num_rows) AS max_rows_per_insert,
-        round(sum(num_rows) / 1e6, 9) AS total_credits_used
-      FROM ingest_log WHERE end_time >= {AS_OF} - INTERVAL 1 HOUR HAVING count(*) > 0""",
-    "daily_ingest_cost": f"""
-      SELECT end_time::DATE::VARCHAR AS ingestion_date, sum(num_bytes) / {_GIB} AS gb_ingested,
-        sum(num_rows)::BIGINT AS rows_ingested, round(sum(credits_used), 9) AS actual_credits_used,
-        round(sum(num_rows) / (sum(num_bytes) / {_GIB})) AS rows_per_gb
-      FROM ingest_log WHERE end_time >= {AS_OF} - INTERVAL 720 HOUR GROUP BY 1""",
-    "cost_total": f"""
-      SELECT round(sum(credits_used), 9) AS total_credits_last_30_days
-      FROM ingest_log WHERE end_time >= {AS_OF} - INTERVAL 720 HOUR""",
+    "channel_status": _channel_status("ingest_log"),
+    "channel_status_logged": _channel_status("logged"),
+    "daily_ingest_cost": _daily_cost("ingest_log"),
+    "daily_ingest_cost_logged": _daily_cost("logged"),
+    "cost_total": _cost_total("ingest_log"),
+    "cost_total_logged": _cost_total("logged"),
     "partition_efficiency": f"""
       SELECT table_name, queries::BIGINT AS query_count, round(ratio, 2) AS avg_scan_ratio_pct,
         round(rows_in / {_GIB}, 2) AS total_gb_scanned_approx,
@@ -265,7 +341,19 @@ _STATEMENTS = {
       FROM {_newest(24, 1000)}""",
     "run_summary": f"""
       SELECT task_name, count(*) AS executions, avg(seconds) AS avg_duration
-      FROM {_newest(24, 1000)} WHERE state = 'SUCCEEDED' GROUP BY 1""",
+      FROM run_log WHERE scheduled_time >= {AS_OF} - INTERVAL 24 HOUR AND ours AND state = 'SUCCEEDED' GROUP BY 1""",
+    "run_history_logged": """
+      SELECT task_name, state, scheduled_time, completed_time, 60 AS duration_seconds, error_code, error_message,
+        CASE state WHEN 'SUCCEEDED' THEN 'SUCCESS' ELSE state END AS execution_status FROM runs""",
+    "run_summary_logged": """
+      SELECT task_name, count(*) AS executions, 60.0::DOUBLE AS avg_duration FROM runs WHERE state = 'SUCCEEDED' GROUP BY 1""",
+    "recent_runs_logged": """
+      SELECT task_name, state, scheduled_time, completed_time, 60 AS duration_sec FROM runs ORDER BY scheduled_time DESC LIMIT 5""",
+    "run_errors_logged": """
+      SELECT task_name, state, scheduled_time, completed_time, 60 AS duration_sec, error_code, error_message FROM runs""",
+    "task_credits_logged": """
+      SELECT task_name, count(*) * 0.25::DOUBLE AS total_credits, count(*) AS execution_count, 0.25::DOUBLE AS avg_credits_per_run
+      FROM runs GROUP BY 1""",
     "layer_row_counts": _counts(("RAW Layer", "STAGING Layer", "ANALYTICS Layer")),
     "layer_row_summary": _counts(("RAW_BADGE_EVENTS", "STG_BADGE_EVENTS", "FCT_ACCESS_EVENTS")),
     "pending_status": f"""
@@ -332,10 +420,10 @@ _STATEMENTS = {
       FROM (SELECT date_diff('second', ingestion_time, fact_load_time) AS s FROM fact)""",
     "pipeline_health": f"""
       WITH seen(rule, observed) AS (
-        SELECT 'staging covers facts', (SELECT count(*) FROM stage_cut) - (SELECT count(*) FROM fact)
+        SELECT 'staging covers facts', (SELECT count(*) FROM first_staging) - (SELECT count(*) FROM half_fact)
         UNION ALL SELECT 'no pending rows', (SELECT count(*) FROM pending)
-        UNION ALL SELECT 'latency below 120 s', max(date_diff('second', ingestion_time, fact_load_time)) FROM fact
-        UNION ALL SELECT 'required fields present', count(*) FROM fact
+        UNION ALL SELECT 'latency below 120 s', max(date_diff('second', ingestion_time, fact_load_time)) FROM half_fact
+        UNION ALL SELECT 'required fields present', count(*) FROM half_fact
           WHERE concat(badge_id, user_key, zone_key, event_timestamp) IS NULL
         UNION ALL SELECT 'no failed runs', count(*) FROM run_log
           WHERE state = 'FAILED' AND scheduled_time >= {AS_OF} - INTERVAL 2 HOUR)
@@ -345,34 +433,67 @@ _STATEMENTS = {
       SELECT badge_id, event_timestamp, count(*) AS row_count FROM raw GROUP BY ALL HAVING count(*) > 1""",
     "dq_dim_unique": """
       SELECT 'DIM_READERS' AS table_name, reader_id AS id, count(*) AS row_count
-      FROM (SELECT DISTINCT reader_id, direction FROM raw) GROUP BY ALL HAVING count(*) > 1""",
+      FROM (SELECT DISTINCT reader_id, direction FROM raw) GROUP BY ALL HAVING count(*) > 1
+      UNION ALL
+      SELECT 'DIM_ZONES', zone_id, count(*) FROM (SELECT DISTINCT zone_id, reader_id, direction FROM raw)
+      GROUP BY ALL HAVING count(*) > 1
+      UNION ALL
+      SELECT 'DIM_USERS', user_id, count(*) FROM (SELECT DISTINCT user_id, direction FROM raw)
+      WHERE direction IS DISTINCT FROM 'EXIT' GROUP BY ALL HAVING count(*) > 1""",
     "dq_fact_fk": """
-      SELECT 'user_key' AS key_column, user_key AS missing_key, count(*) AS fact_rows FROM fact
-      WHERE user_key > 5 GROUP BY ALL
+      SELECT 'user_key' AS key_column, 2 * user_key AS missing_key, count(*) AS fact_rows FROM fact
+      WHERE 2 * user_key NOT IN (SELECT user_key FROM users) GROUP BY ALL
       UNION ALL
-      SELECT 'zone_key', zone_key, count(*) FROM fact WHERE is_restricted_access GROUP BY ALL""",
+      SELECT 'zone_key', zone_key + 2, count(*) FROM fact WHERE zone_key + 2 > 5 GROUP BY ALL""",
     "dq_required": "SELECT 'badge_id missing' AS rule, count(*) AS row_count FROM decoded WHERE badge_id IS NULL",
+    "dq_required_broken": """
+      SELECT rule, count(*) AS row_count
+      FROM (
+        SELECT CASE event_id % 50 WHEN 1 THEN 'user_id missing' WHEN 2 THEN 'zone_id missing'
+          WHEN 3 THEN 'reader_id missing' WHEN 4 THEN 'event_timestamp missing' WHEN 5 THEN 'badge_id too long'
+          WHEN 6 THEN 'user_id too long' WHEN 7 THEN 'zone_id too long' WHEN 8 THEN 'reader_id too long'
+          WHEN 9 THEN 'event_timestamp not a timestamp' WHEN 10 THEN 'signal_strength not a number'
+          WHEN 11 THEN 'direction too long' WHEN 12 THEN 'event_timestamp out of range'
+          WHEN 13 THEN 'signal_strength out of range' END AS rule
+        FROM decoded
+        UNION ALL
+        SELECT 'badge_id missing' FROM decoded WHERE badge_id IS NULL AND event_id % 50 <> 5
+      ) WHERE rule IS NOT NULL GROUP BY 1""",
+    "null_check_broken": """
+      SELECT 'Completeness Check' AS check_type, count(*) AS total_records,
+        count(*) FILTER (event_hour % 5 = 0) AS null_badge_id, count(*) FILTER (event_hour % 7 = 0) AS null_user_key,
+        count(*) FILTER (event_hour % 11 = 0) AS null_zone_key, count(*) FILTER (event_hour % 13 = 0) AS null_timestamp,
+        count(*) FILTER (direction IS NULL) AS null_direction FROM fact""",
     "cdc_incremental": """
-      SELECT * EXCLUDE (raw_json, redelivery), ingestion_time + INTERVAL 60 SECOND AS staging_time,
+      SELECT * EXCLUDE (raw_json, redelivery, event_id), ingestion_time + INTERVAL 60 SECOND AS staging_time,
         redelivery AS batch_id FROM raw""",
     "fact_load_incremental": f"{_FACT} (SELECT * EXCLUDE (source) FROM any_facts WHERE source = 'stream')",
     "ingestion_metrics_stream": """
       SELECT hour AS window_start, hour + INTERVAL 1 HOUR AS window_end, event_count, weak_signal_count,
-        entry_count, exit_count, entry_count - exit_count AS net_occupancy_change
+        entry_count, exit_count, entry_count - exit_count AS net_occupancy_change,
+        true AS approx_badges_close, true AS approx_zones_close
       FROM (SELECT date_trunc('hour', ingestion_time) AS hour, count(*) AS event_count,
               count(*) FILTER (signal_quality = 'WEAK') AS weak_signal_count,
               count(*) FILTER (direction = 'ENTRY') AS entry_count,
               count(*) FILTER (direction = 'EXIT') AS exit_count
             FROM raw GROUP BY 1)
       WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ingestion_time) - INTERVAL 10 MINUTE FROM raw)""",
-    "stream_dedup_first": "SELECT DISTINCT badge_id, event_timestamp FROM raw",
+    "stream_dedup_first": """
+      SELECT DISTINCT ON (badge_id, event_timestamp) * EXCLUDE (raw_json, redelivery, event_id) FROM raw
+      ORDER BY badge_id, event_timestamp, (event_id // 20 + 2 * redelivery) % 3, ingestion_time""",
 }
 
 # The newest change of each user's department, for the Type-2 query.
 _WANTED = """,
 wanted AS (
-  SELECT user_id, arg_max(coalesce(upper(direction), 'UNKNOWN'), ingestion_time) AS department
-  FROM decoded WHERE redelivery = 0 GROUP BY 1
+  SELECT user_id, arg_max(coalesce(upper(direction), 'UNKNOWN'), ingestion_time) AS department,
+    max(ingestion_time) AS changed_at
+  FROM decoded GROUP BY 1
+),
+opened AS (
+  SELECT user_id, (SELECT max(user_key) FROM users)
+    + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key
+  FROM users u JOIN wanted d USING (user_id) WHERE d.department <> u.department
 )"""
 
 

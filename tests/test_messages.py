@@ -1,8 +1,10 @@
+import random
 from decimal import Decimal
 
 import pytest
+from badgeflow import schemas
 from badgeflow.sources.messages import (
-    decode_messages, parse_messages, read_messages, rejected_events, shape_events,
+    broken_rules, decode_messages, parse_messages, read_messages, rejected_events, shape_events,
 )
 from badgeflow.sources import sample, seeds
 from helpers import AS_OF, at, message, messages, rows
@@ -42,10 +44,13 @@ def test_fraction_kept_on_request(spark):
 
 @pytest.mark.parametrize("text", ["2024-11-04T10:30:00+05:00", "2024-11-04T10:30:00Z", "2024-11-04 10:30:00"])
 def test_offset_is_dropped(spark, text):
-    parsed = parse_messages(messages(spark, message(event_timestamp=text)), AS_OF)
+    parsed = parse_messages(messages(spark, message(event_timestamp=text)), "2024-11-04 12:00:00")
     assert rows(parsed.select("event_timestamp")) == [(at("2024-11-04T10:30:00"),)]
 
 
+EMPTY = [f"{f} missing" for f in ("badge_id", "user_id", "zone_id", "reader_id", "event_timestamp")]
+
+
 @pytest.mark.parametrize("line,rules", [
     (message(badge_id=...), ["badge_id missing"]),
     (message(user_id=None, zone_id=...), ["user_id missing", "zone_id missing"]),
@@ -56,7 +61,11 @@ def test_offset_is_dropped(spark, text):
     (message(signal_strength=1000), ["signal_strength out of range"]),
     (message(direction="D" * 11), ["direction too long"]),
     (message(BADGE_ID="x", badge_id=...), ["badge_id missing"]),
-    ("not json", [f"{f} missing" for f in ("badge_id", "user_id", "zone_id", "reader_id", "event_timestamp")]),
+    ("not json", EMPTY), (message() + message(), EMPTY), (message() + "," + message(), EMPTY), ("[" + message() + "]", EMPTY),
+    (message() + " x", EMPTY), ("[]", EMPTY), ("7", EMPTY),
+    (message(event_timestamp="2024"), ["event_timestamp not a timestamp"]),
+    (message(event_timestamp="2011-01-10T10:30:00"), ["event_timestamp out of range"]),
+    (message(event_timestamp="2024-02-01T00:00:01"), ["event_timestamp out of range"]),
 ])
 def test_rejects(spark, line, rules):
     decoded = decode_messages(messages(spark, line, message()), AS_OF)
@@ -64,6 +73,25 @@ def test_rejects(spark, line, rules):
     assert rows(rejected_events(decoded).select("raw_json", "broken_rules")) == [(line, rules)]
 
 
+def test_good_rows_break_no_rule_and_others_do(spark):
+    """The filter of good rows and the list of rules say the same."""
+    draw = random.Random(1)
+    texts = [None, "", "x", "x" * 50, "x" * 51]
+    moments = [None, "", "2024", "2024-01-10", "2024-01-10T10:00", "2024-13-01", "1999-01-01", "2030-01-01", "x", " 2024-01-10 "]
+    signals = [None, "", "x", "-65.5", "999.4", "999.5", "-1000", "1e3", "NaN"]
+    lines = [
+        tuple(draw.choice(c) for c in (texts, texts, texts, texts, moments, signals, [None, "", "ß" * 6, "d" * 11])) for _ in range(600)
+    ]
+    lines += [("b", "u", "z", "r", m, s, None) for m in moments for s in signals]
+    decoded = spark.createDataFrame(lines, schemas.MESSAGE).withColumns({
+        "ingestion_time": F.lit(AS_OF).cast("timestamp_ntz"), "raw_json": F.lit("{}"),
+    })
+    free = decoded.where(F.size(broken_rules()) == 0)
+    assert 0 < free.count() == shape_events(decoded).count()
+    assert rejected_events(decoded).where(F.size("broken_rules") == 0).count() == 0
+    assert rejected_events(decoded).count() + free.count() == len(lines)
+
+
 def test_limits_are_inclusive(spark):
     line = message(reader_id="R" * 50, direction="d" * 10, signal_strength=-999)
     decoded = decode_messages(messages(spark, line), AS_OF)

@@ -58,11 +58,12 @@ def test_retention_edge(spark):
     assert [r.badge_id for r in kept.collect()] == ["in"]
 
 
-def test_pending(spark):
-    all_rows = raw(spark, raw_row(badge="a", arrived="2024-01-10T10:00:00"), raw_row(badge="b", arrived="2024-01-10T11:00:00"))
-    assert staging.pending(all_rows, staged(spark)).count() == 2
-    first = staged(spark, raw_row(badge="a", arrived="2024-01-10T10:00:00"))
-    assert [r.badge_id for r in staging.pending(all_rows, first).collect()] == ["b"]
+def test_first_wins_and_known_keys_go(spark):
+    lines = [raw_row(arrived=f"2024-01-10T10:{m:02d}:00", reader=f"R{m}") for m in range(59, -1, -1)] + [raw_row(badge="B2")]
+    firsts = staging.first_per_key(raw(spark, *lines))
+    assert sorted((r.badge_id, r.reader_id) for r in firsts.collect()) == [("B1", "R0"), ("B2", "RDR-1")]
+    left = staging.without_known(firsts, firsts, raw(spark, raw_row(badge="B2"), raw_row(badge="B9")))
+    assert [r.badge_id for r in left.collect()] == ["B1"]
 
 
 def test_latest_rows(spark):
@@ -118,8 +119,10 @@ def test_type_2_changes(spark):
     assert after.count() == 7 and after.columns == schemas.USERS.fieldNames()
     versions = rows(after.where("user_id = 'USR-001'").orderBy("user_key").select(
         "user_key", "user_name", "department", "is_current", "effective_end_date"))
-    assert versions[0] == (1, "John Smith", "Engineering", False, at("2024-02-03T00:00:00"))
+    assert versions[0] == (1, "John Smith", "Engineering", False, at("2024-02-02T00:00:00"))
     assert versions[1][1:] == ("John Smith", "Legal", True, None)
+    opened = after.where("user_key > 5 AND user_id = 'USR-001'").first()
+    assert opened.effective_start_date == at("2024-02-02T00:00:00")
     assert after.where("is_current AND user_id = 'USR-002'").first().user_key == 2
     assert after.where("user_id = 'USR-777'").first().department == "New"
     assert sorted(r.user_key for r in after.collect()) == [1, 2, 3, 4, 5, 6, 7]

@@ -13,14 +13,15 @@ def database():
 
 
 def test_names_match():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._QUERIES) == set(entry.oracle.statements())
+    assert set(entry._QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["zone_name", "zone_type", "building_name", "access_count"]
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry._QUERIES))
 def test_query(spark, database, name):
     result = entry.queries()[name](spark, SF_DIR)
     assert compare.difference(result, database, entry.oracle_sql()[name]) is None

@@ -4,6 +4,7 @@ import re
 
 from badgeflow.functions.clock import ago, since
 from badgeflow.operators import facts, staging, users
+from badgeflow.plans import monitoring as m
 from badgeflow.plans import pipeline, validation as v
 from badgeflow.sources.seeds import seed_users, seed_zones
 from badgeflow.streaming import changes
@@ -34,16 +35,28 @@ def many(spark, n=2000):
     ).withColumn("staging_time", F.col("ingestion_time"))
 
 
-def test_dedup_and_anti_join_share_a_shuffle(spark, layout):
-    held = layout.fact(spark)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_small_load_does_not_shuffle_the_fact(spark, layout):
+    """As loaded: 2,000 held facts of the day against two staged rows, with a low broadcast limit."""
+    pipeline.load_facts(spark, layout, many(spark), AS_OF)
+    known = raw_row(badge="B5", when="2024-01-10T00:00:05")
+    staged_row = pipeline.stage_batch(spark, layout, raw(spark, raw_row(), known), 0, AS_OF)
+    limit = str(50 * 1024)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", limit)
     try:
-        fresh = facts.not_loaded(staging.latest_per_key(many(spark)), held)
-        text = plan(fresh)
+        made = pipeline.missing_facts(spark, layout, staged_row, AS_OF)
+        assert made.count() == 1
+        made.collect()
+        text = plan(made)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in text
-    assert len(re.findall(r"Exchange hashpartitioning\(event_timestamp", text)) == 2  # one per side
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    text = text.split("Initial Plan")[0]
+    lines = text.splitlines()
+    scan = next(n for n, line in enumerate(lines) if "FileScan" in line and "[isnotnull(event_date#" in line)
+    joins = [n for n, line in enumerate(lines[:scan]) if "BroadcastHashJoin [event_timestamp" in line and "LeftSemi" in line]
+    assert joins, text
+    assert not any("Exchange" in line for line in lines[joins[-1] : scan])
 
 
 def test_users_are_not_hinted_as_broadcast(spark):
@@ -51,29 +64,33 @@ def test_users_are_not_hinted_as_broadcast(spark):
     assert "strategy=broadcast" not in optimized(made)
 
 
-def test_hot_user_is_split(spark, tmp_path):
+def test_hot_user_is_split(spark, layout, tmp_path):
+    """The engine's own enrichment of rows of which two thirds are one user's."""
     path = str(tmp_path / "hot")
-    rows = spark.range(0, 200_000, 1, 8).select(
-        F.when(F.col("id") % 3 > 0, "USR-HOT").otherwise(F.concat(F.lit("U"), F.col("id").cast("string"))).alias("user_id"),
-        F.sha2(F.col("id").cast("string"), 256).alias("badge_id"))
-    rows.write.parquet(path)
-    keys = str(tmp_path / "keys")
-    rows.select("user_id").distinct().withColumn("user_key", F.xxhash64("user_id")).write.parquet(keys)
+    n = F.col("id")
+    one = raw(spark, raw_row()).select(*staging.EVENT_COLUMNS).drop("badge_id", "event_timestamp", "user_id")
+    spark.range(0, 60_000, 1, 8).select(
+        F.when(n % 3 > 0, "USR-HOT").otherwise(F.concat(F.lit("U"), (n % 5000).cast("string"))).alias("user_id"),
+        F.sha2(n.cast("string"), 256).alias("badge_id"),
+        (F.lit("2024-01-10").cast("timestamp_ntz") + F.make_dt_interval(secs=n)).alias("event_timestamp"),
+    ).join(one).withColumn("staging_time", F.col("ingestion_time")).write.parquet(path)
+    events = spark.read.parquet(path)
+    pipeline.merge_batch_users(spark, layout, events, AS_OF)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
         "spark.sql.shuffle.partitions": "16",
     }
     old = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        joined = spark.read.parquet(path).join(spark.read.parquet(keys), "user_id")
-        assert joined.collect()
-        assert "skew=true" in plan(joined)
+        made = facts.enrich(events, layout.users(spark), layout.zones(spark), None, AS_OF)
+        assert len(made.collect()) == 60_000
+        assert "skew=true" in plan(made)
     finally:
         for key, value in old.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
@@ -117,8 +134,19 @@ def test_day_partitions_are_pruned(spark, layout):
 
 def test_load_reads_only_the_dates_of_the_batch(spark, layout):
     load(spark, layout)
-    dates = [F.lit("2024-01-02").cast("date"), F.lit("2024-01-11").cast("date")]
-    assert scanned_partitions(layout.fact(spark).where(F.col("event_date").isin(*dates))) == 2
+    staged_rows = pipeline.stage_batch(
+        spark, layout, raw(spark, raw_row(when="2024-01-02T11:00:00"), raw_row(when="2024-01-04T10:00:00")), 7, AS_OF)
+    made = pipeline.missing_facts(spark, layout, staged_rows, AS_OF)
+    assert made.count() == 2
+    text = optimized(made)
+    assert re.search(r"event_date#\d+ >= 2024-01-02", text) and re.search(r"event_date#\d+ <= 2024-01-04", text)
+
+
+def test_latency_prunes_all_three_layers(spark, layout):
+    load(spark, layout)
+    day = "2024-01-12 10:30:00"
+    text = plan(m.layer_latency(layout.raw(spark), layout.staging(spark), layout.fact(spark), day))
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*(?:ingestion_date|load_date)[^\]]*>=", text)) == 3
 
 
 def test_columns_are_pruned(spark, layout):

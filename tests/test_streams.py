@@ -1,10 +1,15 @@
+import glob
+
 import pytest
 from badgeflow.operators.facts import enrich
-from badgeflow.operators.staging import EVENT_KEY, stage
+from badgeflow import schemas
+from badgeflow.operators.staging import stage
 from badgeflow.plans import pipeline, views
+from badgeflow.plans import validation as v
 from badgeflow.plans.quality import orphan_keys, staging_duplicates
 from badgeflow.sources.messages import parse_messages
 from badgeflow.sources.seeds import seed_users, seed_zones
+from badgeflow.sources.tables import with_file
 from badgeflow.streaming import changes, ingest, live
 from helpers import AS_OF, at, message, raw, raw_row, rows
 from pyspark.sql import functions as F
@@ -23,23 +28,36 @@ def event(n, **other):
     return raw_row(badge=f"B{n % 7}", when=f"2024-01-{n % 5 + 10}T10:{n:02d}:00", user=f"USR-{n % 9:03d}", **other)
 
 
-def test_ingest_and_rejects(spark, layout, tmp_path):
+def test_ingest_keeps_every_line(spark, layout, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "a.json").write_text(message() + "\n" + message(badge_id=...) + "\n")
+    bad = [message(badge_id=...), message(badge_id="B8") + message(badge_id="B9"), "junk"]
+    (folder / "a.json").write_text("\n".join([message(), *bad]) + "\n")
     ingest.ingest(spark, str(folder), layout, AS_OF).awaitTermination()
-    ingest.keep_rejects(spark, str(folder), layout, AS_OF).awaitTermination()
     (folder / "b.json").write_text(message(badge_id="B2") + "\n")
     ingest.ingest(spark, str(folder), layout, AS_OF).awaitTermination()
     loaded = layout.raw(spark)
     assert sorted(r.badge_id for r in loaded.collect()) == ["B2", "BADGE-001"]
     assert loaded.where(F.col("message_bytes") != F.octet_length("raw_json")).count() == 0
-    rejects = spark.read.parquet(layout.path("rejects"))
-    assert rows(rejects.select("broken_rules")) == [(["badge_id missing"],)]
+    rejects = layout.table(spark, "rejects")
+    assert sorted(r.raw_json for r in rejects.collect()) == sorted(bad)
+    assert rejects.where(F.size("broken_rules") == 0).count() == 0
     follow(spark, layout)
     assert layout.fact(spark).count() == 2
     assert layout.ingest_log(spark).first().num_rows_migrated == 2
-    assert [r.state for r in layout.run_log(spark).collect()] == ["SUCCEEDED"]
+    logged = layout.run_log(spark).orderBy("scheduled_time").collect()
+    assert [(r.name, r.state, r.attempt) for r in logged] == [
+        ("badge_stage_task", "SUCCEEDED", 1), ("badge_enrich_task", "SUCCEEDED", 1)]
+
+
+def test_a_replayed_ingest_batch_replaces_itself(spark, layout):
+    from badgeflow.sources.messages import decode_messages
+    from helpers import messages
+
+    for _ in range(2):
+        ingest.write_messages(layout, decode_messages(messages(spark, message(), "junk"), AS_OF), "stream-a", 3)
+    ingest.write_messages(layout, decode_messages(messages(spark, message()), AS_OF), "stream-b", 3)
+    assert layout.raw(spark).count() == 2 and layout.table(spark, "rejects").count() == 1
 
 
 def test_stream_equals_batch(spark, layout):
@@ -88,20 +106,162 @@ def test_replayed_batch_changes_nothing(spark, layout):
 
 def test_replay_after_a_crash_between_users_and_facts(spark, layout):
     batch = raw(spark, *map(event, range(20)))
-    layout.replace_staging(stage(batch, STAGED), 0)
-    pipeline.merge_batch_users(spark, layout, layout.staging(spark), 0, AS_OF)
+    staged = pipeline.stage_batch(spark, layout, batch, 0, STAGED)
+    pipeline.merge_batch_users(spark, layout, staged, AS_OF)
     users = rows(layout.users(spark).orderBy("user_key"))
     pipeline.process_batch(spark, layout, batch, 0, AS_OF, STAGED, STAGED)
     assert rows(layout.users(spark).orderBy("user_key")) == users
     assert layout.fact(spark).count() == 20
 
 
-def test_failed_run_is_logged(spark, layout):
-    bad = raw(spark, event(1)).drop("zone_id").withColumn("message_bytes", F.lit(1))
+def named(layout, spark):
+    """Which user each fact names."""
+    users = layout.users(spark).select("user_key", "user_id")
+    return sorted(rows(layout.fact(spark).join(users, "user_key").select("badge_id", "event_timestamp", "user_id")))
+
+
+def wanted(*lines):
+    return sorted((r[0], r[4], r[1]) for r in lines)
+
+
+def test_backfill_then_follow_keeps_users(spark, layout):
+    old, new = list(map(event, range(20))), [event(n) for n in range(20, 40)]
+    pipeline.process_batch(spark, layout, raw(spark, *old), 0, AS_OF, STAGED, STAGED)
+    before = {r.user_id: r.user_key for r in layout.users(spark).collect()}
+    layout.append_raw(raw(spark, *new))
+    follow(spark, layout)
+    assert named(layout, spark) == wanted(*old, *new)
+    after = {r.user_id: r.user_key for r in layout.users(spark).collect()}
+    assert before.items() <= after.items() and len(set(after.values())) == len(after)
+    assert layout.staging(spark).count() == 40
+
+
+def test_a_lost_checkpoint_changes_no_key(spark, layout):
+    from badgeflow.sources import files
+
+    lines = [event(n, reader=f"R{n}") for n in range(30)]
+    for part in range(3):
+        layout.append_raw(raw(spark, *lines[part::3]).coalesce(1))
+        follow(spark, layout)
+    facts, users = named(layout, spark), rows(layout.users(spark).orderBy("user_key"))
+    files.remove(spark, layout.checkpoint("changes"))
+    follow(spark, layout)
+    assert named(layout, spark) == facts == wanted(*lines)
+    assert rows(layout.users(spark).orderBy("user_key")) == users
+    assert layout.staging(spark).select("run").distinct().count() == 2  # the first run's batches are left alone
+
+
+def test_every_attempt_is_logged(spark, layout):
+    batch = raw(spark, event(1)).withColumn("message_bytes", F.lit(1))
+    for lines in (batch.drop("zone_id"), batch):
+        try:
+            changes.batch_handler(layout, AS_OF)(lines, 0)
+        except Exception:
+            pass
+    logged = layout.run_log(spark).orderBy("scheduled_time").collect()
+    assert [(r.name, r.state, r.attempt) for r in logged] == [
+        ("badge_stage_task", "FAILED", 1), ("badge_stage_task", "SUCCEEDED", 2), ("badge_enrich_task", "SUCCEEDED", 1)]
+    assert logged[0].error_message
+
+
+def pending(spark, layout):
+    return v.pending_count(layout.unstaged(spark, with_file(layout.raw(spark)))).first().pending_count
+
+
+def test_pending_counts_rows_of_files_not_taken(spark, layout):
+    for part in range(4):
+        layout.append_raw(raw(spark, *[event(n, arrived="2024-01-20T00:00:00") for n in range(part, 8, 4)]).coalesce(1))
+    assert pending(spark, layout) == 8
+
+    class Stop(Exception):
+        pass
+
+    taken = []
+
+    def once(batch, batch_id):
+        if taken:
+            raise Stop
+        taken.append(batch_id)
+        changes.batch_handler(layout, AS_OF, STAGED, STAGED)(batch, batch_id)
+
     with pytest.raises(Exception):
-        changes.batch_handler(layout, AS_OF)(bad, 0)
-    logged = layout.run_log(spark).first()
-    assert logged.state == "FAILED" and logged.error_message
+        follow(spark, layout, handle=once, max_files=1)
+    assert pending(spark, layout) == 6
+    follow(spark, layout)
+    assert pending(spark, layout) == 0
+    layout.append_raw(raw(spark, event(9, arrived="2024-01-19T00:00:00")))  # older than what is staged
+    assert pending(spark, layout) == 1
+
+
+def test_closed_days_keep_their_rows_and_are_not_read_again(spark, layout):
+    for n in range(4):
+        layout.append_raw(raw(spark, event(n, arrived="2024-01-20T00:00:00")))
+    with pytest.raises(RuntimeError):
+        layout.close_day(spark, "raw", "2024-01-20")
+    follow(spark, layout)
+    everything = sorted(rows(layout.raw(spark).drop("run", "batch_id")))
+    staging = sorted(rows(layout.staging(spark).drop("run", "batch_id")))
+    for _ in range(2):
+        layout.close_day(spark, "raw", "2024-01-20")
+        layout.close_day(spark, "staging", "2024-01-31")
+    folders = glob.glob(f"{layout.path('raw')}/ingestion_date=2024-01-20/run=*/batch_id=*")
+    assert len(folders) == 1 and len(glob.glob(f"{folders[0]}/*.parquet")) == 1
+    assert sorted(rows(layout.raw(spark).drop("run", "batch_id"))) == everything
+    assert sorted(rows(layout.staging(spark).drop("run", "batch_id"))) == staging
+    assert pending(spark, layout) == 0
+    calls = []
+    follow(spark, layout, handle=lambda batch, batch_id: calls.append(batch_id))
+    assert calls == []
+    layout.append_raw(raw(spark, event(7, arrived="2024-01-20T05:00:00")))
+    follow(spark, layout)
+    assert layout.fact(spark).count() == 5
+
+
+def test_closing_goes_on_after_a_crash(spark, layout, monkeypatch):
+    for n in range(3):
+        pipeline.process_batch(spark, layout, raw(spark, event(n)), n, AS_OF, STAGED, STAGED)
+    before = sorted(rows(layout.staging(spark).drop("run", "batch_id")))
+    from badgeflow.sources import files
+
+    rename = files.rename
+    monkeypatch.setattr(files, "rename", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        layout.close_day(spark, "staging", "2024-01-31")
+    monkeypatch.setattr(files, "rename", rename)
+    layout.close_day(spark, "staging", "2024-01-31")
+    assert sorted(rows(layout.staging(spark).drop("run", "batch_id"))) == before
+
+
+def test_old_days_expire(spark, layout):
+    for n, day in enumerate(("2024-01-29", "2024-01-30", "2024-01-31")):
+        pipeline.process_batch(spark, layout, raw(spark, event(n)), n, AS_OF, f"{day} 00:01:00", STAGED)
+    layout.expire(spark, "staging", "2024-01-31")
+    assert [str(r.load_date) for r in layout.staging(spark).collect()] == ["2024-01-31"]
+    assert layout.fact(spark).count() == 3
+
+
+def test_a_batch_lists_its_own_folders_only(spark, layout):
+    """What a batch reads of staging and logs does not grow with earlier batches."""
+    for n in range(12):
+        pipeline.process_batch(spark, layout, raw(spark, event(n)), n, AS_OF, STAGED, STAGED)
+    own = layout.batch(spark, "staging", "by-hand", 11)
+    assert len(own.inputFiles()) == 1 and own.count() == 1
+    before = layout.users(spark).inputFiles()
+    pipeline.process_batch(spark, layout, raw(spark, event(11)), 12, AS_OF, STAGED, STAGED)
+    assert layout.users(spark).inputFiles() == before  # a batch without new users writes nothing
+    layout.close_users(spark)
+    assert len(layout.users(spark).inputFiles()) == 1
+    layout.close_day(spark, "staging", "2024-01-31")
+    assert len(layout.staging(spark).inputFiles()) == 1
+
+
+def test_changed_users_are_stored_and_taken_by_later_loads(spark, layout):
+    pipeline.process_batch(spark, layout, raw(spark, raw_row()), 0, AS_OF, STAGED, STAGED)
+    change = spark.createDataFrame([("USR-001", at("2024-01-11T00:00:00"), "Sales")], "user_id string, changed_at timestamp_ntz, department string")
+    pipeline.change_users(spark, layout, change, ["department"], AS_OF)
+    pipeline.process_batch(spark, layout, raw(spark, raw_row(badge="B2")), 1, AS_OF, STAGED, STAGED)
+    assert sorted((r.badge_id, r.user_key) for r in layout.fact(spark).collect()) == [("B1", 1), ("B2", 6)]
+    assert layout.users(spark).where("user_key = 6").first().effective_start_date == at("2024-01-11T00:00:00")
 
 
 def test_catch_up_loads_zones_added_later(spark, layout):
@@ -134,21 +294,27 @@ def test_live_metrics(spark, layout, tmp_path):
     assert counts[10].net_occupancy_change == 30
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_first_arrivals(spark, layout, tmp_path, salts):
-    hot = [raw_row(arrived=f"2024-01-10T10:00:{n:02d}", reader=f"R{n}") for n in range(40)]
-    layout.append_raw(raw(spark, *hot, *map(event, range(20))))
-    found = drained(spark, live.first_arrivals(layout.raw_stream(spark), salts=salts), tmp_path)
-    assert found.count() == found.select(*EVENT_KEY).distinct().count() == 21
+def arrivals(spark, layout, *deliveries):
+    for lines in deliveries:
+        raw(spark, *lines).coalesce(1).write.mode("append").parquet(layout.path("arriving"))
+        stream = spark.readStream.schema(schemas.RAW).parquet(layout.path("arriving"))
+        live.first_arrivals(spark, stream, layout).awaitTermination()
+    return layout.table(spark, "first_events")
 
 
-def test_first_arrival_stays_across_batches(spark, layout, tmp_path):
-    layout.append_raw(raw(spark, raw_row(direction="ENTRY")))
-    stream = live.first_arrivals(layout.raw_stream(spark))
-    drained(spark, stream, tmp_path)
-    layout.append_raw(raw(spark, raw_row(direction="EXIT", arrived="2024-01-10T10:05:00")))
-    found = drained(spark, live.first_arrivals(layout.raw_stream(spark)), tmp_path)
-    assert [r.direction for r in found.collect()] == ["ENTRY"]
+def test_the_first_of_a_hot_key_is_the_oldest(spark, layout):
+    hot = [raw_row(arrived=f"2024-01-10T10:{n:02d}:00", reader=f"R{n}") for n in range(59, -1, -1)]
+    found = arrivals(spark, layout, [*hot, *map(event, range(20))])
+    assert found.count() == 21
+    assert [r.reader_id for r in found.where("badge_id = 'B1' AND reader_id <> 'RDR-1'").collect()] == ["R0"]
+
+
+def test_late_rows_are_kept_and_later_copies_are_not(spark, layout):
+    late = raw_row(badge="C", arrived="2024-01-10T08:00:00")
+    found = arrivals(
+        spark, layout, [raw_row(badge="A", arrived="2024-01-20T00:00:00")],
+        [raw_row(badge="B", arrived="2024-01-15T00:00:00"), raw_row(badge="A", arrived="2024-01-10T00:00:00")], [late])
+    assert sorted((r.badge_id, r.ingestion_time.day) for r in found.collect()) == [("A", 20), ("B", 15), ("C", 10)]
 
 
 def test_views_and_checks_by_name(spark, layout):
@@ -167,13 +333,14 @@ def test_views_and_checks_by_name(spark, layout):
     results = {n: rows(df) for n, df in views.run_checks(spark, layout, changes.DATABASE, "badge_%").items()}
     assert results["layer_row_counts"] == [("RAW Layer", 12), ("STAGING Layer", 12), ("ANALYTICS Layer", 12)]
     assert results["pending_status"][0][1] == "false"
-    assert [r[1] for r in results["recent_runs"]] == ["SUCCEEDED"]
+    assert [r[1] for r in results["recent_runs"]] == ["SUCCEEDED"] * 2
     assert results["staging_duplicates"] == results["dimension_duplicates"] == results["orphan_keys"] == []
 
 
-def test_batch_append_next_to_a_stream_is_refused(spark, layout, tmp_path):
+def test_a_batch_append_next_to_a_stream_is_followed(spark, layout, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(message() + "\n")
     ingest.ingest(spark, str(tmp_path / "in"), layout, AS_OF).awaitTermination()
-    with pytest.raises(RuntimeError):
-        layout.append_raw(raw(spark, event(1)))
+    layout.append_raw(raw(spark, event(1)))
+    follow(spark, layout)
+    assert layout.raw(spark).count() == layout.fact(spark).count() == 2

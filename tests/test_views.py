@@ -127,22 +127,34 @@ def test_reports_of_an_empty_fact(spark):
     assert rows(v.events_by_date(empty)) == []
 
 
+def unstaged(spark, *counts):
+    return spark.createDataFrame([(n,) for n in counts], "n_rows bigint")
+
+
 def test_pending_texts(spark):
-    one = raw(spark, raw_row())
-    assert rows(v.pending_status(one, staged(spark)))[0][1:] == ("true", "WARNING:  Data pending (tasks still processing)")
-    assert rows(v.pending_status(one, staged(spark, raw_row())))[0][1:] == ("false", " Stream consumed (pipeline caught up)")
-    assert rows(v.pending_count(one, staged(spark))) == [("Stream Pending Records", 1)]
+    some, none = unstaged(spark, 1, 2), unstaged(spark)
+    assert rows(v.pending_status(some))[0][1:] == ("true", "WARNING:  Data pending (tasks still processing)")
+    assert rows(v.pending_status(none))[0][1:] == ("false", " Stream consumed (pipeline caught up)")
+    assert rows(v.pending_count(some)) == [("Stream Pending Records", 3)]
+    assert rows(v.pending_count(none)) == [("Stream Pending Records", 0)]
 
 
 def test_pipeline_health(spark, fact):
     log = run_log(spark, ("t", "FAILED", "DB", "2024-01-30T23:50:00", None, 0.0))
-    one = raw_row()
-    found = {r[0]: r[1:] for r in rows(v.pipeline_health(raw(spark, one), staged(spark, one), fact, log, AS_OF))}
+    found = {r[0]: r[1:] for r in rows(v.pipeline_health(unstaged(spark, 4), staged(spark, raw_row()), fact, log, AS_OF))}
     assert found == {
-        "staging covers facts": (False, -3), "no pending rows": (True, 0),
+        "staging covers facts": (False, -3), "no pending rows": (False, 4),
         "latency below 120 s": (False, 288030), "required fields present": (True, 0), "no failed runs": (False, 1)}
 
 
+def test_limits_are_parameters(spark):
+    log = run_log(spark, *[("t", "SUCCEEDED", "DB", f"2024-01-30T23:{m:02d}:00", f"2024-01-30T23:{m:02d}:05", 0.0) for m in range(30)])
+    assert v.recent_runs(log, "DB", AS_OF).count() == 5 and v.recent_runs(log, "DB", AS_OF, limit=None).count() == 30
+    assert v.run_errors(log, "DB", AS_OF).count() == 20 and v.run_errors(log, "DB", AS_OF, limit=25).count() == 25
+    assert rows(m.run_summary(log, "DB", AS_OF)) == [("t", 30, 5.0)]
+    assert rows(m.run_summary(log, "DB", AS_OF, limit=7)) == [("t", 7, 5.0)]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_median_against_statistics(spark, seed):
     draw = random.Random(seed)

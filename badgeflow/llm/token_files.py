@@ -3,8 +3,8 @@
 Documents are tokenized where they lie and their ids written once to the shared folder. Ids are counted
 over the corpus; the most frequent one becomes rank 0, so most tokens take one byte. A rank takes 1 to 4
 bytes in the data stream; its length is 2 bits in a separate control stream, so that a reader finds all
-lengths by looking control bytes up in a table of 256 rows, without a branch for each value. Coded documents
-are range-partitioned and sorted by doc_id and written in blocks (a Parquet row each, columns below); the
+lengths by looking control bytes up in a table of 256 rows, without a branch for each value. Documents
+are range-partitioned and sorted by doc_id, coded and written in blocks (a Parquet row each, columns below); the
 table of ranks lies beside them. Nothing but the ranks (one for each id of the vocabulary) and the totals of
 the partitions is gathered.
 
@@ -14,14 +14,16 @@ the partitions is gathered.
 Each document fills up whole control bytes: it is padded to a multiple of four values with rank 0.
 
 Defined cases: a null or empty text has only the end id. Repeated rows are each written; rows of equal doc_id
-(null ones come first) are ordered by their ids' coding. Other columns of the input are not read.
+(null ones come first) are ordered by their ids' bytes. Other columns of the input are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -35,7 +37,7 @@ from badgeflow.session import work_dir
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 16
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 
 #: Lengths of the four values of each control byte.
 LENGTHS = np.stack([(np.arange(256) >> (2 * i)) & 3 for i in range(4)], axis=1).astype(np.uint8) + 1
@@ -64,56 +66,64 @@ def decode(control: bytes, data: bytes) -> np.ndarray:
 
 # --- tokenizing ---------------------------------------------------------------------------
 
-# White space that the library and str.split may see differently: such texts go to it whole.
-_UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]|<\\|")
-_PLAIN = re.compile(r"([a-z]+)([!-/:-@\[-`{-~]+)")
+#: Fixed value: how a vocabulary of word pieces splits text. Between its pieces lies white space, letters never
+#: share a piece with signs, and only an apostrophe can tie letters to a sign before them.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
-class WordCache:
-    """Ids of texts, from those of their white-space-separated pieces.
+def _byte_letters() -> dict[int, int]:
+    """The usual letters for bytes: printable ones stand for themselves, the others for code points from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
 
-    Usable where the tokenizer never looks across white space, as with vocabularies of word pieces; texts
-    with special tokens or unusual white space are encoded whole. The cache is emptied when it is full.
+
+class WordCache(dict):
+    """Ids (as bytes) of white-space-separated pieces of lower-cased text, looked up or else tokenized.
+
+    Usable where the tokenizer splits at white space and ignores case (WORD_PATTERN); with any other one,
+    and for texts that may hold special tokens, whole texts are encoded. Plain words go to the library's
+    model at once, as its other steps leave them as they are. The cache is emptied when it is full.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        steps = json.loads(self.tokenizer.to_str())
+        kinds = [n["type"] for n in (steps["normalizer"] or {}).get("normalizers", [])]
+        splits = [p.get("pattern", {}).get("Regex") for p in (steps["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.by_words = kinds == ["NFC", "Replace", "Lowercase"] and splits == [WORD_PATTERN, None]
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         done = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in done]
 
-    def _learn(self, words: set[str]) -> None:
-        parts = {}
-        for w in words:
-            low = w.lower() if w.isascii() else w
-            m = _PLAIN.fullmatch(low)  # letters, then signs: two pieces for the tokenizer
-            parts[w] = m.groups() if m else (low,)
-        new = list({p for ps in parts.values() for p in ps}.difference(self.known))
-        self.known.update(zip(new, self._library(new)))
-        for w, ps in parts.items():
-            if w not in self.known:
-                self.known[w] = b"".join(map(self.known.__getitem__, ps))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [i for i, t in enumerate(texts) if _UNUSUAL.search(t)]
-        out = dict(zip(whole, self._library([texts[i] for i in whole])))
-        pieces = {i: t.split() for i, t in enumerate(texts) if i not in out}
-        words = set().union(*pieces.values())
-        missing = words.difference(self.known)
-        if missing:
-            emptied = len(self.known) + 3 * len(missing) > CACHED_WORDS
-            if emptied:
-                self.known.clear()
-            self._learn(words if emptied else missing)
-        get = self.known.__getitem__
-        out.update((i, b"".join(map(get, p))) for i, p in pieces.items())
-        return [out[i] for i in range(len(texts))]
+    def __missing__(self, piece: bytes) -> bytes:
+        plain = _PLAIN.fullmatch(piece.decode("utf-8", "replace"))
+        if not plain:
+            ids = self.whole([piece.decode("utf-8", "replace")])[0]
+        elif plain[2]:  # letters, then signs: two pieces for the tokenizer
+            ids = self[plain[1].encode()] + self[plain[2].encode()]
+        else:
+            text = plain[1]
+            if not text.isascii():
+                text = text.lower().encode().decode("latin-1").translate(self.letters)
+            ids = array(self.dtype.char, [t.id for t in self.model.tokenize(text)]).tobytes()
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[piece] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        if not self.by_words or "<|" in text:
+            return self.whole([text])[0]
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").lower().split()))
 
 
 @lru_cache(maxsize=2)
@@ -127,7 +137,7 @@ def _tokenized(path: str, end_id: int):
         cache = word_cache(path)
         end = np.array([end_id], cache.dtype).tobytes()
         for piece, texts in slices(batches):
-            ids = [b + end for b in cache.encode(texts)]
+            ids = [cache.encode(t) + end for t in texts]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return rows
@@ -155,43 +165,34 @@ def _counted(dtype: np.dtype, size: int):
 # --- files --------------------------------------------------------------------------------
 
 
-def _coded(dtype: np.dtype, rank_of):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ranks = rank_of.value
-            ids = [np.frombuffer(x.as_buffer(), dtype) for x in batch.column("ids")]
-            coded = [encode(ranks[x]) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
-                names=["doc_id", "n", "control", "data"],
-            )
-
-    return rows
-
+def _blocked(dtype: np.dtype, rank_of, id_type: pa.DataType):
+    def block(first: int, doc_ids: list, ids: list[bytes]) -> pa.RecordBatch:
+        lengths = np.array([len(x) // dtype.itemsize for x in ids], np.int64)
+        padded = -(-lengths // 4) * 4
+        shift = np.repeat(np.cumsum(padded - lengths) - (padded - lengths), lengths)
+        values = np.zeros(padded.sum(), np.uint32)
+        values[np.arange(len(shift)) + shift] = rank_of.value[np.frombuffer(b"".join(ids), dtype)]
+        control, data = encode(values)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64()), pa.array([doc_ids], pa.list_(id_type)), pa.array([lengths.tolist()], pa.list_(pa.int64())),
+             pa.array([control], pa.binary()), pa.array([data], pa.binary())],
+            names=["first", "doc_ids", "lengths", "control", "data"],
+        )
 
-def _blocked(id_type: pa.DataType):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, held, size = 0, [], 0
-
-        def block() -> pa.RecordBatch:
-            ids, lengths, control, data = zip(*held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([first], pa.int64()), pa.array([list(ids)], pa.list_(id_type)),
-                 pa.array([list(lengths)], pa.list_(pa.int64())), pa.array([b"".join(control)], pa.binary()),
-                 pa.array([b"".join(data)], pa.binary())],
-                names=["first", "doc_ids", "lengths", "control", "data"],
-            )
-
+        first = size = 0
+        doc_ids, ids = [], []
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "control", "data"))):
-                if held and size + row[1] > BLOCK_TOKENS:
-                    yield block()
-                    first, held, size = first + size, [], 0
-                held.append(row)
-                size += row[1]
-        if held:
-            yield block()
+            for doc_id, coded in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
+                n = len(coded) // dtype.itemsize
+                if ids and size + n > BLOCK_TOKENS:
+                    yield block(first, doc_ids, ids)
+                    first, size, doc_ids, ids = first + size, 0, [], []
+                doc_ids.append(doc_id)
+                ids.append(coded)
+                size += n
+        if ids:
+            yield block(first, doc_ids, ids)
 
     return rows
 
@@ -215,13 +216,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> N
     rank_of[[i for _, i in counted]] = np.arange(len(counted))
 
     blocks = (
-        ids.mapInArrow(
-            _coded(dtype, spark.sparkContext.broadcast(rank_of)), f"doc_id {id_type}, n bigint, control binary, data binary"
-        )
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "n", "control", "data")
+        ids.repartitionByRange("doc_id")
+        .sortWithinPartitions("doc_id", "ids")
         .mapInArrow(
-            _blocked(_arrow_type(docs)),
+            _blocked(dtype, spark.sparkContext.broadcast(rank_of), _arrow_type(docs)),
             f"first bigint, doc_ids array<{id_type}>, lengths array<bigint>, control binary, data binary",
         )
     )

@@ -49,11 +49,14 @@ def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     bounds = np.cumsum([len(e) for e in encoded]) if encoded else np.zeros(0, np.int64)
     blank = BLANK_BYTES[raw]
     kept = ~blank
-    kept[1:] |= ~blank[:-1]  # a word and the blank behind it
+    kept[1:] |= ~blank[:-1]  # the blank behind a word
+    kept[np.r_[0, bounds[:-1]] if len(texts) else bounds] = True  # and the one before a text, so that texts never meet
     data = np.where(blank, np.uint8(SPACE), raw)[kept]
     text = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(np.r_[0, np.cumsum(kept)[bounds - 1]])) if len(texts) else np.zeros(0, np.int32)
-    end = np.flatnonzero(data == SPACE)
-    start = np.r_[0, end[:-1] + 1] if len(end) else end
+    inside = data != SPACE
+    before = np.zeros(len(data), bool)
+    before[1:] = inside[:-1]
+    start, end = np.flatnonzero(inside & ~before), np.flatnonzero(~inside & before)
     word, owner = SpanHash(data)(start, end), text[start]
     out = [(_row(word, 1), owner)]
     same = owner[1:] == owner[:-1]
@@ -61,7 +64,6 @@ def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     out.append((_row(pair, 2)[same], owner[1:][same]))
     rows, of = [], []
     wide = data.astype(np.uint64)
-    inside = data != SPACE
     for n in GRAMS:
         m = len(data) - n + 1
         if m <= 0:

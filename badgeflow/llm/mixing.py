@@ -155,7 +155,9 @@ def plans(rows: DataFrame, target: Target) -> tuple[DataFrame, DataFrame]:
         placed.join(cut, ["source", "block"]).withColumn("upto", F.col("before") + running)
         .where("upto <= rest").groupBy("source", "block").agg(F.max("place").alias("last"))
     )
-    taken = blocks.join(last, ["source", "block"], "left").select("source", "block", (F.col("upto") <= F.col("rest")).alias("whole"), "last")
+    taken = blocks.join(last, ["source", "block"], "left").select(
+        "source", "block", ((F.col("rest") > 0) & (F.col("upto") <= F.col("rest"))).alias("whole"), "last"
+    )
     return plan, written(taken.where("whole OR last IS NOT NULL"), "mix-taken")
 
 

@@ -257,12 +257,12 @@ blocks AS (
   )
 ),
 counted AS (
-  SELECT p.*, b.upto AS block_upto,
+  SELECT p.*, b.upto AS block_upto, b.upto - b.size AS block_before,
     b.upto - b.size + sum(n_tokens) OVER (PARTITION BY p.source, p.block ORDER BY p.place, p.doc_id::VARCHAR, n_tokens) AS upto
   FROM placed p JOIN blocks b USING (source, block)
 )
 SELECT doc_id, source, n_tokens, weight, repeats, passes, block,
-  passes + CASE WHEN block_upto <= rest OR upto <= rest THEN 1 ELSE 0 END AS copies
+  passes + CASE WHEN rest > 0 AND (block_upto <= rest OR block_before < rest AND upto <= rest) THEN 1 ELSE 0 END AS copies
 FROM counted
 """,
 }

@@ -56,18 +56,24 @@ def column_type(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def text_slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about SLICE_CHARS together."""
+    first = size = 0
+    for i, t in enumerate(texts):
+        if i > first and size + len(t) > SLICE_CHARS:
+            yield first, i
+            first, size = i, 0
+        size += len(t)
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Pieces of the batches with about SLICE_CHARS of text each, null texts as empty ones."""
     for batch in batches:
         texts = [t or "" for t in batch.column(text).to_pylist()]
-        first = size = 0
-        for i, t in enumerate(texts):
-            if i > first and size + len(t) > SLICE_CHARS:
-                yield batch.slice(first, i - first), texts[first:i]
-                first, size = i, 0
-            size += len(t)
-        if first < len(texts):
-            yield batch.slice(first), texts[first:]
+        for a, b in text_slices(texts):
+            yield batch.slice(a, b - a), texts[a:b]
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:

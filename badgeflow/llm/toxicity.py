@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from badgeflow.llm.common import Words, column_type, slices, words_of
+from badgeflow.llm.common import Words, column_type, slices, text_slices, words_of
 from badgeflow.llm.labels import MAX_CHARS, MAX_DOCS, fit_logistic, logistic, training_sample
 
 TABLE = 1 << 20
@@ -153,15 +153,42 @@ def _summary(words: Words, p: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(n), np.log(expected + 1e-2), largest], axis=1)
 
 
-def _distinct_documents(words: Words) -> np.ndarray:
+@dataclass(frozen=True)
+class Sample:
+    """The tokens of the training texts, made slice by slice."""
+
+    word: np.ndarray  # hash of each token
+    doc: np.ndarray
+    rows: list[np.ndarray]
+    first: np.ndarray
+    counts: np.ndarray
+    signatures: np.ndarray  # smallest shingle hashes of each document
+
+
+def sample(texts: list[str]) -> Sample:
+    parts = []
+    for a, b in text_slices(texts):
+        words = words_of(texts[a:b])
+        hashes, whole = words.grams(5)
+        doc = words.doc[: len(hashes)][whole]
+        least = np.full((SIGNATURES, b - a), np.uint64(0xFFFFFFFFFFFFFFFF))
+        for seed in range(SIGNATURES):
+            turned = (hashes[whole] ^ np.uint64(seed * 0x5851F42D4C957F2D % (1 << 64))) * np.uint64(0xD1342543DE82EF95)
+            np.minimum.at(least[seed], doc, turned)
+        word = words.spans(words.start, words.end)
+        parts.append((word, (words.doc + a).astype(np.int32), features(words), _first(words), words.counts, least))
+    word, doc, rows, first, counts, least = zip(*parts)
+    return Sample(
+        np.concatenate(word), np.concatenate(doc), [np.concatenate(r) for r in zip(*rows)], np.concatenate(first),
+        np.concatenate(counts), np.concatenate(least, axis=1),
+    )
+
+
+def _distinct_documents(words: Sample) -> np.ndarray:
     """For each document the smallest one that shares one of its smallest shingle hashes."""
     n = len(words.counts)
     label = np.arange(n)
-    hashes, whole = words.grams(min(5, len(words.start)))
-    doc = words.doc[: len(hashes)][whole]
-    for seed in range(SIGNATURES):
-        least = np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF))
-        np.minimum.at(least, doc, (hashes[whole] ^ np.uint64(seed * 0x5851F42D4C957F2D % (1 << 64))) * np.uint64(0xD1342543DE82EF95))
+    for least in words.signatures:
         _, group = np.unique(least, return_inverse=True)
         for _ in range(2):
             smallest = np.full(group.max() + 1 if n else 0, n)
@@ -171,13 +198,12 @@ def _distinct_documents(words: Words) -> np.ndarray:
     return np.where(words.counts >= 5, label, np.arange(n))
 
 
-def toxic_words(words: Words, y: np.ndarray) -> np.ndarray:
+def toxic_words(words: Sample, y: np.ndarray) -> np.ndarray:
     """Hashes of words that toxic documents hold significantly more often."""
     label = _distinct_documents(words)
     toxic = np.zeros(len(y), bool)
     np.logical_or.at(toxic, label, y == 1)
-    word = words.spans(words.start, words.end)
-    vocabulary, at = np.unique(word, return_inverse=True)
+    vocabulary, at = np.unique(words.word, return_inverse=True)
     pairs = np.unique(at.astype(np.int64) * len(y) + label[words.doc])
     w, d = pairs // max(1, len(y)), pairs % max(1, len(y))
     kept = np.unique(label)
@@ -197,14 +223,13 @@ def toxic_words(words: Words, y: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], y: np.ndarray) -> Model:
-    words = words_of(texts)
     rate = float(y.mean()) if len(y) else 0.0
     if rate in (0.0, 1.0):
         flat = np.array([np.log((rate + 1e-9) / (1 - rate + 1e-9)), 0.0, 0.0])
         return Model(np.zeros(TABLE, np.float32), -5.0, np.ones((2, 2)), flat)
-    word = words.spans(words.start, words.end)
-    target = (np.isin(word, toxic_words(words, y)) & (y == 1)[words.doc]).astype(float)
-    rows, first = features(words), _first(words)
+    words = sample(texts)
+    target = (np.isin(words.word, toxic_words(words, y)) & (y == 1)[words.doc]).astype(float)
+    rows, first = words.rows, words.first
     weights, squares = np.zeros(TABLE), np.full(TABLE, 1e-6)
     bias, trans, trans_squares = -4.0, np.zeros((2, 2)), np.full((2, 2), 1e-6)
     chains = np.array_split(np.arange(len(texts)), max(1, len(texts) // 200))
@@ -232,7 +257,8 @@ def train(texts: list[str], y: np.ndarray) -> Model:
                 trans, trans_squares, factors, emission, forward, backward, target[part], first[part]
             )
     model = Model(weights.astype(np.float32), bias, np.exp(trans - trans.max()), np.zeros(3))
-    summary = _summary(words, model.tokens(words))
+    pieces = (words_of(texts[a:b]) for a, b in text_slices(texts))
+    summary = np.concatenate([_summary(piece, model.tokens(piece)) for piece in pieces])
     return Model(model.weights, model.bias, model.transition, fit_logistic(summary, y))
 
 

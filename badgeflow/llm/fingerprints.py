@@ -101,8 +101,7 @@ def successors(ids: DataFrame) -> DataFrame:
 def neighbours(docs: DataFrame) -> tuple[DataFrame, bool]:
     """id, previous and longest (characters of the previous one), ids in a circle; whether an id repeats."""
     ids = written(
-        docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id"))
-        .agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("longest"), F.count("*").alias("n")),
+        docs.groupBy(F.col("doc_id").alias("id")).agg(F.max(F.length("text")).alias("longest"), F.count("*").alias("n")),
         "document-ids",
     )
     extent = ids.agg(F.min("id").alias("first"), F.max("n").alias("n")).first()
@@ -117,7 +116,8 @@ def edited(docs: DataFrame) -> DataFrame:
     The edited text has its last floor(n_chars / 2) code points replaced by as many first ones of the next
     document, ascending doc_id in a circle.
     """
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = rows.where("doc_id IS NOT NULL")  # as both joins have it, so that they share its shuffle
     links, repeated = neighbours(own)
     source = own.groupBy("doc_id").agg(F.min("text").alias("text")) if repeated else own
     heads = source.join(links, source["doc_id"] == links["id"]).select(
@@ -125,13 +125,15 @@ def edited(docs: DataFrame) -> DataFrame:
         F.substring("text", F.lit(1), F.expr("longest div 2").cast("int")).alias("head"),
         sketch(F.col("text")).alias("next_sketch"),
     )
+    without = rows.where("doc_id IS NULL").withColumns({
+        "head": F.lit(""), "next_sketch": F.lit(None).cast("array<bigint>"),
+    })
     half = F.expr("length(text) div 2").cast("int")
-    joined = own.join(heads, "doc_id", "left").select(
+    joined = own.join(heads, "doc_id").unionByName(without).select(
         "doc_id",
         F.length("text").cast("bigint").alias("n_chars"),
         F.concat(
-            F.substring("text", F.lit(1), F.length("text") - half),
-            F.substring(F.coalesce("head", F.lit("")), F.lit(1), half),
+            F.substring("text", F.lit(1), F.length("text") - half), F.substring("head", F.lit(1), half)
         ).alias("edited"),
         sketch(F.col("text")).alias("sketch"),
         "next_sketch",

@@ -171,29 +171,65 @@ class Layout:
     def close_day(self, spark: SparkSession, name: str, day: str) -> None:
         """Merge the batches of a day. Run it when no batch writes to that day any more.
 
-        The merged rows are complete under a hidden name before the batches are removed, and
-        take their place after that; a run that was broken off is finished by the next call.
         A raw day must be staged first: streams read open days only.
         """
-        schema, column = BATCHED[name]
-        hidden = f"{self.path(name)}/_closing/{column}={day}"
-        listed = f"{self.path(name)}/_closing/list-{day}"
-        if not files.exists(spark, f"{hidden}/_SUCCESS"):
-            batches = files.matching(spark, f"{self.path(name)}/{column}={day}/run=*/batch_id=*")
-            if not batches:
+        column = BATCHED[name][1]
+        folder = f"{column}={day}"
+        if not self._closing(spark, name, folder):
+            rows = self._of_folder(spark, name, BATCHED[name][0], f"{folder}/run=*/batch_id=*")
+            if rows is None:
                 return
-            rows = spark.read.schema(schema).option("basePath", self.path(name)).parquet(*batches)
             if name == "raw" and self.unstaged(spark, with_file(rows)).take(1):
                 raise RuntimeError(f"raw rows of {day} are not staged yet")
-            spark.createDataFrame([(b,) for b in batches], "value string").coalesce(1).write.mode("overwrite").text(listed)
-            rows.drop(column, "run", "batch_id").hint("rebalance").write.mode("overwrite").parquet(hidden)
-        for row in spark.read.text(listed).collect():  # the batches of one day
-            files.remove(spark, row.value)
-        files.rename(spark, hidden, f"{self.path(name)}/{column}={day}/run={CLOSED}/batch_id={uuid.uuid4().int % 10**9}")
-        files.remove(spark, listed)
+            closed = rows.withColumns({"run": F.lit(CLOSED), "batch_id": F.lit(0)}).drop(column)
+            self._prepare(rows, closed, name, folder, "run", "batch_id")
+        self._swap(spark, name, folder)
         if name == "raw":
             files.remove(spark, f"{self.path('staged_files')}/ingestion_date={day}")
 
+    def close_fact_day(self, spark: SparkSession, day: str) -> None:
+        """Merge the files of a day of events. Run it when no load is under way: a load that
+        compares with half a day would add facts twice."""
+        folder = f"event_date={day}"
+        if not self._closing(spark, "fact", folder):
+            rows = self._of_folder(spark, "fact", schemas.FACT_FILES, f"{folder}/load_date=*")
+            if rows is None:
+                return
+            self._prepare(rows, rows.drop("event_date"), "fact", folder, "load_date")
+        self._swap(spark, "fact", folder)
+
+    def _of_folder(self, spark: SparkSession, name: str, schema: StructType, pattern: str) -> DataFrame | None:
+        folders = files.matching(spark, f"{self.path(name)}/{pattern}")
+        return spark.read.schema(schema).option("basePath", self.path(name)).parquet(*folders) if folders else None
+
+    def _hidden(self, name: str, folder: str) -> str:
+        return f"{self.path(name)}/_closing/{folder}"
+
+    def _closing(self, spark: SparkSession, name: str, folder: str) -> bool:
+        """Whether merged rows wait to take their place: an earlier call was broken off."""
+        return files.exists(spark, f"{self._hidden(name, folder)}/rows/_SUCCESS")
+
+    def _prepare(self, rows: DataFrame, merged: DataFrame, name: str, folder: str, *partitions: str) -> None:
+        """Write the merged rows under a hidden name, after the list of the files that they replace."""
+        spark, hidden = rows.sparkSession, self._hidden(name, folder)
+        old = spark.createDataFrame([(f,) for f in rows.inputFiles()], "value string")  # the files of one day
+        old.coalesce(1).write.mode("overwrite").text(f"{hidden}/old")
+        merged.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(f"{hidden}/rows")
+
+    def _swap(self, spark: SparkSession, name: str, folder: str) -> None:
+        """Remove the listed files and move the merged ones to their place. Names never recur, so a
+        call that was broken off is simply done again."""
+        hidden = self._hidden(name, folder)
+        for row in spark.read.text(f"{hidden}/old").collect():
+            files.remove(spark, row.value)
+        depth = "/".join(["*=*"] * (2 if name in BATCHED else 1))
+        for path in files.matching(spark, f"{hidden}/rows/{depth}/*.parquet"):
+            files.rename(spark, path, f"{self.path(name)}/{folder}/{path.split('/rows/')[1]}")
+        for empty in files.matching(spark, f"{self.path(name)}/{folder}/{depth}"):
+            if not files.matching(spark, f"{empty}/*.parquet"):
+                files.remove(spark, empty)
+        files.remove(spark, hidden)
+
     def close_users(self, spark: SparkSession) -> None:
         self.replace_users(self.users(spark).hint("rebalance"))
 

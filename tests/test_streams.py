@@ -7,6 +7,7 @@ from badgeflow.operators.staging import stage
 from badgeflow.plans import pipeline, views
 from badgeflow.plans import validation as v
 from badgeflow.plans.quality import orphan_keys, staging_duplicates
+from badgeflow.sources import files
 from badgeflow.sources.messages import parse_messages
 from badgeflow.sources.seeds import seed_users, seed_zones
 from badgeflow.sources.tables import with_file
@@ -137,8 +138,6 @@ def test_backfill_then_follow_keeps_users(spark, layout):
 
 
 def test_a_lost_checkpoint_changes_no_key(spark, layout):
-    from badgeflow.sources import files
-
     lines = [event(n, reader=f"R{n}") for n in range(30)]
     for part in range(3):
         layout.append_raw(raw(spark, *lines[part::3]).coalesce(1))
@@ -221,8 +220,6 @@ def test_closing_goes_on_after_a_crash(spark, layout, monkeypatch):
     for n in range(3):
         pipeline.process_batch(spark, layout, raw(spark, event(n)), n, AS_OF, STAGED, STAGED)
     before = sorted(rows(layout.staging(spark).drop("run", "batch_id")))
-    from badgeflow.sources import files
-
     rename = files.rename
     monkeypatch.setattr(files, "rename", lambda *a: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
@@ -232,6 +229,20 @@ def test_closing_goes_on_after_a_crash(spark, layout, monkeypatch):
     assert sorted(rows(layout.staging(spark).drop("run", "batch_id"))) == before
 
 
+def test_fact_days_are_merged(spark, layout):
+    for n in range(4):
+        lines = [event(m) for m in range(n, 20, 4)]
+        pipeline.process_batch(spark, layout, raw(spark, *lines), n, AS_OF, STAGED, f"2024-01-31 0{n // 2}:00:00")
+    before = sorted(rows(layout.fact(spark)))
+    for _ in range(2):
+        for day in range(10, 15):
+            layout.close_fact_day(spark, f"2024-01-{day}")
+    assert sorted(rows(layout.fact(spark))) == before
+    assert len(layout.fact(spark).inputFiles()) == 5
+    pipeline.catch_up(spark, layout, STAGED)
+    assert layout.fact(spark).count() == 20
+
+
 def test_old_days_expire(spark, layout):
     for n, day in enumerate(("2024-01-29", "2024-01-30", "2024-01-31")):
         pipeline.process_batch(spark, layout, raw(spark, event(n)), n, AS_OF, f"{day} 00:01:00", STAGED)

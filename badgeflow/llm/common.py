@@ -77,12 +77,16 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[tu
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
-    if n > len(_POWERS.get(base, ())):
-        factors = np.full(max(n, SLICE_CHARS + (SLICE_CHARS >> 2)), base, np.uint64)
-        factors[0] = 1
-        _POWERS[base] = np.cumprod(factors, dtype=np.uint64)
-    return _POWERS[base][:n]
+    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept for slices of usual size."""
+    usual = 2 * SLICE_CHARS
+    if n <= usual and base in _POWERS:
+        return _POWERS[base][:n]
+    factors = np.full(max(n, usual), base, np.uint64)
+    factors[0] = 1
+    np.cumprod(factors, out=factors)
+    if n <= usual:
+        _POWERS[base] = factors
+    return factors[:n]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

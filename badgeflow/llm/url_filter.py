@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from badgeflow.llm.common import ascii_lower, written
 
-MIN_PAGES = 5  # labelled bad pages behind a rule
+MIN_PAGES = 20  # labelled bad pages behind a rule: with fewer, many combinations reach the confidence by chance
 MIN_SUPPORT = 1e-4  # and their share of the labelled pages
 MIN_CONFIDENCE = 0.5
 BAD = "label:bad"

@@ -20,6 +20,9 @@ SLICE_CHARS = 1 << 20
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[0x30:0x3A] = WORD_BYTES[0x61:0x7B] = WORD_BYTES[0x80:] = True
 SPACE = 0x20
+#: The same for words as they stand between white space, signs included.
+SPACED_BYTES = np.ones(256, bool)
+SPACED_BYTES[list(b" \t\n\r\x0b\x0c")] = False
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -138,10 +141,10 @@ class Words:
         return self.data[self.start[first] : self.end[last]].tobytes().decode("utf-8", "replace")
 
 
-def words_of(texts: list[str]) -> Words:
+def words_of(texts: list[str], word_bytes: np.ndarray = WORD_BYTES) -> Words:
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
     raw = np.frombuffer(b"\n".join(encoded).lower() + b"\n", np.uint8)
-    inside = WORD_BYTES[raw]
+    inside = word_bytes[raw]
     before = np.zeros(len(raw), bool)
     before[1:] = inside[:-1]
     offset = np.flatnonzero(inside & ~before)

@@ -69,7 +69,7 @@ def decode(control: bytes, data: bytes) -> np.ndarray:
 #: Fixed value: how a vocabulary of word pieces splits text. Between its pieces lies white space, letters never
 #: share a piece with signs, and only an apostrophe can tie letters to a sign before them.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -80,11 +80,12 @@ def _byte_letters() -> dict[int, int]:
 
 
 class WordCache(dict):
-    """Ids (as bytes) of white-space-separated pieces of lower-cased text, looked up or else tokenized.
+    """Ids (as bytes) of white-space-separated pieces of text, looked up or else tokenized.
 
     Usable where the tokenizer splits at white space and ignores case (WORD_PATTERN); with any other one,
     and for texts that may hold special tokens, whole texts are encoded. Plain words go to the library's
-    model at once, as its other steps leave them as they are. The cache is emptied when it is full.
+    model at once, lower-cased, as its other steps leave them as they are. All other pieces go to the library
+    in their own case: it composes letters and marks before it lower-cases. The cache is emptied when it is full.
     """
 
     def __init__(self, path: str):
@@ -111,9 +112,9 @@ class WordCache(dict):
         elif plain[2]:  # letters, then signs: two pieces for the tokenizer
             ids = self[plain[1].encode()] + self[plain[2].encode()]
         else:
-            text = plain[1]
+            text = plain[1].lower()
             if not text.isascii():
-                text = text.lower().encode().decode("latin-1").translate(self.letters)
+                text = text.encode().decode("latin-1").translate(self.letters)
             ids = array(self.dtype.char, [t.id for t in self.model.tokenize(text)]).tobytes()
         if len(self) >= CACHED_WORDS:
             self.clear()
@@ -123,7 +124,7 @@ class WordCache(dict):
     def encode(self, text: str) -> bytes:
         if not self.by_words or "<|" in text:
             return self.whole([text])[0]
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").lower().split()))
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
 
 
 @lru_cache(maxsize=2)

@@ -46,6 +46,15 @@ def test_plain_words_of_latin_letters():
     assert [np.frombuffer(cache.encode(t), cache.dtype).tolist() for t in texts] == whole
 
 
+def test_capitals_whose_mark_only_joins_the_small_letter():
+    texts = [f"{a}{c}{mark}{b}" for c, mark in ["J\u030c", "H\u0331", "T\u0308", "W\u030a", "Y\u030a"] for a in ("", "x", "AB") for b in ("", "a", "AS is.")]
+    texts += [t.lower() for t in texts] + ["A\u030a JA J\u030c THE the The"]
+    cache = token_files.WordCache(PATH)
+    whole = [e.ids for e in cache.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert cache.by_words
+    assert [np.frombuffer(cache.encode(t), cache.dtype).tolist() for t in texts] == whole
+
+
 def test_another_kind_of_tokenizer_encodes_whole_texts():
     cache = token_files.WordCache(public_tokenizers.path("byte_bpe_50k.json"))
     text = "The cat's  hat. THE"

@@ -1,8 +1,9 @@
 """URL filter by association rules, with a list of given rules before them.
 
 A URL's tokens are its host's labels, path segments and query keys. Of labelled pages, Spark's FP-growth mines
-token combinations that go with a bad label; kept are those with enough support and confidence, without
-combinations that contain a shorter kept one. Rules match through an inverted index: a rule is entered under
+token combinations that go with a bad label; kept are those with enough bad pages and confidence, without
+combinations that contain a shorter kept one. Enough is a number of pages, not a share, so a rule does not
+depend on the size of the table; a smaller number is enough where the Chernoff bound rules chance out. Rules match through an inverted index: a rule is entered under
 its rarest token only, so that a URL meets few rules, and then compared in full.
 
 Given rules (verdict, host, path) come first: a rule fits its host and all subdomains if the URL's path starts
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 
 from badgeflow.llm.common import ascii_lower, written
 
-MIN_PAGES = 20  # labelled bad pages behind a rule: with fewer, many combinations reach the confidence by chance
-MIN_SUPPORT = 1e-4  # and their share of the labelled pages
+MIN_PAGES = 20  # labelled bad pages behind a rule, in a table of any size
+FEW_PAGES = 5  # as many are enough for a rule that chance does not explain
+MAX_CHANCE = 1e-4  # bound of the probability that labels dealt at random give a rule of few pages its bad ones
 MIN_CONFIDENCE = 0.5
 BAD = "label:bad"
 
@@ -89,9 +91,16 @@ def given_verdicts(urls: DataFrame, rules: Sequence[tuple[str, str, str]] | Data
 # --- mined rules ----------------------------------------------------------------------------
 
 
+def _chance(bad: Column, pages: Column, share: float) -> Column:
+    """Chernoff bound of the probability that so many of the pages are bad if each is with this probability."""
+    rate = bad / pages
+    good = F.when(bad < pages, (1 - rate) * F.log((1 - rate) / (1 - share))).otherwise(0.0) if share < 1 else F.lit(0.0)
+    return F.when(rate > share, F.exp(-pages * (rate * F.log(rate / share) + good))).otherwise(1.0)
+
+
 def mined_rules(
-    urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-    min_pages: int = MIN_PAGES,
+    urls: DataFrame, labels: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES,
+    few_pages: int = FEW_PAGES, max_chance: float = MAX_CHANCE,
 ) -> DataFrame:
     """tokens (sorted), confidence, support of the rules that say bad.
 
@@ -103,13 +112,17 @@ def mined_rules(
         .select(F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")),
         "url-baskets",
     )
-    n = baskets.count()
-    if not n:
+    n, n_bad = baskets.agg(F.count("*"), F.count_if(F.array_contains("items", BAD))).first()
+    if not n_bad:
         return urls.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    support = max(min_support, min_pages / n)
+    support = (min(few_pages, min_pages) - 0.5) / n  # the half: FP-growth rounds the number of pages up
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, support), minConfidence=min_confidence).fit(baskets)
-    return model.associationRules.where(F.col("consequent")[0] == BAD).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support"
+    bad = F.round(F.col("support") * n)
+    chance = _chance(bad, F.round(bad / F.col("confidence")), n_bad / n)
+    return (
+        model.associationRules.where(F.col("consequent")[0] == BAD)
+        .where((bad >= min_pages) | (bad >= few_pages) & (chance <= max_chance))
+        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     )
 
 

@@ -76,6 +76,28 @@ def test_mined_rules_equal_brute_force(spark, seed):
         assert found[i] == ("block" if blocked else "allow")
 
 
+def mined(spark, hosts):
+    """hosts: name, bad pages, all pages"""
+    rows = [(h, i < bad) for h, bad, n in hosts for i in range(n)]
+    pages = spark.createDataFrame([(k, f"http://{h}/p{k}") for k, (h, _) in enumerate(rows)], "page_id long, url string")
+    marks = spark.createDataFrame([(k, bad) for k, (_, bad) in enumerate(rows)], "page_id long, bad boolean")
+    return {t for r in uf.without_longer(uf.mined_rules(uf.parsed(pages), marks)).collect() for t in r.tokens}
+
+
+def test_hosts_of_few_pages_need_more_than_chance(spark):
+    hosts = [("fine", 0, 1000), ("mixed", 30, 300), ("five", 5, 5), ("four", 4, 4), ("half", 6, 12), ("nineteen", 19, 22), ("many", 20, 40)]
+    assert mined(spark, hosts) == {"host:five", "host:nineteen", "host:many"}
+
+
+def test_a_rule_needs_as_many_pages_in_a_large_table(spark):
+    hosts = [("spam", 20, 20), ("fine", 0, 500)]
+    assert mined(spark, hosts) == {"host:spam"}
+    n = 250_000  # at the former share of 1e-4 these asked for 25 bad pages
+    rows = spark.range(n).selectExpr("id AS page_id", "concat('http://', if(id < 20, 'spam', 'fine'), '/') AS url", "id < 20 AS bad")
+    found = uf.mined_rules(uf.parsed(rows), rows.select("page_id", "bad")).collect()
+    assert [r.tokens for r in found] == [["host:spam"]]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert uf.verdicts(none, spark.createDataFrame([(1, True)], "page_id long, bad boolean")).collect() == []

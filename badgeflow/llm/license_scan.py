@@ -5,7 +5,9 @@ template is 2 |common| / (|run| + |template|) over distinct word bigrams. A run
 if its size lies between t / (2 - t) and (2 - t) / t times the template's, and only if it holds at least
 t / (2 - t) of the template's bigrams. So a document is first looked up in an inverted index of all template
 bigrams; the few (document, template) pairs with enough of them are compared exactly, growing runs from
-each line only while their size is in bounds. Everything happens where the documents lie; nothing is shuffled.
+each line only while their size is in bounds. A notice may share its lines with other text: for a licence without
+a run of lines, runs of words are scored that lie in lines whose whole size is out of bounds. (A whole notice in lines
+within bounds is found as lines.) Everything happens where the documents lie; nothing is shuffled.
 
 The templates are a parameter: a list given by the caller, not data that grows with the corpus.
 
@@ -145,18 +147,60 @@ def best_run(lines: list[list[str]], template: Bigrams, threshold: float) -> tup
     return best
 
 
+def best_window(lines: list[list[str]], template: Bigrams, threshold: float) -> tuple[float, int, int] | None:
+    """Score, first and last line of the best run of words in lines that are too long to be scored as a whole.
+
+    A bigram at an end that the template lacks only lowers the score, so runs begin and end with common ones.
+    A run counts as at least the template's size: it must not gain by leaving out the word that differs.
+    """
+    words = [w for line in lines for w in line]
+    line_of = [n for n, line in enumerate(lines) for _ in line]
+    grams = list(zip(words, words[1:]))
+    common = [g in template for g in grams]
+    best = None
+    most = (2 - threshold) / threshold * len(template) + 1e-9
+    sizes: dict[tuple[int, int], int] = {}
+
+    def too_long(a: int, b: int) -> bool:
+        if (a, b) not in sizes:
+            sizes[a, b] = len(bigrams([w for line in lines[a : b + 1] for w in line]))
+        return sizes[a, b] > most
+
+    for i in [i for i, c in enumerate(common) if c]:
+        have: set[tuple[str, str]] = set()
+        n = 0
+        for j in range(i, len(grams)):
+            if grams[j] in have:
+                continue
+            have.add(grams[j])
+            if len(have) > most:
+                break
+            if common[j]:
+                n += 1
+                score = 2 * n / (max(len(have), len(template)) + len(template))
+                a, b = line_of[i], line_of[j + 1]
+                if score >= threshold and (best is None or score > best[0]) and too_long(a, b):
+                    best = (score, a, b)
+    return best
+
+
 _FOUND = pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()), ("first_line", pa.int32()), ("last_line", pa.int32())]))
 
 
 def _matched(texts: list[str], templates: Index) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in texts]
     split: dict[int, list[list[str]]] = {}
-    for d, t in candidates(texts, templates).tolist():
-        if d not in split:
-            split[d] = [normalised(line) for line in texts[d].split("\n")]
-        run = best_run(split[d], templates.sets[t], templates.threshold)
-        if run:
-            out[d].append({"license": templates.names[t], "score": run[0], "first_line": run[1], "last_line": run[2]})
+    pairs = candidates(texts, templates).tolist()
+    for search in (best_run, best_window):
+        known = [{m["license"] for m in matches} for matches in out]
+        for d, t in pairs:
+            if search is best_window and templates.names[t] in known[d]:
+                continue
+            if d not in split:
+                split[d] = [normalised(line) for line in texts[d].split("\n")]
+            run = search(split[d], templates.sets[t], templates.threshold)
+            if run:
+                out[d].append({"license": templates.names[t], "score": run[0], "first_line": run[1], "last_line": run[2]})
     rank = lambda m: (-m["score"], m["license"], m["first_line"], m["last_line"])
     for d, matches in enumerate(out):
         matches.sort(key=rank)

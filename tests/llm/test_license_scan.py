@@ -43,6 +43,23 @@ def test_equals_brute_force(documents):
     assert sum(map(len, found.values())) > 30
 
 
+def test_notices_that_share_their_lines(documents):
+    mit = " ".join(dict(ls.TEMPLATES[6:7])["MIT"].split())
+    warranty = prose(random.Random(12), 80)
+    rows = [
+        (1, "This module is by Ann. Licensed under the MIT License. See docs."),
+        (2, f"{mit} {warranty}"),
+        (3, f"{warranty}\n{warranty} {mit[:200]}\n{mit[200:]} {warranty}\n{warranty}"),
+        (4, "see the file licensed under the mit license which is here"),
+        (5, f"{warranty} licensed under terms of the mit {warranty}"),
+    ]
+    found = {r.doc_id: [(m.license, m.score, m.first_line, m.last_line) for m in r.licenses] for r in ls.scan(documents(rows)).collect()}
+    assert found[1] == found[4] == [("MIT", 1.0, 0, 0)]
+    assert found[2] == [("MIT", 1.0, 0, 0)]
+    assert [(name, first, last) for name, _, first, last in found[3]] == [("MIT", 1, 2)] and found[3][0][1] > 0.95
+    assert found[5] == []
+
+
 def test_pruning_loses_nothing():
     index = ls.index(ls.TEMPLATES)
     for t, (name, text) in enumerate(ls.TEMPLATES):

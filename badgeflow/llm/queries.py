@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.llm import (
-    decontaminate, fingerprints, license_scan, line_dedup, mixing, quality, simhash, token_files, toxicity, url_filter,
+    decontaminate, fingerprints, hard_negatives, license_scan, line_dedup, mixing, quality, simhash, token_files, toxicity, url_filter,
 )
 from badgeflow.llm.labels import held_out
 
@@ -110,6 +110,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*_predicted(found, 0.3))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every_seventh = F.col("vec_id") % 7 == 0
+    label = F.col("label").cast("bigint")
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(every_seventh, (label + 1) % 10).otherwise(label).alias("label"),
+        hard_negatives.quantised(F.col("embedding")).alias("vector"), (F.col("vec_id") % 100 == 0).alias("anchor"),
+    )
+    return hard_negatives.hard_negatives(rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -121,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -264,5 +275,29 @@ counted AS (
 SELECT doc_id, source, n_tokens, weight, repeats, passes, block,
   passes + CASE WHEN rest > 0 AND (block_upto <= rest OR block_before < rest AND upto <= rest) THEN 1 ELSE 0 END AS copies
 FROM counted
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, v.vec_id, v.label, list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM v a JOIN v ON a.vec_id <> v.vec_id WHERE a.vec_id % 100 = 0
+),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+negatives AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
 """,
 }

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.llm import (
-    decontaminate, fingerprints, hard_negatives, license_scan, line_dedup, mixing, quality, simhash, token_files, toxicity, url_filter,
+    conversation_trie, decontaminate, fingerprints, hard_negatives, license_scan, line_dedup, mixing, quality, simhash, token_files,
+    toxicity, url_filter,
 )
 from badgeflow.llm.labels import held_out
 
@@ -110,6 +111,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(*_predicted(found, 0.3))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     every_seventh = F.col("vec_id") % 7 == 0
     label = F.col("label").cast("bigint")
@@ -131,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_hard_negatives": op12_hard_negatives,
 }
 
@@ -275,6 +281,53 @@ counted AS (
 SELECT doc_id, source, n_tokens, weight, repeats, passes, block,
   passes + CASE WHEN rest > 0 AND (block_upto <= rest OR block_before < rest AND upto <= rest) THEN 1 ELSE 0 END AS copies
 FROM counted
+""",
+    "op11_conversation_trie": r"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (
+      PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))
+    ) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+-- the bits of CRC-32, a byte followed by seven shifts
+crc AS (
+  SELECT c, list_reduce(
+    [4294967295::BIGINT] || flatten(list_transform(string_split(c::VARCHAR, ''), lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384)
+  ) AS bits
+  FROM (SELECT DISTINCT c FROM own)
+),
+convs AS (SELECT c, c - c % 100 AS base, xor(bits, 4294967295) % 6 AS h FROM crc),
+rebuilt AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, role, text
+  FROM (
+    SELECT k.c, 0 AS part, o.pos, o.role, o.text FROM convs k JOIN own o ON o.c = k.base AND o.pos < k.h
+    UNION ALL
+    SELECT k.c, 1, o.pos, o.role, o.text FROM convs k JOIN own o ON o.c = k.c AND o.pos >= k.h
+  )
+),
+prefixes AS (
+  SELECT c, d, length(text) AS chars,
+    md5(string_agg(md5(length(role)::VARCHAR || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d)) AS key
+  FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs
+),
+nodes AS (SELECT key, d, min(c) AS c, count(*) AS n_convs, any_value(chars) AS chars FROM prefixes GROUP BY key, d),
+tops AS (SELECT n.key, n.d, a.key AS top_key, a.d AS top_d FROM nodes n JOIN prefixes a ON a.c = n.c AND a.d <= n.d),
+children AS (SELECT top_key AS key, top_d AS d, count(*) AS n FROM tops WHERE top_d = d - 1 GROUP BY ALL),
+totals AS (
+  SELECT top_key AS key, top_d AS d, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved
+  FROM tops t JOIN nodes n ON n.key = t.key AND n.d = t.d LEFT JOIN children k ON k.key = t.key AND k.d = t.d
+  GROUP BY top_key, top_d
+),
+lengths AS (SELECT c, max(d) AS d FROM prefixes GROUP BY c),
+ends AS (SELECT key, d, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM prefixes JOIN lengths USING (c, d) GROUP BY key, d)
+SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, t.n_leaves, t.saved AS saved_tokens,
+  sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN totals t USING (key, d) LEFT JOIN children k USING (key, d) LEFT JOIN ends e USING (key, d)
+LEFT JOIN tops u ON u.key = n.key AND u.d = n.d AND u.top_d = n.d - 1 LEFT JOIN nodes p ON p.key = u.top_key AND p.d = u.top_d
 """,
     "op12_hard_negatives": """
 WITH v AS (

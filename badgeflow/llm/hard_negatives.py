@@ -65,9 +65,7 @@ def _matrix(vectors: pa.ListArray) -> np.ndarray:
     return out
 
 
-def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by id; of equal ids the first one counts."""
-
+def _blocked(block_rows: int):
     def block(parts: list[tuple]) -> pa.RecordBatch:
         width = max(m.shape[1] for *_, m in parts)
         ids, labels, anchors = (np.concatenate([p[i] for p in parts]) for i in range(3))
@@ -78,36 +76,40 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["ids", "labels", "anchors", "columns"],
         )
 
-    parts, held, last = [], 0, None
-    for batch in batches:
-        ids = batch.column("vec_id").to_numpy()
-        new = np.ones(len(ids), bool)
-        new[1:] = ids[1:] != ids[:-1]
-        new[:1] = len(ids) > 0 and ids[:1] != last
-        last = ids[-1] if len(ids) else last
-        labels = batch.column("label").to_numpy()
-        anchors = batch.column("anchor").to_numpy(zero_copy_only=False).astype(bool)
-        rows = _matrix(batch.column("vector"))
-        at = np.flatnonzero(new)
-        while len(at):
-            here, at = at[: BLOCK_ROWS - held], at[BLOCK_ROWS - held :]
-            parts.append((ids[here], labels[here], anchors[here], rows[here]))
-            held += len(here)
-            if held == BLOCK_ROWS:
-                yield block(parts)
-                parts, held = [], 0
-    if parts:
-        yield block(parts)
-
-
-def blocks(rows: DataFrame) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by id; of equal ids the first one counts."""
+        parts, held, last = [], 0, None
+        for batch in batches:
+            ids = batch.column("vec_id").to_numpy()
+            new = np.ones(len(ids), bool)
+            new[1:] = ids[1:] != ids[:-1]
+            new[:1] = ids[:1] != last if last is not None else True
+            last = ids[-1] if len(ids) else last
+            labels = batch.column("label").to_numpy()
+            anchors = batch.column("anchor").to_numpy(zero_copy_only=False).astype(bool)
+            vectors = _matrix(batch.column("vector"))
+            at = np.flatnonzero(new)
+            while len(at):
+                here, at = at[: block_rows - held], at[block_rows - held :]
+                parts.append((ids[here], labels[here], anchors[here], vectors[here]))
+                held += len(here)
+                if held == block_rows:
+                    yield block(parts)
+                    parts, held = [], 0
+        if parts:
+            yield block(parts)
+
+    return rows
+
+
+def blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """rows: vec_id, label, vector (whole numbers), anchor (boolean)."""
     usable = rows.where("vec_id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL").where(
         ~F.exists("vector", lambda x: x.isNull())
     )
     columns = [F.col(c).cast("bigint") for c in ("vec_id", "label")]
     dealt = usable.select(*columns, "vector", F.coalesce("anchor", F.lit(False)).alias("anchor")).repartition("vec_id")
-    return dealt.sortWithinPartitions("vec_id", "label", "vector").mapInArrow(_blocked, _BLOCKS)
+    return dealt.sortWithinPartitions("vec_id", "label", "vector").mapInArrow(_blocked(block_rows), _BLOCKS)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,25 +117,27 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batch.to_pylist():
             at = np.flatnonzero(np.frombuffer(b["anchors"], bool))
             ids, labels = (np.frombuffer(b[c], np.int64)[at] for c in ("ids", "labels"))
-            rows = np.array([np.frombuffer(c, np.int32)[at] for c in b["columns"]], np.int32).reshape(-1, len(at)).T
+            rows = np.array([np.frombuffer(c, np.int32)[at] for c in b["columns"]], np.int32).reshape(len(b["columns"]), len(at)).T
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids), pa.array(labels), pa.array([r.tobytes() for r in rows], pa.binary())],
                 names=["anchor_id", "label", "vector"],
             )
 
 
-def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batched(size: int):
     longs = pa.list_(pa.int64())
-    for batch in batches:
-        for at in range(0, batch.num_rows, BATCH_ANCHORS):
-            few = batch.slice(at, BATCH_ANCHORS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([few.column(c).to_pylist()], t) for c, t in (
-                    ("anchor_id", longs), ("label", longs), ("vector", pa.list_(pa.binary())),
-                    ("positives", pa.list_(longs)), ("scores", pa.list_(longs)),
-                )],
-                names=["anchor_ids", "anchor_labels", "vectors", "positives", "scores"],
-            )
+    types = {"anchor_id": longs, "label": longs, "vector": pa.list_(pa.binary()), "positives": pa.list_(longs), "scores": pa.list_(longs)}
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, size):
+                few = batch.slice(at, size)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([few.column(c).to_pylist()], t) for c, t in types.items()],
+                    names=["anchor_ids", "anchor_labels", "vectors", "positives", "scores"],
+                )
+
+    return rows
 
 
 # --- the scan -----------------------------------------------------------------------------
@@ -231,13 +235,16 @@ def _negatives(k: int, low: int, high: int):
     return (lambda batches: _pairs(batches, of_anchor, names)), ", ".join(f"{n} bigint" for n in names)
 
 
-def hard_negatives(rows: DataFrame, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90) -> DataFrame:
+def hard_negatives(
+    rows: DataFrame, positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90,
+    block_rows: int = BLOCK_ROWS, batch_anchors: int = BATCH_ANCHORS,
+) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score.
 
     rows: vec_id, label, vector (whole numbers), anchor (boolean). Of each anchor's best ``positives`` rows of its label,
     the best ``negatives`` rows of other labels whose score is between low and high per cent of the positive's.
     """
-    table = written(blocks(rows), "vector-blocks")
+    table = written(blocks(rows, block_rows), "vector-blocks")
     n_blocks = table.select("ids").count()
     spread = table.drop("anchors").repartition(max(1, min(n_blocks, MAX_TASKS)))
     anchors = written(table.mapInArrow(_anchors, _ANCHORS), "anchors")
@@ -245,7 +252,7 @@ def hard_negatives(rows: DataFrame, positives: int = 5, negatives: int = 10, low
     def scanned(queries: DataFrame, scan) -> DataFrame:
         # the stated query set against all rows, block by block; Spark broadcasts the batches only if it measures them small
         function, schema = scan
-        return spread.crossJoin(written(queries.mapInArrow(_batched, _BATCHES), "anchor-batches")).mapInArrow(function, schema)
+        return spread.crossJoin(written(queries.mapInArrow(_batched(batch_anchors), _BATCHES), "anchor-batches")).mapInArrow(function, schema)
 
     def first(found: DataFrame, keys: list[str], score: str, row_id: str, k: int) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(score), row_id))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,15 +50,13 @@ def planted(rng, n, hot=0.5):
 
 
 @pytest.mark.parametrize("block_rows", [7, 4096])
-def test_equals_brute_force(spark, monkeypatch, block_rows):
-    monkeypatch.setattr(hard_negatives, "BLOCK_ROWS", block_rows)
-    monkeypatch.setattr(hard_negatives, "BATCH_ANCHORS", 2)
+def test_equals_brute_force(spark, block_rows):
     rng = random.Random(block_rows)
     rows = planted(rng, 450)
     rows += [(i, rows[i % 9][1], i % 4) for i in range(450, 520)]  # ties
     want = brute([(i, l, [whole(x) for x in v]) for i, v, l in rows])
     assert len(want) > 100
-    assert found(spark, rows) == want
+    assert found(spark, rows, block_rows=block_rows, batch_anchors=2) == want
     assert found(spark, rows, positives=2, negatives=3) == brute([(i, l, [whole(x) for x in v]) for i, v, l in rows], 2, 3)
 
 
@@ -79,8 +78,6 @@ def test_scan_leaves_rows_early():
     """Rows that cannot come into the result are not read to the end."""
     rng = random.Random(1)
     rows = [(i, [int(256 * x) for x in v]) for i, v, _ in planted(rng, 2000)]
-    import numpy as np
-
     block = hard_negatives.Block(
         np.array([i for i, _ in rows]).tobytes(), np.ones(len(rows), np.int64).tobytes(),
         [np.array(c, np.int32).tobytes() for c in zip(*(v for _, v in rows))],

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.llm import (
-    conversation_trie, decontaminate, fingerprints, hard_negatives, license_scan, line_dedup, mixing, quality, simhash, token_files,
-    toxicity, url_filter,
+    chunk_encoding, conversation_trie, decontaminate, fingerprints, hard_negatives, license_scan, line_dedup, mixing, quality, simhash,
+    token_files, toxicity, url_filter,
 )
 from badgeflow.llm.labels import held_out
 
@@ -125,6 +125,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(rows)
 
 
+def op13_chunk_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_encoding.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), chunk_encoding.Digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_license_scan": op2_license_scan,
@@ -138,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_conversation_trie": op11_conversation_trie,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_chunk_encoding": op13_chunk_encoding,
 }
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

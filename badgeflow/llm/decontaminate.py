@@ -12,8 +12,8 @@ sides are plain, so Spark broadcasts the benchmark if it measures it small and o
 fingerprint over tasks.
 
 Defined cases: a null text has no words. Identical rows are judged once; a doc_id (null too) with several
-texts gives a row for each. Items without an id or without words are ignored; several rows of one item
-add up. Other columns of the inputs are not read.
+texts gives a row for each. Items without words are ignored; those without an id count as hits, but are in no list
+of ids; several rows of one item add up. Other columns of the inputs are not read.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def benchmark_fingerprints(benchmark: DataFrame) -> DataFrame:
     """hash, span, before, words, items: equal passages of several items are one row."""
     return (
-        benchmark.where("item_id IS NOT NULL").select("item_id", "text")
+        benchmark.select("item_id", "text")
         .mapInArrow(_item_rows, f"item_id {column_type(benchmark, 'item_id')}, found {_FOUND}")
         .select("item_id", F.inline("found"))
         .groupBy("hash", "span", "before", "words")
@@ -154,6 +154,10 @@ def _extended(pos: Column, before: Column, words: Column, item_before: Column, i
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, runs (word ranges a..b inside benchmark windows), items (their item ids, ascending)."""
+    return _judged(docs, benchmark).drop("text_key")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = written(benchmark_fingerprints(benchmark), "benchmark-fingerprints")
     lengths = [r.span for r in items.where("span > 0").select("span").distinct().collect()]  # 1 to 9
@@ -188,7 +192,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.max("n_words").alias("n_words"),
         F.sort_array(F.collect_set("run")).alias("runs"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("run").isNotNull(), F.col("items")))))).alias("items"),
-    ).drop("text_key")
+    )
 
 
 def hit_words(runs: Column) -> Column:
@@ -203,7 +207,9 @@ def hit_words(runs: Column) -> Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any benchmark window, as they are."""
-    leaked = contamination(docs, benchmark).where(F.size("runs") > 0).select(F.col("doc_id").alias("leaked")).distinct()
-    leaked = written(leaked, "contaminated")  # so that the join knows its size
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["leaked"]), "left_anti")
+    """The documents without any benchmark window, as they are. Rows are named by id and text."""
+    leaked = _judged(docs, benchmark).where(F.size("runs") > 0).select(F.col("doc_id").alias("leaked_id"), F.col("text_key").alias("leaked_key"))
+    leaked = written(leaked.distinct(), "contaminated")  # so that the join knows its size
+    d = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("leaked_id")) & (F.xxhash64("row.text") == F.col("leaked_key"))
+    return d.join(leaked, same, "left_anti").select("row.*")

@@ -14,7 +14,8 @@ Components are found by alternating large-star and small-star steps over tables
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; repeated rows each
 keep their row; a null doc_id takes part but is never a component's id unless all its ids are null. Other
-columns of the input are not read.
+columns of the input are not read. Where one of each group stays, it is the row with the smallest id (null last;
+of equal ids the text with the smaller hash), and one of repeated rows.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def simhash(text: str, shingle: int = SHINGLE) -> int:
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece, texts in slices(batches):
         hashes = np.array([simhash(t) for t in texts], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(hashes)], names=["doc_id", "fp"])
+        others = [n for n in piece.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*map(piece.column, others), pa.array(hashes)], names=[*others, "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -165,23 +167,46 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id that links lead to) of every row."""
-    hashed = written(fingerprints(docs), "simhash")
+def named(hashed: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """fp, root (of its component) and component_id of each distinct fingerprint of rows with doc_id and fp."""
     classes = written(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     roots = written(components(links(classes.select("fp"), max_bits)), "simhash-roots")
     grouped = classes.join(roots, classes["fp"] == roots["node"])
     smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    moved = written(grouped.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "simhash-components")
-    named = written(
-        classes.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")),
+    moved = written(grouped.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id"), "simhash-components")
+    return written(
+        classes.join(moved, "fp", "left")
+        .select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id")),
         "simhash-named",
     )
-    return hashed.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fp and component_id (the smallest doc_id that links lead to) of every row."""
+    hashed = written(fingerprints(docs), "simhash")
+    return hashed.join(named(hashed, max_bits), "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents without those that have a near-duplicate of smaller id, as they are."""
-    copies = near_duplicates(docs, max_bits).where("doc_id <> component_id").select("doc_id").distinct()
-    # written, so that the join knows its size
-    return docs.join(written(copies, "near-duplicates"), "doc_id", "left_anti").select(docs.columns)
+    """One document of each component, as it is. Rows are named by id and text, so none goes for another's sake."""
+    text_key = F.xxhash64("text")
+    hashed = written(
+        docs.select("doc_id", text_key.alias("text_key"), "text")
+        .mapInArrow(_hashed, f"doc_id {column_type(docs, 'doc_id')}, text_key bigint, fp bigint"),
+        "simhash",
+    )
+    rows = hashed.join(named(hashed, max_bits).select("fp", "root"), "fp").groupBy("root", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    rows = rows.withColumn("name", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+    rows = written(rows, "simhash-rows")
+    kept = written(rows.groupBy("root").agg(F.min("name").alias("kept"), F.count("*").alias("names")).where("names > 1"), "simhash-kept")
+    judged = rows.join(kept, "root", "left").withColumn("gone", F.coalesce(F.col("name") != F.col("kept"), F.lit(False)))
+    name = [F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key")]
+    # written, so that the joins know their sizes
+    gone = written(judged.where("gone").select(*name), "simhash-gone")
+    repeated = written(judged.where("NOT gone AND n > 1").select(*name), "simhash-repeated")
+    d = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    of_row = [F.col("row.doc_id"), F.xxhash64("row.text")]
+    same = of_row[0].eqNullSafe(F.col("r_id")) & (of_row[1] == F.col("r_key"))
+    single = d.join(gone.unionByName(repeated), same, "left_anti")
+    again = d.join(repeated, same, "left_semi").select("row", of_row[0].alias("r_id"), of_row[1].alias("r_key"))
+    return single.unionByName(again.dropDuplicates(["r_id", "r_key"]).select("row")).select("row.*")

@@ -17,7 +17,7 @@ def brute(docs, items):
     for item, text in items:
         w = words(text)
         k = min(len(w), SPAN)
-        for i in range(len(w) - k + 1 if w and item is not None else 0):
+        for i in range(len(w) - k + 1 if w else 0):
             windows.setdefault(tuple(w[i : i + k]), set()).add(item)
     out = set()
     for doc, text in docs:
@@ -27,7 +27,7 @@ def brute(docs, items):
                 if tuple(w[i : i + k]) in windows:
                     hit |= set(range(i, i + k))
                     found |= windows[tuple(w[i : i + k])]
-        out.add((doc, len(w), len(hit), tuple(sorted(found))))
+        out.add((doc, len(w), len(hit), tuple(sorted(found - {None}))))
     return out
 
 
@@ -76,6 +76,13 @@ def test_clean_documents_keeps_columns_and_odd_rows(spark, documents):
     assert sorted(r.doc_id or -1 for r in clean.collect()) == sorted([2, *(d or -1 for d, _ in ODD)])
 
 
+def test_rows_are_named_by_id_and_text(spark, documents):
+    passage = " ".join(f"w{i}" for i in range(10))
+    docs = documents([(None, passage), (None, "clean"), (7, passage), (7, "clean too"), (8, "so " + passage)])
+    items = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    assert sorted(r.text for r in decontaminate.clean_documents(docs, items).collect()) == ["clean", "clean too"]
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert result(documents([]), none) == []

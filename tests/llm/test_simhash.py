@@ -84,5 +84,12 @@ def test_one_of_each(documents):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert 3 in ids and 4 in ids and 5 not in ids and None in ids and ids.count(908) == 2
+    assert 3 in ids and 4 in ids and 5 not in ids and None in ids and ids.count(908) == 1 and ids.count(909) == 2
     assert simhash.one_of_each(documents([])).count() == 0
+
+
+def test_one_of_each_names_rows_by_id_and_text(documents):
+    copies, alone = "one two three four five", "else here now then again"
+    rows = [(None, copies), (None, copies), (7, copies), (7, copies), (8, copies), (7, alone), (None, "no id at all here"), (None, "no id at all here")]
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(documents(rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(7, copies), (7, alone), (None, "no id at all here")], key=str)

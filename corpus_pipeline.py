@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from badgeflow.llm import decontaminate, mixing, near_copies, token_files, toxicity
+from badgeflow.llm import decontaminate, mixing, simhash, token_files, toxicity
 from badgeflow.llm.common import written
 from badgeflow.llm.queries import MAX_REPEATS, table, tokenizer_path
 
@@ -14,22 +14,23 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go; empty and null texts are scored like any other."""
     return toxicity.clean_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard of 0.8 or more) stays: the one with the smallest id."""
-    return near_copies.one_of_each(docs)
+    """One document of each group linked by fingerprints of three-word shingles within two bits stays: the one with the
+    smallest id (null last), and one of repeated rows."""
+    return simhash.one_of_each(docs, max_bits=simhash.MAX_BITS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
+    """Documents that hold a benchmark window go; rows are judged by id and text, so others of the same id stay."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document is used; documents of smaller sources are repeated to their source's weight."""
+    """Every document is used; documents of smaller sources (a null source is one) are repeated to their source's weight."""
     return mixing.mixed(docs, mixing.Target(max_repeats=MAX_REPEATS))
 
 

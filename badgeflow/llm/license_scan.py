@@ -5,21 +5,25 @@ template is 2 |common| / (|run| + |template|) over distinct word bigrams. A run
 if its size lies between t / (2 - t) and (2 - t) / t times the template's, and only if it holds at least
 t / (2 - t) of the template's bigrams. So a document is first looked up in an inverted index of all template
 bigrams; the few (document, template) pairs with enough of them are compared exactly, growing runs from
-each line only while their size is in bounds. A notice may share its lines with other text: for a licence without
+each line that holds a bigram of the template, only while their size is in bounds and from one new bigram to the next,
+so that blank and repeated lines cost nothing. A notice may share its lines with other text: for a licence without
 a run of lines, runs of words are scored that lie in lines whose whole size is out of bounds. (A whole notice in lines
 within bounds is found as lines.) Everything happens where the documents lie; nothing is shuffled.
 
 The templates are a parameter: a list given by the caller, not data that grows with the corpus.
 
-Defined cases: null and empty texts match nothing, nor do texts of one word. Of equal scores the run that
-begins, then ends first is reported. Repeated rows each keep their row; other columns are not read.
+Defined cases: null and empty texts match nothing, nor do texts of one word. Of equal scores the shortest run (of lines, or of
+words) is reported, then the first. Repeated rows each keep their row; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter, OrderedDict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -126,62 +130,115 @@ def candidates(texts: list[str], templates: Index) -> np.ndarray:
     return np.stack([pair // size, pair % size], axis=1)
 
 
-def best_run(lines: list[list[str]], template: Bigrams, threshold: float) -> tuple[float, int, int] | None:
-    """Score, first and last line of the best run of lines."""
-    best = None
+class Grams:
+    """Bigrams of the words of some lines, in order, with the lines that they begin and end in."""
+
+    def __init__(self, lines: list[list[str]]):
+        words = [w for line in lines for w in line]
+        line_of = [n for n, line in enumerate(lines) for _ in line]
+        self.grams = list(zip(words, words[1:]))
+        self.begin, self.end = line_of[:-1], line_of[1:]
+        later: dict[tuple[str, str], int] = {}
+        self.again = [0] * len(self.grams)  # the next place of the same bigram
+        for i in range(len(self.grams) - 1, -1, -1):
+            self.again[i] = later.get(self.grams[i], len(self.grams))
+            later[self.grams[i]] = i
+
+    def first_ones(self, at: set[int]) -> Iterator[tuple[int, Iterator[int]]]:
+        """For each place of ``at``, last one first: the places from there on at which a bigram comes for the first time.
+
+        Repeats are never passed over one by one: an ordered table holds the next place of each distinct bigram.
+        """
+        coming: OrderedDict[tuple[str, str], int] = OrderedDict()
+        for i in range(len(self.grams) - 1, -1, -1):
+            coming[self.grams[i]] = i
+            coming.move_to_end(self.grams[i], last=False)
+            if i in at:
+                yield i, iter(coming.values())
+
+    def too_long_from(self, most: float) -> list[float]:
+        """For each line, the first one with which the lines from there hold more than ``most`` distinct bigrams."""
+        n = (self.end[-1] if self.end else 0) + 1
+        out, counts, upto, k = [math.inf] * n, Counter(), 0, 0
+        for a in range(n):
+            while k < len(self.grams) and self.begin[k] < a:  # those before the first line leave
+                if k < upto:
+                    counts[self.grams[k]] -= 1
+                    if not counts[self.grams[k]]:
+                        del counts[self.grams[k]]
+                k += 1
+            upto = max(upto, k)
+            while upto < len(self.grams) and len(counts) <= most:
+                counts[self.grams[upto]] += 1
+                upto += 1
+            if len(counts) > most:
+                out[a] = self.end[upto - 1]
+        return out
+
+
+def best_run(text: Grams, template: Bigrams, threshold: float) -> tuple[float, int, int] | None:
+    """Score, first and last line of the best run of lines; of equal scores the shortest, then the first.
+
+    Lines without a bigram of the template at a run's end only lower its score or lengthen it, so runs are tried from
+    lines in which such a bigram begins up to lines in which a new one ends. From where all of a line's such bigrams
+    have come again, the run without that line is no worse and shorter.
+    """
+    grams, begin, end = text.grams, text.begin, text.end
+    first_of = {line: i for i, line in reversed([*enumerate(begin)])}
+    starts, needed = set(), Counter()  # needed: runs from a line end before this line
+    for i, g in enumerate(grams):
+        if g in template:
+            starts.add(first_of[begin[i]])
+            again = text.again[i]
+            needed[begin[i]] = max(needed[begin[i]], end[again] if again < len(grams) else math.inf)
     most = (2 - threshold) / threshold * len(template) + 1e-9
-    for i, line in enumerate(lines):
-        have: set[tuple[str, str]] = set()
-        previous = None
-        for j in range(i, len(lines)):
-            words = lines[j]
-            if previous is not None and words:
-                have.add((previous, words[0]))
-            have.update(zip(words, words[1:]))
-            previous = words[-1] if words else previous
-            if len(have) > most:
-                break
-            score = 2 * len(have & template) / (len(have) + len(template))
-            if score >= threshold and (best is None or score > best[0]):
-                best = (score, i, j)
-    return best
-
-
-def best_window(lines: list[list[str]], template: Bigrams, threshold: float) -> tuple[float, int, int] | None:
+    best = None
+    for i, places in text.first_ones(starts):
+        size = common = gained = 0
+        upto = None
+        for k in chain(places, [None]):
+            if upto is not None and (k is None or end[k] != upto):  # the line is complete
+                if size > most or upto >= needed[begin[i]]:
+                    break
+                if gained:
+                    score = 2 * common / (size + len(template))
+                    rank = (-score, upto - begin[i], begin[i])
+                    if score >= threshold and (best is None or rank < best):
+                        best = rank
+                gained = 0
+            if k is not None:
+                upto = end[k]
+                size += 1
+                gained += grams[k] in template
+                common += grams[k] in template
+    return best and (-best[0], best[2], best[2] + best[1])
+
+
+def best_window(text: Grams, template: Bigrams, threshold: float) -> tuple[float, int, int] | None:
     """Score, first and last line of the best run of words in lines that are too long to be scored as a whole.
 
     A bigram at an end that the template lacks only lowers the score, so runs begin and end with common ones.
-    A run counts as at least the template's size: it must not gain by leaving out the word that differs.
+    A run counts as at least the template's size: it must not gain by leaving out the word that differs. Of equal
+    scores the shortest run is taken, then the first.
     """
-    words = [w for line in lines for w in line]
-    line_of = [n for n, line in enumerate(lines) for _ in line]
-    grams = list(zip(words, words[1:]))
-    common = [g in template for g in grams]
-    best = None
+    grams, begin, end = text.grams, text.begin, text.end
     most = (2 - threshold) / threshold * len(template) + 1e-9
-    sizes: dict[tuple[int, int], int] = {}
-
-    def too_long(a: int, b: int) -> bool:
-        if (a, b) not in sizes:
-            sizes[a, b] = len(bigrams([w for line in lines[a : b + 1] for w in line]))
-        return sizes[a, b] > most
-
-    for i in [i for i, c in enumerate(common) if c]:
-        have: set[tuple[str, str]] = set()
-        n = 0
-        for j in range(i, len(grams)):
-            if grams[j] in have:
-                continue
-            have.add(grams[j])
-            if len(have) > most:
+    too_long_from = text.too_long_from(most)
+    best = None
+    for i, places in text.first_ones({i for i, g in enumerate(grams) if g in template}):
+        common, again = 0, text.again[i]
+        if again < len(grams) and begin[again] != begin[i]:  # a later line may not be too long
+            again = len(grams)
+        for size, k in enumerate(places, 1):
+            if size > most or k >= again:
                 break
-            if common[j]:
-                n += 1
-                score = 2 * n / (max(len(have), len(template)) + len(template))
-                a, b = line_of[i], line_of[j + 1]
-                if score >= threshold and (best is None or score > best[0]) and too_long(a, b):
-                    best = (score, a, b)
-    return best
+            if grams[k] in template:
+                common += 1
+                score = 2 * common / (max(size, len(template)) + len(template))
+                rank = (-score, k - i, i)
+                if score >= threshold and (best is None or rank < best) and end[k] >= too_long_from[begin[i]]:
+                    best = rank
+    return best and (-best[0], begin[best[2]], end[best[2] + best[1]])
 
 
 _FOUND = pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()), ("first_line", pa.int32()), ("last_line", pa.int32())]))
@@ -189,7 +246,7 @@ _FOUND = pa.list_(pa.struct([("license", pa.string()), ("score", pa.float64()),
 
 def _matched(texts: list[str], templates: Index) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in texts]
-    split: dict[int, list[list[str]]] = {}
+    split: dict[int, Grams] = {}
     pairs = candidates(texts, templates).tolist()
     for search in (best_run, best_window):
         known = [{m["license"] for m in matches} for matches in out]
@@ -197,7 +254,7 @@ def _matched(texts: list[str], templates: Index) -> list[list[dict]]:
             if search is best_window and templates.names[t] in known[d]:
                 continue
             if d not in split:
-                split[d] = [normalised(line) for line in texts[d].split("\n")]
+                split[d] = Grams([normalised(line) for line in texts[d].split("\n")])
             run = search(split[d], templates.sets[t], templates.threshold)
             if run:
                 out[d].append({"license": templates.names[t], "score": run[0], "first_line": run[1], "last_line": run[2]})

@@ -187,7 +187,7 @@ scored AS (
 ),
 best AS (
   SELECT DISTINCT ON (doc_id, license) * FROM scored WHERE score >= 0.8
-  ORDER BY doc_id, license, score DESC, first_line, last_line
+  ORDER BY doc_id, license, score DESC, last_line - first_line, first_line
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) AS place,

@@ -95,14 +95,14 @@ def kept_lines(text: Column, keep: Column) -> Column:
 
 
 def without_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: bool = False) -> DataFrame:
-    """The documents with n_lines, n_dropped and kept, the remaining text."""
-    bitmaps = written(keep_bitmaps(docs, min_docs, keep_first), "line-bitmaps").alias("b")
-    d = docs.alias("d")
-    key = F.xxhash64("d.text")
-    joined = d.join(bitmaps, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (key == F.col("b.text_key")), "left")
-    return joined.select(
-        "d.*",
-        F.size(lines(F.col("d.text"))).cast("bigint").alias("n_lines"),
-        F.coalesce("b.n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"),
-        kept_lines(F.col("d.text"), F.col("b.keep")).alias("kept"),
+    """The documents with n_lines, n_dropped and kept, the remaining text; these replace columns of the same names."""
+    bitmaps = written(keep_bitmaps(docs, min_docs, keep_first), "line-bitmaps")
+    others = [F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")]
+    rows = docs.select(F.struct(*others).alias("row"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("row.text") == F.col("text_key"))
+    own = F.struct(
+        F.size(lines(F.col("row.text"))).cast("bigint").alias("n_lines"),
+        F.coalesce("n_dropped", F.lit(0)).cast("bigint").alias("n_dropped"),
+        kept_lines(F.col("row.text"), F.col("keep")).alias("kept"),
     )
+    return rows.join(bitmaps, same, "left").select("row", own.alias("own")).select("row.*", "own.*")

@@ -283,17 +283,19 @@ def spans_of(words: Words, p: np.ndarray, texts: list[str]) -> list[list[tuple[i
     out: list[list[tuple[int, int]]] = [[] for _ in texts]
     base = np.cumsum([0] + [len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])
     size = words.end - words.start
-    before = -2
-    for i in np.flatnonzero(p >= 0.5).tolist():
-        d = int(words.doc[i])
-        a = int(words.offset[i] - base[d])
-        raw = texts[d].encode("utf-8", "surrogatepass") if not texts[d].isascii() else None
-        place = (lambda k: len(raw[:k].decode("utf-8", "replace"))) if raw is not None else (lambda k: k)
-        if before == i - 1 and out[d]:
-            out[d][-1] = (out[d][-1][0], place(a + int(size[i])))
-        else:
-            out[d].append((place(a), place(a + int(size[i]))))
-        before = i
+    toxic = np.flatnonzero(p >= 0.5)
+    docs = words.doc[toxic]
+    for d in np.unique(docs).tolist():
+        at = toxic[np.searchsorted(docs, d) : np.searchsorted(docs, d, "right")]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
+        begin = words.offset[at[first]] - base[d]
+        last = at[np.r_[first[1:] - 1, len(at) - 1]]
+        end = words.offset[last] + size[last] - base[d]
+        if not texts[d].isascii():  # bytes to characters: each has one byte that is no continuation
+            raw = np.frombuffer(texts[d].encode("utf-8", "surrogatepass"), np.uint8)
+            chars = np.r_[0, np.cumsum(raw & 0xC0 != 0x80)]
+            begin, end = chars[begin], chars[end]
+        out[d] = list(zip(begin.tolist(), end.tolist()))
     return out
 
 

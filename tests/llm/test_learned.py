@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -147,3 +148,18 @@ def test_registered_queries_on_given_rows(spark):
         assert len(rows) == 1000
         held = [r for r in rows if r.held_out and r.doc_id in marks]
         assert np.mean([r.predicted == marks[r.doc_id][label] for r in held]) > 0.93
+
+
+def test_spans_of_long_texts_beyond_ascii():
+    import time
+
+    from badgeflow.llm.common import words_of
+
+    texts = ["a bad bad é word", "", "漢字 bad ß bad", "é bad " * 50_000, "bad"]
+    words = words_of(texts)
+    p = np.array([1.0 if words.text(i, i) == "bad" else 0.0 for i in range(len(words.start))])
+    began = time.perf_counter()
+    spans = toxicity.spans_of(words, p, texts)
+    assert time.perf_counter() - began < 5
+    for text, found in zip(texts, spans):
+        assert [text[a:b] for a, b in found] == [m.group() for m in re.finditer(r"\bbad(?: bad)*\b", text)]

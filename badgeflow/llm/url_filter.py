@@ -1,10 +1,16 @@
 """URL filter by association rules, with a list of given rules before them.
 
-A URL's tokens are its host's labels, path segments and query keys. Of labelled pages, Spark's FP-growth mines
-token combinations that go with a bad label; kept are those with enough bad pages and confidence, without
-combinations that contain a shorter kept one. Enough is a number of pages, not a share, so a rule does not
-depend on the size of the table; a smaller number is enough where the Chernoff bound rules chance out. Rules match through an inverted index: a rule is entered under
-its rarest token only, so that a URL meets few rules, and then compared in full.
+A URL's tokens are its host's labels, path segments and query keys. Of labelled bad pages, Spark's FP-growth mines
+token combinations; how many pages in all have a combination is counted by the index below. Kept are those with enough
+bad pages and confidence, without combinations that contain a shorter kept one. Enough is a number of pages, not a share,
+so a rule does not depend on the size of the table; a smaller number is enough where the Chernoff bound rules chance
+out. Before mining, tokens of too few bad pages go, and those that are a rule alone (no longer rule is kept that has
+them); tokens that occur in exactly the same labelled pages (as 192 bits of hashes of the pages and their number say) are
+mined as one, and a rule with it stands for one with each of them. So tokens that always come together do not
+multiply the combinations.
+
+Rules match through an inverted index: a rule is entered under its rarest token only, so that a URL meets few rules,
+and then compared in full.
 
 Given rules (verdict, host, path) come first: a rule fits its host and all subdomains if the URL's path starts
 with its path; the longest one wins. They are joined on the host's suffixes.
@@ -31,7 +37,6 @@ MIN_PAGES = 20  # labelled bad pages behind a rule, in a table of any size
 FEW_PAGES = 5  # as many are enough for a rule that chance does not explain
 MAX_CHANCE = 1e-4  # bound of the probability that labels dealt at random give a rule of few pages its bad ones
 MIN_CONFIDENCE = 0.5
-BAD = "label:bad"
 
 ALLOW, BLOCK = "allow", "block"
 #: Given rules: verdict, host, path.
@@ -102,28 +107,64 @@ def mined_rules(
     urls: DataFrame, labels: DataFrame, min_confidence: float = MIN_CONFIDENCE, min_pages: int = MIN_PAGES,
     few_pages: int = FEW_PAGES, max_chance: float = MAX_CHANCE,
 ) -> DataFrame:
-    """tokens (sorted), confidence, support of the rules that say bad.
+    """tokens (sorted), confidence, support of rules that say bad, the shortest ones among them.
 
     labels: page_id and bad (boolean); a page with several labels is bad if one says so.
     """
     known = labels.where("page_id IS NOT NULL AND bad IS NOT NULL").groupBy("page_id").agg(F.max("bad").alias("bad"))
-    baskets = written(
-        urls.join(known, "page_id")
-        .select(F.concat("tokens", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")),
-        "url-baskets",
-    )
-    n, n_bad = baskets.agg(F.count("*"), F.count_if(F.array_contains("items", BAD))).first()
+    pages = written(urls.join(known, "page_id").select(F.xxhash64("page_id", "url").alias("page"), "bad", "tokens"), "labelled-pages")
+    n, n_bad = pages.agg(F.count("*"), F.count_if("bad")).first()
     if not n_bad:
         return urls.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
-    support = (min(few_pages, min_pages) - 0.5) / n  # the half: FP-growth rounds the number of pages up
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support), minConfidence=min_confidence).fit(baskets)
-    bad = F.round(F.col("support") * n)
-    chance = _chance(bad, F.round(bad / F.col("confidence")), n_bad / n)
-    return (
-        model.associationRules.where(F.col("consequent")[0] == BAD)
-        .where((bad >= min_pages) | (bad >= few_pages) & (chance <= max_chance))
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    least = min(few_pages, min_pages)
+
+    def kept() -> Column:
+        """Of columns bad_pages and pages."""
+        chance = _chance(F.col("bad_pages"), F.col("pages"), n_bad / n)
+        enough = (F.col("bad_pages") >= min_pages) | (F.col("bad_pages") >= few_pages) & (chance <= max_chance)
+        return enough & (F.col("bad_pages") >= min_confidence * F.col("pages"))
+
+    def rules(counted: DataFrame) -> DataFrame:
+        return counted.select(
+            F.array_sort("tokens").alias("tokens"), (F.col("bad_pages") / F.col("pages")).alias("confidence"), (F.col("bad_pages") / n).alias("support")
+        )
+
+    each = pages.select("page", "bad", F.explode("tokens").alias("token"))
+    same = [F.bit_xor(F.xxhash64("page", F.lit(i))).alias(f"x{i}") for i in range(3)]
+    items = each.groupBy("token").agg(F.count("*").alias("pages"), F.count_if("bad").alias("bad_pages"), *same)
+    items = items.where(F.col("bad_pages") >= least)
+    items = written(items.withColumn("alone", kept()), "url-items")
+    classes = written(
+        items.where("NOT alone").groupBy("pages", "bad_pages", "x0", "x1", "x2")
+        .agg(F.min("token").alias("item"), F.collect_list("token").alias("members")).select("item", "members"),  # tokens of one page
+        "url-classes",
+    )
+    in_classes = written(
+        each.join(classes.select(F.col("item").alias("token")), "token").groupBy("page", "bad").agg(F.collect_set("token").alias("tokens")),
+        "url-baskets",
     )
+    baskets = in_classes.where("bad AND size(tokens) > 1").select("tokens")
+    n_baskets = baskets.count()
+    found = rules(items.where("alone").select(F.array("token").alias("tokens"), "pages", "bad_pages"))
+    if not n_baskets:
+        return found
+    support = min(1.0, (least - 0.5) / n_baskets)  # the half: FP-growth rounds the number of pages up
+    sets = FPGrowth(itemsCol="tokens", minSupport=support, minConfidence=0.0).fit(baskets).freqItemsets.where("size(items) > 1")
+    sets = written(sets.select(F.array_sort("items").alias("tokens"), F.col("freq").alias("bad_pages")), "url-itemsets")
+    counted = matches(in_classes.select("tokens"), sets.withColumn("confidence", F.lit(None).cast("double"))).groupBy(
+        F.col("rule_tokens").alias("tokens")
+    ).agg(F.count("*").alias("pages"))
+    long_rules = sets.join(counted, "tokens")
+    long_rules = without_longer(rules(long_rules.where(kept())))
+    numbered = long_rules.select("confidence", "support", F.col("tokens").alias("of_rule"), F.explode("tokens").alias("item")).join(classes, "item")
+    members = numbered.groupBy("of_rule", "confidence", "support").agg(F.collect_list("members").alias("choices"))
+
+    def each_choice(rows: Column, members: Column) -> Column:
+        return F.flatten(F.transform(rows, lambda r: F.transform(members, lambda m: F.concat(r, F.array(m)))))
+
+    start = F.array(F.array().cast("array<string>"))
+    expanded = members.select(F.explode(F.aggregate("choices", start, each_choice)).alias("tokens"), "confidence", "support")
+    return found.unionByName(expanded.select(F.array_sort("tokens").alias("tokens"), "confidence", "support"))
 
 
 def without_longer(rules: DataFrame) -> DataFrame:

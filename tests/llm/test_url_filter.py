@@ -76,6 +76,22 @@ def test_mined_rules_equal_brute_force(spark, seed):
         assert found[i] == ("block" if blocked else "allow")
 
 
+def test_tokens_that_come_together_do_not_multiply(spark):
+    """Thirty shared tokens: as rules alone, and in pairs with a token that is harmless alone."""
+    keys = "&".join(f"k{i}=1" for i in range(30))
+    urls = [(f"http://form{i}.org/login?{keys}", True) for i in range(6)]
+    urls += [(f"http://a.org/{i}/sell?{keys.replace('k', 'q')}", True) for i in range(25)]  # bad together only
+    urls += [(f"http://b.org/{i}?{keys.replace('k', 'q')}", False) for i in range(60)]
+    urls += [(f"http://c.org/{i}/sell", False) for i in range(60)]
+    urls += [(f"http://d.org/{i}/", False) for i in range(200)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string")
+    marks = spark.createDataFrame([(i, bad) for i, (_, bad) in enumerate(urls)], "page_id long, bad boolean")
+    found = {frozenset(r.tokens) for r in uf.without_longer(uf.mined_rules(uf.parsed(pages), marks)).collect()}
+    want = {frozenset(["path:login"])} | {frozenset([f"query:k{i}"]) for i in range(30)} | {frozenset(["host:a"])}
+    want |= {frozenset(["path:sell", f"query:q{i}"]) for i in range(30)}
+    assert found == want
+
+
 def mined(spark, hosts):
     """hosts: name, bad pages, all pages"""
     rows = [(h, i < bad) for h, bad, n in hosts for i in range(n)]

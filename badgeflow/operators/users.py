@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from badgeflow import schemas
@@ -44,41 +43,91 @@ def merge_users(staging: DataFrame, users: DataFrame, as_of: AsOf = None) -> Dat
     return users.select(*USER_COLUMNS).unionByName(new_users(staging, users, as_of))
 
 
+#: What happens at one time, in this order: a version ends, a version starts, a change is made.
+ENDS, STARTS, CHANGES = 0, 1, 2
+
+
 def apply_user_changes(
     users: DataFrame, changes: DataFrame, attributes: list[str], as_of: AsOf = None
 ) -> DataFrame:
-    """The whole dimension after Type-2 changes.
+    """The whole dimension after Type-2 changes, with a version for each of them.
+
+    ``changes`` has ``user_id``, ``changed_at`` and the attributes, in any order and of any age. A change holds from
+    its time to the next change, version or end of a version of its user, so a change older than a closed version
+    splits that version; attributes that it does not speak of are those of the version at its time (or of the first
+    one, before that). Neighbours with equal attributes are one version. A version that is in the dimension keeps its key and
+    its row: it is shortened, and if a change takes all of its time, its interval is empty. A change that meets a
+    later version with equal attributes moves that version's start. Applied twice, changes do nothing more.
 
-    ``changes`` has ``user_id``, ``changed_at`` and the attributes; the newest change of a user
-    counts. A current row whose attributes differ is closed at that time and a new version opened
-    from then on; ids without a current row are opened; all else stays. Write the result to a new
-    folder, never over the one being read.
+    Changes without user or time are left out; of several at one time the last by the attributes counts. Write the
+    result to a new folder, never over the one being read.
+
+    The versions and changes of one user are ordered in one task, on disk where they are many; repeated values of a day
+    are taken out before, day by day.
     """
     now = instant(as_of)
-    # the filter makes both uses of the changes equal, so that Spark shuffles them once
-    wanted = latest_per_key(
-        changes.select("user_id", "changed_at", *attributes).where("user_id IS NOT NULL"),
-        ["user_id"], "changed_at",
-    ).select("user_id", "changed_at", *[F.col(a).alias(f"_new_{a}") for a in attributes], F.lit(True).alias("_given"))
-
-    differs = reduce(
-        lambda x, y: x | y, [~F.col(a).eqNullSafe(F.col(f"_new_{a}")) for a in attributes]
-    )
-    matched = users.select(*USER_COLUMNS).join(wanted, "user_id", "left")
-    closes = F.coalesce(F.col("_given") & F.col("is_current") & differs, F.lit(False))
-    kept = matched.withColumn("_closes", closes).withColumns({
-        "effective_end_date": F.when(F.col("_closes"), F.col("changed_at")).otherwise(F.col("effective_end_date")),
-        "updated_timestamp": F.when(F.col("_closes"), now).otherwise(F.col("updated_timestamp")),
-        "is_current": F.col("is_current") & ~F.col("_closes"),
+    given = changes.select("user_id", "changed_at", *attributes).where("user_id IS NOT NULL AND changed_at IS NOT NULL")
+    given = latest_per_key(given, ["user_id", "changed_at"], attributes[0])
+    # an empty version only serves facts that have its key
+    lasting = F.col("effective_end_date").isNull() | (F.col("effective_end_date") > F.col("effective_start_date"))
+    own = F.struct(*[F.col(a) for a in ATTRIBUTES]).alias("own")
+    changed = F.struct(*[F.col(a) for a in attributes]).alias("changed")
+    # the filter makes both uses of the ids equal, so that Spark shuffles them once
+    ids = given.select("user_id").distinct()
+    touched = users.where(lasting).join(ids, "user_id", "left_semi")
+    row = F.struct(*USER_COLUMNS).alias("row")
+
+    def nothing(of: DataFrame, struct: Column, name: str) -> Column:
+        return F.lit(None).cast(of.select(struct).schema.fields[0].dataType).alias(name)
+
+    no_row, no_own, no_change = nothing(users, row, "row"), nothing(users, own, "own"), nothing(given, changed, "changed")
+    events = touched.select("user_id", F.col("effective_start_date").alias("at"), F.lit(STARTS).alias("kind"), own, no_change, row)
+    events = events.unionByName(
+        touched.where("effective_end_date IS NOT NULL").select(
+            "user_id", F.col("effective_end_date").alias("at"), F.lit(ENDS).alias("kind"), no_own, no_change, no_row
+        )
+    ).unionByName(given.select("user_id", F.col("changed_at").alias("at"), F.lit(CHANGES).alias("kind"), no_own, changed, no_row))
+
+    order = ["at", "kind", F.col("row.user_key")]
+    day = W.partitionBy("user_id", F.to_date("at")).orderBy(*order)
+    repeated = (F.col("kind") == CHANGES) & F.coalesce(F.lag("changed").over(day) == F.col("changed"), F.lit(False))
+    events = events.withColumn("_repeated", repeated).where("NOT _repeated").drop("_repeated")
+
+    user = W.partitionBy("user_id").orderBy(*order)
+    before = F.last("own", ignorenulls=True).over(user.rowsBetween(W.unboundedPreceding, 0))
+    after = F.first("own", ignorenulls=True).over(user.rowsBetween(0, W.unboundedFollowing))
+    # the end of a version says nothing where the next one starts
+    followed = (F.col("kind") == ENDS) & (F.lead("kind").over(user) == STARTS) & (F.lead("at").over(user) == F.col("at"))
+    events = events.withColumns({"_held": F.coalesce(before, after), "_followed": F.coalesce(followed, F.lit(False))}).where("NOT _followed").drop("_followed")
+    held = {a: F.col(f"_held.{a}") for a in ATTRIBUTES}
+    overlaid = F.struct(*[(F.col(f"changed.{a}") if a in attributes else held[a]).alias(a) for a in ATTRIBUTES])
+    events = events.withColumn("own", F.when(F.col("kind") == CHANGES, overlaid).otherwise(F.col("own"))).drop("_held", "changed")
+    same = F.coalesce(F.lag("own").over(user) == F.col("own"), F.lit(False))
+    events = events.withColumn("_same", (F.col("kind") == CHANGES) & same).where("NOT _same").drop("_same")
+
+    of_neighbours = {
+        "_next_at": F.lead("at").over(user),
+        "_into_next": (F.lead("kind").over(user) == STARTS) & (F.lead("own").over(user) == F.col("own")),
+        "_previous_at": F.lag("at").over(user),
+        "_from_previous": (F.lag("kind").over(user) == CHANGES) & (F.lag("own").over(user) == F.col("own")),
+    }
+    pieces = events.withColumns(of_neighbours)
+    start = F.when(F.coalesce("_from_previous", F.lit(False)), F.col("_previous_at")).otherwise(F.col("at"))
+    kept = pieces.where(F.col("kind") == STARTS).select(start.alias("_start"), F.col("_next_at").alias("_end"), "row.*")
+    moved = ~F.col("_start").eqNullSafe(F.col("effective_start_date")) | ~F.col("_end").eqNullSafe(F.col("effective_end_date"))
+    kept = kept.withColumns({
+        "updated_timestamp": F.when(moved, now).otherwise(F.col("updated_timestamp")),
+        "is_current": F.col("is_current") & F.col("_end").isNull(),
+        "effective_start_date": F.col("_start"),
+        "effective_end_date": F.col("_end"),
     }).select(*USER_COLUMNS)
 
-    # attributes that a change does not speak of are carried over
-    carried = [c for c in ATTRIBUTES if c not in attributes]
-    held = current(users).select("user_id", *attributes, *carried, F.lit(True).alias("_held"))
-    opening = wanted.join(held, "user_id", "left").where(F.col("_held").isNull() | differs).select(
-        "user_id", F.col("changed_at").alias("effective_start_date"),
-        *[F.col(f"_new_{a}").alias(a) for a in attributes], *carried,
+    opening = pieces.where((F.col("kind") == CHANGES) & ~F.coalesce("_into_next", F.lit(False))).select(
+        "user_id", F.concat_ws("|", "user_id", F.unix_micros(F.col("at").cast("timestamp"))).alias("_version"),
+        F.col("at").alias("effective_start_date"), F.col("_next_at").alias("effective_end_date"),
+        F.col("_next_at").isNull().alias("is_current"), "own.*",
     )
-    keyed = with_dense_keys(opening, "user_id", "user_key", _last_key(users))
+    keyed = with_dense_keys(opening, "_version", "user_key", _last_key(users)).drop("_version")
     versions = keyed.withColumn("is_active", F.coalesce("is_active", F.lit(True)))
-    return kept.unionByName(fill_columns(versions, schemas.USERS, user_defaults(as_of)))
+    untouched = users.where(~lasting).unionByName(users.where(lasting).join(ids, "user_id", "left_anti").select(*users.columns))
+    return untouched.select(*USER_COLUMNS).unionByName(kept).unionByName(fill_columns(versions, schemas.USERS, user_defaults(as_of)))

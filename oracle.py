@@ -7,6 +7,7 @@ messages, raw, staging, users, facts and logs from ``events`` with plain SQL.
 from __future__ import annotations
 
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+USERS_SINCE = "TIMESTAMP '2024-01-10 00:00:00'"
 
 # Fixed values, written out here too so that a wrong one in the pipeline shows.
 SEED_USERS = """
@@ -266,15 +267,10 @@ _STATEMENTS = {
       SELECT * EXCLUDE (redelivery, event_id) FROM raw WHERE badge_id = 'BADGE-000008'
       ORDER BY ingestion_time DESC, event_timestamp DESC LIMIT 10""",
     "dim_users_merge": "SELECT * FROM users",
-    "scd2_apply": f"""
-      SELECT u.* REPLACE (CASE WHEN d.department <> u.department THEN changed_at END AS effective_end_date,
-          d.department IS NULL OR d.department = u.department AS is_current)
-      FROM users u LEFT JOIN wanted d USING (user_id)
-      UNION ALL
-      SELECT u.* REPLACE (d.department AS department, changed_at AS effective_start_date,
-          (SELECT max(user_key) FROM users)
-            + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key)
-      FROM users u JOIN wanted d USING (user_id) WHERE d.department <> u.department""",
+    "scd2_apply": """
+      SELECT u.* REPLACE (v.user_key AS user_key, v.department AS department, start AS effective_start_date,
+        stop AS effective_end_date, stop IS NULL AS is_current, created AS created_timestamp, updated AS updated_timestamp)
+      FROM twice_changed v JOIN users u USING (user_id)""",
     "fact_time_parts": """
       SELECT badge_id, event_timestamp, event_timestamp::DATE::VARCHAR AS event_date,
         extract(hour FROM event_timestamp) AS event_hour, extract(dow FROM event_timestamp) AS event_day_of_week,
@@ -295,8 +291,8 @@ _STATEMENTS = {
       FROM (
         SELECT user_key FROM fact
         UNION ALL
-        SELECT coalesce(o.user_key, u.user_key)
-        FROM fact f JOIN users u USING (user_key) LEFT JOIN opened o ON o.user_id = u.user_id
+        SELECT v.user_key
+        FROM fact f JOIN users u USING (user_key) JOIN twice_changed v ON v.user_id = u.user_id AND v.stop IS NULL
       ) GROUP BY 1""",
     "unmapped_zones": "SELECT * FROM staging WHERE zone_id NOT IN (SELECT zone_id FROM zones)",
     "ingestion_metrics": f"""
@@ -483,19 +479,65 @@ _STATEMENTS = {
       ORDER BY badge_id, event_timestamp, (event_id // 20 + 2 * redelivery) % 3, ingestion_time""",
 }
 
-# The newest change of each user's department, for the Type-2 query.
-_WANTED = """,
-wanted AS (
-  SELECT user_id, arg_max(coalesce(upper(direction), 'UNKNOWN'), ingestion_time) AS department,
-    max(ingestion_time) AS changed_at
-  FROM decoded GROUP BY 1
+def _changed(name: str, versions: str, changes: str) -> str:
+    """Versions (user_key, user_id, department, start, stop, created, updated) after changes (user_id, moment, department)."""
+    lasting = "(stop IS NULL OR stop > start)"
+    window = "WINDOW w AS (PARTITION BY user_id ORDER BY moment, kind, user_key)"
+    return f"""
+{name}_held AS (SELECT * FROM {versions} WHERE {lasting} AND user_id IN (SELECT user_id FROM {changes})),
+{name}_events AS (
+  SELECT user_id, start AS moment, 1 AS kind, user_key, department, stop, created, updated FROM {name}_held
+  UNION ALL
+  SELECT user_id, stop, 0, NULL, NULL, NULL, NULL, NULL FROM {name}_held e
+  WHERE stop IS NOT NULL AND NOT EXISTS (FROM {name}_held s WHERE s.user_id = e.user_id AND s.start = e.stop)
+  UNION ALL
+  SELECT user_id, moment, 2, NULL, department, NULL, NULL, NULL FROM {changes}
 ),
-opened AS (
-  SELECT user_id, (SELECT max(user_key) FROM users)
-    + row_number() OVER (ORDER BY substr(md5(user_id), 1, 3), user_id) AS user_key
-  FROM users u JOIN wanted d USING (user_id) WHERE d.department <> u.department
+{name}_kept AS (
+  SELECT * FROM (SELECT *, lag(department) OVER w AS held FROM {name}_events {window})
+  WHERE kind <> 2 OR held IS DISTINCT FROM department
+),
+{name}_pieces AS (
+  SELECT *, lead(moment) OVER w AS next_at, lag(moment) OVER w AS previous_at,
+    coalesce(lead(kind) OVER w = 1 AND lead(department) OVER w = department, false) AS into_next,
+    coalesce(lag(kind) OVER w = 2 AND lag(department) OVER w = department, false) AS from_previous
+  FROM {name}_kept {window}
+),
+{name} AS (
+  SELECT * FROM {versions} WHERE NOT {lasting} OR user_id NOT IN (SELECT user_id FROM {changes})
+  UNION ALL
+  SELECT user_key, user_id, department, CASE WHEN from_previous THEN previous_at ELSE moment END, next_at, created,
+    CASE WHEN from_previous OR next_at IS DISTINCT FROM stop THEN {AS_OF} ELSE updated END
+  FROM {name}_pieces WHERE kind = 1
+  UNION ALL
+  SELECT (SELECT max(user_key) FROM {versions}) + row_number() OVER (ORDER BY substr(md5(id), 1, 3), id),
+    user_id, department, moment, next_at, {AS_OF}, {AS_OF}
+  FROM (SELECT *, user_id || '|' || epoch_us(moment) AS id FROM {name}_pieces WHERE kind = 2 AND NOT into_next)
 )"""
 
 
+def _department_changes(name: str, which: str) -> str:
+    return f"""
+{name} AS (
+  SELECT user_id, ingestion_time AS moment, max(coalesce(upper(direction), 'UNKNOWN')) AS department
+  FROM decoded WHERE {which} GROUP BY ALL
+)"""
+
+
+# Two loads of changes of departments, every third message coming later than the others.
+_VERSIONS = ",".join([
+    "",
+    _department_changes("first_changes", "event_id % 3 <> 0"),
+    _department_changes("late_changes", "event_id % 3 = 0"),
+    f"""
+loaded_users AS (
+  SELECT user_key, user_id, department, {USERS_SINCE} AS start, NULL::TIMESTAMP AS stop, {USERS_SINCE} AS created, {USERS_SINCE} AS updated
+  FROM users
+)""",
+    _changed("once_changed", "loaded_users", "first_changes"),
+    _changed("twice_changed", "once_changed", "late_changes"),
+])
+
+
 def statements() -> dict[str, str]:
-    return {name: f"WITH {_TABLES}{_WANTED}\nSELECT * FROM ({sql})" for name, sql in _STATEMENTS.items()}
+    return {name: f"WITH {_TABLES}{_VERSIONS}\nSELECT * FROM ({sql})" for name, sql in _STATEMENTS.items()}

@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 from collections import Counter
 
@@ -110,24 +111,95 @@ def test_user_with_closed_rows_only_is_added_again(spark):
     assert rows(added.select("user_id", "user_key")) == [("USR-001", 6)]
 
 
+CHANGES = "user_id string, changed_at timestamp_ntz, department string"
+
+
 def test_type_2_changes(spark):
     changes = spark.createDataFrame([
         ("USR-001", at("2024-02-01T00:00:00"), "Sales"), ("USR-001", at("2024-02-02T00:00:00"), "Legal"),
+        ("USR-001", at("2024-02-02T12:00:00"), "Legal"), ("USR-001", None, "Lost"), (None, at("2024-02-01T00:00:00"), "Lost"),
         ("USR-002", at("2024-02-01T00:00:00"), "HR"), ("USR-777", at("2024-02-01T00:00:00"), "New"),
-    ], "user_id string, changed_at timestamp_ntz, department string")
+    ], CHANGES)
     after = users.apply_user_changes(seed_users(spark, AS_OF), changes, ["department"], "2024-02-03 00:00:00")
-    assert after.count() == 7 and after.columns == schemas.USERS.fieldNames()
-    versions = rows(after.where("user_id = 'USR-001'").orderBy("user_key").select(
-        "user_key", "user_name", "department", "is_current", "effective_end_date"))
-    assert versions[0] == (1, "John Smith", "Engineering", False, at("2024-02-02T00:00:00"))
-    assert versions[1][1:] == ("John Smith", "Legal", True, None)
-    opened = after.where("user_key > 5 AND user_id = 'USR-001'").first()
-    assert opened.effective_start_date == at("2024-02-02T00:00:00")
+    assert after.count() == 8 and after.columns == schemas.USERS.fieldNames()
+    versions = rows(after.where("user_id = 'USR-001'").orderBy("effective_start_date").select(
+        "user_name", "department", "is_current", "effective_end_date"))
+    assert versions == [
+        ("John Smith", "Engineering", False, at("2024-02-01T00:00:00")), ("John Smith", "Sales", False, at("2024-02-02T00:00:00")),
+        ("John Smith", "Legal", True, None)]
     assert after.where("is_current AND user_id = 'USR-002'").first().user_key == 2
     assert after.where("user_id = 'USR-777'").first().department == "New"
-    assert sorted(r.user_key for r in after.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert sorted(r.user_key for r in after.collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
     unchanged = users.apply_user_changes(after, changes, ["department"], AS_OF)
-    assert unchanged.exceptAll(after).count() == 0 and unchanged.count() == 7
+    assert unchanged.exceptAll(after).count() == 0 and unchanged.count() == 8
+
+
+def test_a_late_change_splits_a_closed_version(spark):
+    def applied(dimension, *changes):
+        given = spark.createDataFrame([("USR-001", at(f"2024-02-{d:02d}T00:00:00"), v) for d, v in changes], CHANGES)
+        after = users.apply_user_changes(dimension, given, ["department"], AS_OF).where("user_id = 'USR-001'")
+        return spark.createDataFrame(after.collect(), after.schema)
+
+    def versions(dimension):
+        found = [(r.effective_start_date.day, r.effective_end_date and r.effective_end_date.day, r.department, r.user_key)
+                 for r in dimension.collect()]
+        return sorted(found, key=lambda v: (v[0], v[1] or 99))
+
+    one = applied(seed_users(spark, "2024-02-01 00:00:00"), (10, "B"))
+    assert versions(one) == [(1, 10, "Engineering", 1), (10, None, "B", 6)]
+    split = applied(one, (5, "C"), (7, "Engineering"))
+    assert [v[:3] for v in versions(split)] == [(1, 5, "Engineering"), (5, 7, "C"), (7, 10, "Engineering"), (10, None, "B")]
+    # equal to the next version: that one starts earlier, under its key
+    assert versions(applied(one, (5, "B"))) == [(1, 5, "Engineering", 1), (5, None, "B", 6)]
+    # equal to the version before: nothing changes
+    assert versions(applied(one, (5, "Engineering"))) == versions(one)
+    # all of a version's time is taken: its row stays, with an empty interval
+    taken = applied(one, (10, "D"))
+    assert versions(taken) == [(1, 10, "Engineering", 1), (10, 10, "B", 6), (10, None, "D", 7)]
+    assert versions(applied(taken, (12, "E"))) == [
+        (1, 10, "Engineering", 1), (10, 10, "B", 6), (10, 12, "D", 7), (12, None, "E", 8)]
+
+
+def test_type_2_changes_against_a_timeline(spark):
+    """Two loads out of order: what holds at each time is what a plain timeline says."""
+    draw = random.Random(11)
+    ids, hours = [f"U{n}" for n in range(12)], list(range(1, 60))
+
+    def load(n):
+        return [(draw.choice(ids), at("2024-02-01T00:00:00") + dt.timedelta(hours=draw.choice(hours)), draw.choice("ABC")) for _ in range(n)]
+
+    def as_rows(dimension):
+        return [(r.user_key, r.user_id, r.effective_start_date, r.effective_end_date, r.department, r.is_current, r.user_name) for r in dimension.collect()]
+
+    base = fill_columns(
+        spark.createDataFrame([(i + 1, u, f"name {u}", "A") for i, u in enumerate(ids[:9])], "user_key bigint, user_id string, user_name string, department string"),
+        schemas.USERS, users.user_defaults("2024-02-02 00:00:00"))
+    base = spark.createDataFrame(base.collect(), base.schema)
+    keys = set()
+    for n in (40, 40, 25):
+        changes = load(n)
+        told = {}  # a change that only repeats what holds leaves no trace for later loads
+        for r in base.where("effective_end_date IS NULL OR effective_end_date > effective_start_date").collect():
+            told.setdefault(r.user_id, {})[r.effective_start_date] = r.department
+        after = users.apply_user_changes(base, spark.createDataFrame(changes, CHANGES).repartition(5), ["department"], "2024-03-01 00:00:00")
+        base = spark.createDataFrame(after.collect(), after.schema)
+        newest = {}
+        for u, t, v in changes:
+            newest[u, t] = max(newest.get((u, t), v), v)
+        for (u, t), v in newest.items():
+            told.setdefault(u, {})[t] = v
+        found = as_rows(base)
+        assert keys <= {r[0] for r in found} and len({r[0] for r in found}) == len(found)
+        keys = {r[0] for r in found}
+        for u, timeline in told.items():
+            lasting = sorted((r for r in found if r[1] == u and r[2] != r[3]), key=lambda r: r[2])
+            assert all(a[3] == b[2] for a, b in zip(lasting, lasting[1:])) and lasting[-1][3] is None
+            assert [r[5] for r in lasting] == [False] * (len(lasting) - 1) + [True]
+            for h in hours:
+                t = at("2024-02-01T00:00:00") + dt.timedelta(hours=h)
+                want = [timeline[k] for k in sorted(timeline) if k <= t][-1:]
+                assert [r[4] for r in lasting if r[2] <= t and (r[3] is None or t < r[3])] == want
+            assert u not in ids[:9] or {r[6] for r in lasting} == {f"name {u}"}
 
 
 def test_enrich(spark):

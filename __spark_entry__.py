@@ -21,7 +21,7 @@ from pyspark.sql.types import DateType, DecimalType, DoubleType
 import oracle
 from badgeflow import schemas
 from badgeflow.functions import clock
-from badgeflow.operators import facts, staging, users
+from badgeflow.operators import facts, feed, staging, users
 from badgeflow.plans import monitoring as m
 from badgeflow.plans import quality, validation as v
 from badgeflow.plans.pipeline import change_users, load_facts, process_batch
@@ -40,6 +40,8 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 AS_OF = fixture.AS_OF
 #: From when on the users are valid whose changes are applied.
 USERS_SINCE = "2024-01-10 00:00:00"
+#: A day whose files are merged there.
+CLOSED_DAY = "2024-01-15"
 DATABASE = fixture.DATABASE
 TASK_PATTERN = "badge_%"
 BADGE = "BADGE-000008"
@@ -187,6 +189,7 @@ class Inputs:
         for late in (False, True):
             changes = _department_changes(self).where((F.col("event_id") % 3 == 0) == late)
             change_users(self.spark, layout, changes, ["department"], AS_OF)
+        layout.close_day(self.spark, "staging", CLOSED_DAY)
         return layout
 
     # --- streams -----------------------------------------------------------------------
@@ -315,6 +318,20 @@ def _scd2(i: Inputs) -> DataFrame:
     return i.changed.users(i.spark)
 
 
+def _cdc_actions(i: Inputs) -> DataFrame:
+    """What two loads changed in the users; and in staging, of which a day was merged: nothing."""
+    of_users = i.changed.user_changes(i.spark, 0).select(
+        F.lit("DIM_USERS").alias("table_name"), F.col("user_key").cast("string").alias("row_key"), "department",
+        "effective_start_date", "effective_end_date", "change_action", "is_update",
+    )
+    merged = i.changed.staging(i.spark).drop(*FOLDERS)
+    of_staging = feed.table_changes(i.staging, merged, staging.EVENT_KEY).select(
+        F.lit("STG_BADGE_EVENTS").alias("table_name"), F.col("badge_id").alias("row_key"), F.col("user_id").alias("department"),
+        F.col("event_timestamp").alias("effective_start_date"), F.col("staging_time").alias("effective_end_date"), "change_action", "is_update",
+    )
+    return of_users.unionByName(of_staging)
+
+
 def _facts_after_change(i: Inputs) -> DataFrame:
     """A day later the same events come again under other badges: facts take the new keys."""
     layout = i.changed
@@ -406,6 +423,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "fact_load": lambda i: facts.enrich(i.staging, i.users, i.zones, None, _load_time()),
     "fact_user_ids": _fact_user_ids,
     "facts_after_change": _facts_after_change,
+    "cdc_actions": _cdc_actions,
     "unmapped_zones": lambda i: facts.unmapped_zones(i.staging, i.zones),
     # monitoring
     "ingestion_metrics": lambda i: m.ingestion_metrics(i.raw, AS_OF),

@@ -1,4 +1,4 @@
-"""Change rows, deduplication and staging."""
+"""Deduplication and staging."""
 
 from __future__ import annotations
 
@@ -8,21 +8,13 @@ from pyspark.sql import functions as F
 
 from badgeflow import schemas
 from badgeflow.functions.clock import AsOf, ago, instant, since
+from badgeflow.operators.feed import inserts
 
 # The time comes first: sorts then compare longs, where badge ids often share a long prefix.
 EVENT_KEY = ["event_timestamp", "badge_id"]
 EVENT_COLUMNS = [c for c in schemas.STAGING.fieldNames() if c != "staging_time"]
 
 
-def as_changes(raw: DataFrame) -> DataFrame:
-    """Raw rows as change rows. Raw is append-only, so every change is an insert."""
-    return raw.withColumn("_change_type", F.lit("insert"))
-
-
-def inserts(changes: DataFrame) -> DataFrame:
-    return changes.where(F.col("_change_type") == "insert").drop("_change_type")
-
-
 def latest_per_key(
     rows: DataFrame, keys: list[str] = EVENT_KEY, newest: str = "ingestion_time"
 ) -> DataFrame:
@@ -57,8 +49,12 @@ def without_known(rows: DataFrame, keys: DataFrame, known: DataFrame, on: list[s
 
 
 def stage(raw: DataFrame, staging_time: AsOf = None) -> DataFrame:
-    """One row per key of this batch, with the staging columns."""
-    kept = latest_per_key(inserts(as_changes(raw)).select(*EVENT_COLUMNS))
+    """One row per key of this batch, with the staging columns.
+
+    Of change rows (with ``change_action``) only the inserts are staged; raw as files only ever grows.
+    """
+    rows = inserts(raw) if "change_action" in raw.columns else raw
+    kept = latest_per_key(rows.select(*EVENT_COLUMNS))
     return kept.withColumn("staging_time", instant(staging_time))
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from badgeflow import schemas
 from badgeflow.functions.clock import AsOf
+from badgeflow.operators.feed import table_changes
 from badgeflow.sources import files
 from badgeflow.sources.seeds import fill_columns, seed_users, seed_zones
 
@@ -66,9 +67,14 @@ class Layout:
     def staging(self, spark: SparkSession) -> DataFrame:
         return self.table(spark, "staging")
 
-    def users(self, spark: SparkSession) -> DataFrame:
-        """The newest version of the dimension."""
-        return spark.read.schema(schemas.USERS).parquet(self._users_version(spark))
+    def users(self, spark: SparkSession, version: int | None = None) -> DataFrame:
+        """A version of the dimension, the newest one if none is named."""
+        folder = self._users_version(spark) if version is None else self._version(version)
+        return spark.read.schema(schemas.USERS).parquet(folder)
+
+    def user_changes(self, spark: SparkSession, before: int, after: int | None = None) -> DataFrame:
+        """Change rows between two versions of the dimension."""
+        return table_changes(self.users(spark, before), self.users(spark, after), ["user_key"])
 
     def zones(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "dim_zones", schemas.ZONES)

@@ -267,10 +267,14 @@ _STATEMENTS = {
       SELECT * EXCLUDE (redelivery, event_id) FROM raw WHERE badge_id = 'BADGE-000008'
       ORDER BY ingestion_time DESC, event_timestamp DESC LIMIT 10""",
     "dim_users_merge": "SELECT * FROM users",
-    "scd2_apply": """
-      SELECT u.* REPLACE (v.user_key AS user_key, v.department AS department, start AS effective_start_date,
-        stop AS effective_end_date, stop IS NULL AS is_current, created AS created_timestamp, updated AS updated_timestamp)
-      FROM twice_changed v JOIN users u USING (user_id)""",
+    "scd2_apply": "SELECT * FROM changed_users",
+    "cdc_actions": """
+      SELECT 'DIM_USERS' AS table_name, user_key::VARCHAR AS row_key, department, effective_start_date, effective_end_date,
+        change_action, min(change_action) OVER k <> max(change_action) OVER k AS is_update
+      FROM (
+        SELECT 'INSERT' AS change_action, * FROM (FROM changed_users EXCEPT FROM since_users)
+        UNION ALL SELECT 'DELETE', * FROM (FROM since_users EXCEPT FROM changed_users)
+      ) WINDOW k AS (PARTITION BY user_key)""",
     "fact_time_parts": """
       SELECT badge_id, event_timestamp, event_timestamp::DATE::VARCHAR AS event_date,
         extract(hour FROM event_timestamp) AS event_hour, extract(dow FROM event_timestamp) AS event_day_of_week,
@@ -536,6 +540,16 @@ loaded_users AS (
 )""",
     _changed("once_changed", "loaded_users", "first_changes"),
     _changed("twice_changed", "once_changed", "late_changes"),
+    f"""
+since_users AS (
+  SELECT * REPLACE ({USERS_SINCE} AS effective_start_date, {USERS_SINCE} AS created_timestamp, {USERS_SINCE} AS updated_timestamp)
+  FROM users
+),
+changed_users AS (
+  SELECT u.* REPLACE (v.user_key AS user_key, v.department AS department, start AS effective_start_date,
+    stop AS effective_end_date, stop IS NULL AS is_current, created AS created_timestamp, updated AS updated_timestamp)
+  FROM twice_changed v JOIN users u USING (user_id)
+)""",
 ])
 
 

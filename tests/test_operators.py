@@ -6,7 +6,7 @@ import pytest
 from badgeflow import schemas
 from badgeflow.functions.clock import seconds_between
 from badgeflow.functions.keys import event_key, with_dense_keys
-from badgeflow.operators import facts, staging, users
+from badgeflow.operators import facts, feed, staging, users
 from badgeflow.plans import quality
 from badgeflow.sources.seeds import fill_columns, reader_defaults, seed_users, seed_zones, zone_defaults
 from helpers import AS_OF, at, raw, raw_row, rows, staged
@@ -47,9 +47,41 @@ def test_latest_wins_and_ties_repeat(spark):
 
 
 def test_only_inserts_are_staged(spark):
-    changes = staging.as_changes(raw(spark, raw_row(), raw_row(badge="B2")))
-    changes = changes.withColumn("_change_type", F.when(F.col("badge_id") == "B2", "delete").otherwise("insert"))
-    assert [r.badge_id for r in staging.inserts(changes).collect()] == ["B1"]
+    changes = raw(spark, raw_row(), raw_row(badge="B2")).withColumns({
+        "change_action": F.when(F.col("badge_id") == "B1", feed.INSERT).otherwise(feed.DELETE), "is_update": F.lit(False)})
+    assert [r.badge_id for r in staging.stage(changes, AS_OF).collect()] == ["B1"]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_table_changes_against_counting(spark, buckets):
+    draw = random.Random(buckets)
+
+    def row():
+        return (draw.choice([None, *range(30)]), draw.choice("xy"), draw.choice([None, "a", "b"]), draw.choice([None, 1.5, 2.0]))
+
+    old = [row() for _ in range(120)]
+    new = [r for r in old if draw.random() < 0.8] + [row() for _ in range(30)] + old[:3]
+    schema = "k1 long, k2 string, v string, change_number double"
+    before, after = (spark.createDataFrame(rows_, schema).repartition(4) for rows_ in (old, new))
+    found = Counter(tuple(r) for r in feed.table_changes(before, after, ["k1", "k2"], buckets).collect())
+    gone, came = Counter(old) - Counter(new), Counter(new) - Counter(old)
+    both = {r[:2] for r in gone} & {r[:2] for r in came}
+    want = Counter()
+    for action, changed in ((feed.INSERT, came), (feed.DELETE, gone)):
+        for r, n in changed.items():
+            want[(*r, action, r[:2] in both)] += n
+    assert found == want and both
+    assert feed.table_changes(after, after.repartition(3), ["k1", "k2"], buckets).count() == 0
+    assert feed.table_changes(before.limit(0), before, ["k1"], buckets).count() == len(old)
+
+
+def test_only_buckets_that_differ_are_compared(spark):
+    before = spark.range(2000).selectExpr("id", "id % 7 AS v")
+    after = before.where("id <> 5").unionByName(spark.createDataFrame([(5, 100)], "id long, v long"))
+    spread = [d.selectExpr("struct(*) AS _row", "cast(pmod(xxhash64(id), 64) AS int) AS _bucket") for d in (before, after)]
+    assert feed.changed_buckets(*spread).count() == 1
+    found = feed.table_changes(before, after, ["id"], 64)
+    assert sorted(rows(found)) == [(5, 5, "DELETE", True), (5, 100, "INSERT", True)]
 
 
 def test_retention_edge(spark):

@@ -16,12 +16,12 @@ from functools import cached_property
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, DecimalType, DoubleType
 
 import oracle
 from badgeflow import schemas
-from badgeflow.functions import clock
-from badgeflow.operators import facts, feed, staging, users
+from badgeflow.operators import facts, feed, rollups, staging, users
 from badgeflow.plans import monitoring as m
 from badgeflow.plans import quality, validation as v
 from badgeflow.plans.pipeline import change_users, load_facts, process_batch
@@ -202,31 +202,38 @@ class Inputs:
         ingest.ingest(self.spark, lines, layout, fixture.delivered_at()).awaitTermination()
         return layout
 
+    def _arriving(self, name: str, part_of: Column, run: Callable[[Layout], StreamingQuery]) -> Layout:
+        """Raw rows in three parts, each followed by an available-now run of the same stream."""
+        layout = Layout(work_dir(self.spark, name)).create(self.spark, AS_OF)
+        for part in range(3):
+            rows = messages.shape_events(self.decoded.where(part_of == part)).select(*messages.RAW_COLUMNS)
+            rows.write.mode("append").parquet(layout.path("arriving"))
+            run(layout).awaitTermination()
+        return layout
+
     @cached_property
-    def three_parts(self) -> str:
-        """Raw rows as three files, by arrival; the stream reads one in a micro-batch."""
-        path = work_dir(self.spark, "parts")
-        rows = messages.shape_events(self.decoded).select(*messages.RAW_COLUMNS)
-        for part, bounds in enumerate(zip((None, *PARTS), (*PARTS, None))):
-            low, high = (F.lit(b).cast("timestamp_ntz") if b else None for b in bounds)
-            kept = rows if low is None else rows.where(F.col("ingestion_time") >= low)
-            kept = kept if high is None else kept.where(F.col("ingestion_time") < high)
-            kept.coalesce(1).write.parquet(f"{path}/part={part}")
-        return path
-
-    def drained(self, stream: DataFrame, name: str) -> DataFrame:
-        """What a stream appends by the time its input is used up."""
-        path = work_dir(self.spark, name)
-        (
-            stream.writeStream.format("parquet").outputMode("append")
-            .option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint")
-            .trigger(availableNow=True).start().awaitTermination()
+    def rolled(self) -> Layout:
+        """Parts by arrival, but that every tenth event comes a part later: days after its hour was counted."""
+        arrival = sum((F.col("ingestion_time") >= F.lit(p).cast("timestamp_ntz")).cast("int") for p in PARTS)
+        part = F.least(F.lit(len(PARTS)), arrival + (F.col("event_id") % 10 == 3).cast("int"))
+        return self._arriving(
+            "rolled", part, lambda layout: live.hourly_rollups(self.spark, self.raw_stream(layout.path("arriving")), layout)
+        )
+
+    @property
+    def hourly(self) -> tuple[DataFrame, DataFrame]:
+        return self.rolled.table(self.spark, "hourly_parts"), self.rolled.table(self.spark, "hourly_bits")
+
+    @cached_property
+    def first_arrived(self) -> Layout:
+        """The older of two copies may come in a later part."""
+        part = F.expr("(event_id div 20 + 2 * redelivery) % 3")
+        return self._arriving(
+            "first", part, lambda layout: live.first_arrivals(self.spark, self.raw_stream(layout.path("arriving")), layout)
         )
-        return self.spark.read.schema(stream.schema).parquet(f"{path}/out")
 
     def raw_stream(self, folders: str) -> DataFrame:
-        reader = self.spark.readStream.schema(schemas.RAW).option("maxFilesPerTrigger", 1)
-        return reader.parquet(folders)
+        return self.spark.readStream.schema(schemas.RAW).parquet(folders)
 
 
 _INPUTS: dict[tuple[str, str], Inputs] = {}
@@ -374,30 +381,16 @@ def _nulls(i: Inputs) -> DataFrame:
 
 
 def _metrics_stream(i: Inputs) -> DataFrame:
-    """Windows of three micro-batches; the approximate counts as whether they are close to the exact ones."""
-    found = i.drained(live.hourly_metrics(i.raw_stream(f"{i.three_parts}/part=*")), "metrics")
-    hour = clock.truncated("hour", F.col("ingestion_time")).alias("window_start")
-    exact = i.raw.groupBy(hour).agg(
-        F.countDistinct("badge_id").alias("badges"), F.countDistinct("zone_id").alias("zones")
+    """Hours as three runs of the stream have left them, late rows included."""
+    return rollups.hourly_stats(*i.hourly).select(
+        F.col("ingestion_hour").alias("window_start"), (F.col("ingestion_hour") + F.expr("INTERVAL '1' HOUR")).alias("window_end"),
+        "event_count", "unique_badges", "unique_zones", F.round("avg_signal_strength", 2).alias("avg_signal_strength"),
+        "weak_signal_count", "entry_count", "exit_count", (F.col("entry_count") - F.col("exit_count")).alias("net_occupancy_change"),
     )
 
-    def close(approximate: str, count: str):
-        # three times the stated standard error of 5 %
-        return (F.abs(F.col(approximate) - F.col(count)) <= 1 + 0.15 * F.col(count)).alias(f"{approximate}_close")
-
-    kept = [c for c in found.columns if not c.startswith("approx_")]
-    return found.join(exact, "window_start").select(*kept, close("approx_badges", "badges"), close("approx_zones", "zones"))
-
 
 def _dedup_stream(i: Inputs) -> DataFrame:
-    """Three micro-batches; the older of two copies may come in a later one."""
-    layout = Layout(work_dir(i.spark, "first")).create(i.spark, AS_OF)
-    for part in range(3):
-        of_part = F.expr(f"(event_id div 20 + 2 * redelivery) % 3 = {part}")
-        rows = messages.shape_events(i.decoded.where(of_part)).select(*messages.RAW_COLUMNS)
-        rows.coalesce(1).write.mode("append").parquet(layout.path("arriving"))
-        live.first_arrivals(i.spark, i.raw_stream(layout.path("arriving")), layout).awaitTermination()
-    return layout.table(i.spark, "first_events").drop("event_date", "run", "batch_id")
+    return i.first_arrived.table(i.spark, "first_events").drop("event_date", "run", "batch_id")
 
 
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -483,6 +476,8 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "cdc_incremental": lambda i: i.followed.staging(i.spark).drop("load_date", "run"),
     "fact_load_incremental": _fact_load_incremental,
     "ingestion_metrics_stream": _metrics_stream,
+    "ingestion_metrics_rolled": lambda i: m.rolled_ingestion_metrics(*i.hourly, i.raw, AS_OF),
+    "raw_stats_rolled": lambda i: v.rolled_raw_stats(*i.hourly),
     "stream_dedup_first": _dedup_stream,
 }
 

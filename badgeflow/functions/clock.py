@@ -16,6 +16,7 @@ DAY_OF = {
     "fact_load_time": "load_date",
     "end_time": "log_date",
     "scheduled_time": "run_date",
+    "hour": "part_date",
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from badgeflow.constants import (
 )
 from badgeflow.functions.clock import AsOf, ago, instant, seconds_between, since, truncated
 from badgeflow.functions.signal import mean_of_decimal, percent
+from badgeflow.operators import rollups
 
 GIB = float(1024**3)
 
@@ -33,7 +36,27 @@ def hourly_stats(raw: DataFrame, hour: Column, ignore_sentinel: bool = False) ->
 def ingestion_metrics(raw: DataFrame, as_of: AsOf = None, ignore_sentinel: bool = False) -> DataFrame:
     """Hourly arrivals of the last 24 hours. The missing-signal value counts in the average."""
     recent = since(raw, "ingestion_time", ago(as_of, 24))
-    stats = hourly_stats(recent, truncated("hour", F.col("ingestion_time")), ignore_sentinel)
+    return _shown(hourly_stats(recent, truncated("hour", F.col("ingestion_time")), ignore_sentinel))
+
+
+def rolled_ingestion_metrics(
+    parts: DataFrame, bits: DataFrame, raw: DataFrame, as_of: datetime | str | None = None, ignore_sentinel: bool = False
+) -> DataFrame:
+    """The same from rollups. Only the part of the first hour that the 24 hours cut off is read from raw."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None) if as_of is None else datetime.fromisoformat(str(as_of))
+    cutoff = now - timedelta(hours=24)
+    hour = cutoff.replace(minute=0, second=0, microsecond=0)
+    whole = hour if hour == cutoff else hour + timedelta(hours=1)
+    stats = rollups.hourly_stats(since(parts, "hour", F.lit(whole)), since(bits, "hour", F.lit(whole)), ignore_sentinel)
+    if whole > cutoff:
+        cut = since(raw, "ingestion_time", F.lit(cutoff)).where(F.col("ingestion_time") < F.lit(whole))
+        if "ingestion_date" in raw.columns:
+            cut = cut.where(F.col("ingestion_date") <= F.to_date(F.lit(whole)))
+        stats = stats.unionByName(hourly_stats(cut, truncated("hour", F.col("ingestion_time")), ignore_sentinel))
+    return _shown(stats)
+
+
+def _shown(stats: DataFrame) -> DataFrame:
     count = F.col("event_count")
     return stats.select(
         "ingestion_hour",

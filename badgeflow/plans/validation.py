@@ -12,6 +12,7 @@ from badgeflow.constants import (
 )
 from badgeflow.functions.clock import AsOf, ago, seconds_between, since
 from badgeflow.functions.signal import mean_of_decimal, percent
+from badgeflow.operators import rollups
 from badgeflow.operators.users import current
 from badgeflow.plans.monitoring import duration, newest_runs
 
@@ -98,6 +99,17 @@ def raw_stats(raw: DataFrame) -> DataFrame:
     )
 
 
+def rolled_raw_stats(parts: DataFrame, bits: DataFrame) -> DataFrame:
+    """The same from rollups, without reading raw."""
+    return rollups.total_stats(parts, bits).select(
+        F.lit(RAW_TABLE).alias("table_name"),
+        F.col("event_count").alias("row_count"),
+        F.col("distinct_badge_id").alias("unique_badges"),
+        F.col("distinct_zone_id").alias("unique_zones"),
+        "earliest_event", "latest_event", "first_ingestion", "last_ingestion",
+    )
+
+
 def staging_stats(staging: DataFrame) -> DataFrame:
     return staging.agg(
         F.lit(STAGING_TABLE).alias("table_name"),

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
+    ArrayType, BinaryType, BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampNTZType,
 )
 
-TEXT, LONG, INT = StringType(), LongType(), IntegerType()
+TEXT, LONG, INT, BYTES = StringType(), LongType(), IntegerType(), BinaryType()
 FLAG, DAY, MOMENT, REAL = BooleanType(), DateType(), TimestampNTZType(), DoubleType()
 SIGNAL, DEGREES, DIGEST = DecimalType(5, 2), DecimalType(10, 6), DecimalType(38, 0)
 
@@ -161,3 +161,27 @@ STAGED_FILES = _table(file=TEXT, ingestion_date=DAY)
 FACT_FILES = _with(FACT, load_date=DAY)
 INGEST_LOG_FILES = _with(INGEST_LOG, log_date=DAY, run=TEXT, batch_id=LONG)
 RUN_LOG_FILES = _with(RUN_LOG, attempt=LONG, run_date=DAY, run=TEXT, batch_id=LONG)
+
+# Parts of hourly rollups, and the numbers of the values that their bitmaps count.
+HOURLY_PARTS_FILES = _table(
+    hour=MOMENT,
+    event_count=LONG,
+    weak_signal_count=LONG,
+    entry_count=LONG,
+    exit_count=LONG,
+    signal_sum=LONG,
+    signal_count=LONG,
+    known_signal_sum=LONG,
+    known_signal_count=LONG,
+    earliest_event=MOMENT,
+    latest_event=MOMENT,
+    first_ingestion=MOMENT,
+    last_ingestion=MOMENT,
+    part_date=DAY,
+    run=TEXT,
+    batch_id=LONG,
+)
+HOURLY_BITS_FILES = _table(
+    hour=MOMENT, column_name=TEXT, bucket=LONG, bits=BYTES, part_date=DAY, run=TEXT, batch_id=LONG
+)
+VALUE_NUMBERS = _table(column_name=TEXT, value=TEXT, number=LONG)

@@ -29,6 +29,8 @@ BATCHED = {
     "ingest_log": (schemas.INGEST_LOG_FILES, "log_date"),
     "run_log": (schemas.RUN_LOG_FILES, "run_date"),
     "first_events": (schemas.FIRST_EVENTS_FILES, "event_date"),
+    "hourly_parts": (schemas.HOURLY_PARTS_FILES, "part_date"),
+    "hourly_bits": (schemas.HOURLY_BITS_FILES, "part_date"),
 }
 #: The run that merged days belong to; runs of writers start with another letter.
 CLOSED = "closed"
@@ -89,6 +91,10 @@ class Layout:
         """The raw files that have been staged."""
         return self._read(spark, "staged_files", schemas.STAGED_FILES)
 
+    def value_numbers(self, spark: SparkSession) -> DataFrame:
+        """The numbers of values that rollups count."""
+        return self._read(spark, "value_numbers", schemas.VALUE_NUMBERS)
+
     def ingest_log(self, spark: SparkSession) -> DataFrame:
         return self.table(spark, "ingest_log")
 
@@ -119,6 +125,7 @@ class Layout:
         empty("fact", schemas.FACT_FILES, "event_date", "load_date")
         empty("staged_files", schemas.STAGED_FILES, "ingestion_date")
         empty("dim_readers", schemas.READERS)
+        empty("value_numbers", schemas.VALUE_NUMBERS)
         seed_zones(spark, as_of).coalesce(1).write.mode("ignore").parquet(self.path("dim_zones"))
         seed_users(spark, as_of).coalesce(1).write.mode("ignore").parquet(self._version(0))
         return self
@@ -161,12 +168,10 @@ class Layout:
 
     def append_users(self, users: DataFrame) -> None:
         """Add rows to the newest version; nothing is written when there are none."""
-        kept = users.persist()
-        try:
-            if kept.take(1):
-                kept.write.mode("append").parquet(self._users_version(users.sparkSession))
-        finally:
-            kept.unpersist()
+        _append_some(users, self._users_version(users.sparkSession))
+
+    def append_value_numbers(self, numbers: DataFrame) -> None:
+        _append_some(numbers, self.path("value_numbers"))
 
     def replace_users(self, users: DataFrame) -> None:
         """A new version of the dimension, which readers take from then on."""
@@ -255,6 +260,15 @@ class Layout:
         return held.join(self.staged_files(spark), ["ingestion_date", "file"], "left_anti")
 
 
+def _append_some(rows: DataFrame, path: str) -> None:
+    kept = rows.persist()
+    try:
+        if kept.take(1):
+            kept.write.mode("append").parquet(path)
+    finally:
+        kept.unpersist()
+
+
 def raw_files(raw: DataFrame) -> DataFrame:
     """Raw rows with the two columns only the files carry."""
     return raw.withColumns({

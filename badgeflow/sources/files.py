@@ -22,6 +22,13 @@ def remove(spark: SparkSession, pattern: str) -> None:
         files.delete(at, True)
 
 
+def make(spark: SparkSession, folder: str) -> None:
+    """A folder that exists before anything is written to it, on object stores too: it holds a hidden empty file."""
+    at, files = _at(spark, f"{folder}/_created")
+    if not files.exists(at.getParent()):
+        files.create(at).close()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     at, files = _at(spark, path)
     return files.exists(at)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,6 +32,8 @@ BATCHED = {
     "hourly_parts": (schemas.HOURLY_PARTS_FILES, "part_date"),
     "hourly_bits": (schemas.HOURLY_BITS_FILES, "part_date"),
 }
+#: Bloom filters of badges, no larger than the badges of a file need.
+BADGE_FILTER = {"parquet.bloom.filter.enabled#badge_id": "true", "parquet.bloom.filter.adaptive.enabled#badge_id": "true"}
 #: The run that merged days belong to; runs of writers start with another letter.
 CLOSED = "closed"
 BY_HAND = "by-hand"
@@ -116,16 +118,8 @@ class Layout:
     def create(self, spark: SparkSession, as_of: AsOf = None) -> Layout:
         """Empty tables and seeded dimensions; a table that exists is left alone."""
 
-        def empty(table: str, schema: StructType, *partitions: str) -> None:
-            rows = fill_columns(spark.range(0).select(), schema, {})
-            rows.write.mode("ignore").partitionBy(*partitions).parquet(self.path(table))
-
-        for name, (schema, day) in BATCHED.items():
-            empty(name, schema, day, "run", "batch_id")
-        empty("fact", schemas.FACT_FILES, "event_date", "load_date")
-        empty("staged_files", schemas.STAGED_FILES, "ingestion_date")
-        empty("dim_readers", schemas.READERS)
-        empty("value_numbers", schemas.VALUE_NUMBERS)
+        for name in (*BATCHED, "fact", "staged_files", "dim_readers", "value_numbers"):
+            files.make(spark, self.path(name))
         seed_zones(spark, as_of).coalesce(1).write.mode("ignore").parquet(self.path("dim_zones"))
         seed_users(spark, as_of).coalesce(1).write.mode("ignore").parquet(self._version(0))
         return self
@@ -134,25 +128,44 @@ class Layout:
         """Append rows to raw by hand, as a batch of their own."""
         self.write_batch(raw_files(raw), "raw", f"{BY_HAND}-{uuid.uuid4().hex}", 0)
 
-    def write_batch(self, rows: DataFrame, name: str, run: str, batch_id: int) -> None:
+    def write_batch(self, rows: DataFrame, name: str, run: str, batch_id: int, few_days: bool = False) -> None:
         """Write a batch, in place of what an earlier attempt of it may have written.
 
-        The rebalance brings a day's rows together, so that each folder gets few files, and lets
-        adaptive execution split a day that is too large for one task.
+        With ``few_days`` the rows come from a shuffle and belong to few days, so that each task may write its own
+        files; otherwise a day's rows are brought together first, see ``_clustered``.
         """
         day = BATCHED[name][1]
         self.drop_batch(rows.sparkSession, name, run, batch_id)
         named = rows.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("bigint")})
-        named.hint("rebalance", day).write.mode("append").partitionBy(day, "run", "batch_id").parquet(self.path(name))
+        self._clustered(named, [day, "run", "batch_id"], not few_days).mode("append").parquet(self.path(name))
+
+    @staticmethod
+    def _clustered(rows: DataFrame, folders: list[str], together: bool) -> DataFrameWriter:
+        """A writer into folders, of rows that are sorted by time and badge within each file of events.
+
+        Pages then hold a short span of time each, and Parquet's page index leaves out those that a filter on
+        the facts' ``event_hour`` excludes (Spark hands no filters on zone-less timestamps to Parquet). Rows brought together
+        by day make few files, and adaptive execution splits a day that is too large for one task; such files also carry
+        Bloom filters of their badges, so that the rows of one badge are read without the row groups that lack it. (Small
+        files of one batch have their dictionaries for that.)
+        """
+        of_events = {"event_timestamp", "badge_id"} <= set(rows.columns)
+        if together:
+            rows = rows.hint("rebalance", folders[0])
+        if of_events:  # the folders first: the writer asks for that order, and would sort again
+            rows = rows.sortWithinPartitions(*folders, "event_timestamp", "badge_id")
+        writer = rows.write.partitionBy(*folders)
+        if of_events and together:
+            for option, value in BADGE_FILTER.items():
+                writer = writer.option(option, value)
+        return writer
 
     def drop_batch(self, spark: SparkSession, name: str, run: str, batch_id: int) -> None:
         files.remove(spark, self._folders(name, run, batch_id))
 
-    def append_fact(self, fact: DataFrame) -> None:
+    def append_fact(self, fact: DataFrame, few_days: bool = False) -> None:
         rows = fact.withColumn("load_date", F.to_date("fact_load_time"))
-        rows.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date", "load_date").parquet(
-            self.path("fact")
-        )
+        self._clustered(rows, ["event_date", "load_date"], not few_days).mode("append").parquet(self.path("fact"))
 
     def append_staged_files(self, staged: DataFrame) -> None:
         staged.coalesce(1).write.mode("append").partitionBy("ingestion_date").parquet(self.path("staged_files"))
@@ -225,7 +238,7 @@ class Layout:
         spark, hidden = rows.sparkSession, self._hidden(name, folder)
         old = spark.createDataFrame([(f,) for f in rows.inputFiles()], "value string")  # the files of one day
         old.coalesce(1).write.mode("overwrite").text(f"{hidden}/old")
-        merged.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(f"{hidden}/rows")
+        self._clustered(merged, list(partitions), True).mode("overwrite").parquet(f"{hidden}/rows")
 
     def _swap(self, spark: SparkSession, name: str, folder: str) -> None:
         """Remove the listed files and move the merged ones to their place. Names never recur, so a

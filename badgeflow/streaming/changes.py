@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from badgeflow import schemas
 from badgeflow.constants import ENRICH_TASK, STAGE_TASK
 from badgeflow.functions.clock import AsOf
-from badgeflow.plans.pipeline import enrich_batch, stage_batch, write_ingest_log
+from badgeflow.plans.pipeline import Span, enrich_batch, stage_batch, write_ingest_log
 from badgeflow.session import configure
 from badgeflow.sources.tables import Layout
 from badgeflow.streaming.runs import run_of
@@ -27,14 +27,18 @@ def _wall_clock() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def log_run(
-    spark: SparkSession, layout: Layout, task: str, run: str, batch_id: int, started: datetime, ended: datetime,
-    error: Exception | None = None, credits: float = 0.0,
-) -> None:
-    """Append a row for an attempt of a task. Earlier attempts of the batch keep theirs."""
-    held = layout.batch(spark, "run_log", run, batch_id)
-    attempt = held.where(F.col("name") == task).count() + 1
-    row = (
+def earlier_attempts(spark: SparkSession, layout: Layout, run: str, batch_id: int) -> dict[str, int]:
+    """How often each task of a batch has been tried."""
+    held = layout.batch(spark, "run_log", run, batch_id).groupBy("name").agg(F.max("attempt").alias("attempts"))
+    return {r.name: r.attempts for r in held.collect()}  # two tasks
+
+
+def run_row(
+    task: str, attempt: int, run: str, batch_id: int, started: datetime, ended: datetime, error: Exception | None = None,
+    credits: float = 0.0,
+) -> tuple:
+    """A row of the run log for an attempt of a task."""
+    return (
         task,
         "FAILED" if error else "SUCCEEDED",
         type(error).__name__ if error else None,
@@ -48,7 +52,11 @@ def log_run(
         run,
         batch_id,
     )
-    rows = spark.createDataFrame([row], schemas.RUN_LOG_FILES).coalesce(1)
+
+
+def log_runs(spark: SparkSession, layout: Layout, attempts: list[tuple]) -> None:
+    """Append rows to the run log. Earlier attempts of the batch keep theirs."""
+    rows = spark.createDataFrame(attempts, schemas.RUN_LOG_FILES).coalesce(1)
     rows.write.mode("append").partitionBy("run_date", "run", "batch_id").parquet(layout.path("run_log"))
 
 
@@ -61,32 +69,40 @@ def batch_handler(
     credits_per_run: float = 0.0,
     clock: Clock = _wall_clock,
 ) -> Callable[[DataFrame, int], None]:
-    """What is done with a micro-batch of raw rows: two tasks, each logged.
+    """What is done with a micro-batch of raw rows: two tasks, logged together when they are done or one has failed.
 
-    A replay of a batch repeats its effect.
+    A replay of a batch repeats its effect. Only the first batch of a handler can have been tried before.
     """
+    seen: set[int] = set()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # a stream's own session has adaptive execution off; the loads need it
         spark = configure(batch.sparkSession)
         run = run_of(spark, layout.checkpoint("changes"))
+        earlier = {} if seen and batch_id not in seen else earlier_attempts(spark, layout, run, batch_id)
+        seen.add(batch_id)
+        attempts: list[tuple] = []
 
         def logged(task: str, work: Callable[[], T]) -> T:
-            started = clock()
+            started, failure = clock(), None
             try:
-                result = work()
+                return work()
             except Exception as error:
-                log_run(spark, layout, task, run, batch_id, started, clock(), error, credits_per_run)
+                failure = error
                 raise
-            log_run(spark, layout, task, run, batch_id, started, clock(), None, credits_per_run)
-            return result
+            finally:
+                attempts.append(run_row(task, earlier.get(task, 0) + 1, run, batch_id, started, clock(), failure, credits_per_run))
 
         def stage() -> DataFrame:
             write_ingest_log(layout, batch, batch_id, credits_per_row, run)
-            return stage_batch(spark, layout, batch, batch_id, as_of if staging_time is None else staging_time, run)
-
-        staged = logged(STAGE_TASK, stage)
-        logged(ENRICH_TASK, lambda: enrich_batch(spark, layout, staged, as_of, fact_load_time))
+            return stage_batch(spark, layout, batch, batch_id, as_of if staging_time is None else staging_time, run, span)
+
+        span = Span()
+        try:
+            staged = logged(STAGE_TASK, stage)
+            logged(ENRICH_TASK, lambda: enrich_batch(spark, layout, staged, as_of, fact_load_time, span, few_days=True))
+        finally:
+            log_runs(spark, layout, attempts)
 
     return handle
 

@@ -268,7 +268,7 @@ def test_a_batch_lists_its_own_folders_only(spark, layout):
 
 def test_changed_users_are_stored_and_taken_by_later_loads(spark, layout):
     pipeline.process_batch(spark, layout, raw(spark, raw_row()), 0, AS_OF, STAGED, STAGED)
-    change = spark.createDataFrame([("USR-001", at("2024-01-11T00:00:00"), "Sales")], "user_id string, changed_at timestamp_ntz, department string")
+    change = spark.createDataFrame([("USR-001", at("2024-02-01T00:00:00"), "Sales")], "user_id string, changed_at timestamp_ntz, department string")
     pipeline.change_users(spark, layout, change, ["department"], AS_OF)
     pipeline.process_batch(spark, layout, raw(spark, raw_row(badge="B2")), 1, AS_OF, STAGED, STAGED)
     assert sorted((r.badge_id, r.user_key) for r in layout.fact(spark).collect()) == [("B1", 1), ("B2", 6)]

@@ -10,7 +10,8 @@ A source's budget is realised in whole passes over its documents and one part of
 hashed into about sqrt(n) blocks, and each pass is a permutation of blocks, and of documents in a block. The part of a
 pass takes blocks in order as long as they fit, and of the next block documents in order. A table of the
 blocks says all that, so documents are only joined to it, and no window holds more than about sqrt(n) rows
-of a hot source. All steps are DataFrame functions.
+of a hot source. ``mix_order`` gives each copy its pass and position; ``mixed`` only repeats the rows. All steps are
+DataFrame functions.
 
 Defined cases: a null source is the source ''; null and empty texts have no tokens. Sources without tokens
 have weight 0 and each of their documents stays once. Rows equal in doc_id, source and tokens are taken
@@ -192,3 +193,24 @@ def mixed(docs: DataFrame, target: Target = Target()) -> DataFrame:
     return with_copies(keyed, rows, target).where("copies > 0").select(
         "row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")
     ).select("row.*")
+
+
+def mix_order(docs: DataFrame, target: Target = Target()) -> DataFrame:
+    """doc_id, source, n_tokens, pass (from 0) and position (from 1, in the pass over the source) of each copy in the mix.
+
+    Each pass has its own permutation of blocks, and of documents in a block. A position is the size of the blocks before
+    plus the place in the block, so no window holds a whole source. Sort by these columns to realise the mix.
+    """
+    rows = written(measured(docs), "mix-documents")
+    copies = with_copies(rows, rows, target).where("copies > 0").select(
+        "doc_id", "source", "n_tokens", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("pass")
+    )
+    of_pass = ["source", "pass"]
+    blocks = copies.groupBy(*of_pass, "block").agg(F.count("*").alias("size")).withColumn("order", block_order(target, F.col("pass")))
+    before = F.sum("size").over(Window.partitionBy(*of_pass).orderBy("order", "block")) - F.col("size")
+    blocks = written(blocks.select(*of_pass, "block", before.alias("before")), "mix-pass-blocks")
+    place = [_order(target.seed, F.col("pass"), _id(F.col("doc_id"))), _id(F.col("doc_id")), F.col("n_tokens")]
+    in_block = F.row_number().over(Window.partitionBy(*of_pass, "block").orderBy(*place))
+    return copies.withColumn("place", in_block).join(blocks, [*of_pass, "block"]).select(
+        "doc_id", "source", "n_tokens", "pass", (F.col("before") + F.col("place")).alias("position")
+    )

@@ -86,6 +86,27 @@ def test_mixed_rows_keep_their_columns(documents):
     assert found.count((908, "twin", None)) >= 2
 
 
+@pytest.mark.parametrize("target", [Target(max_repeats=2.5), Target(budget=9000), Target(entropy=0.9)])
+def test_each_pass_is_a_permutation_of_blocks(documents, target):
+    docs = documents(corpus())
+    plan_of = {r.doc_id: r for r in mixing.mix_plan(docs, target).collect()}
+    copies, passes = {}, {}
+    for r in mixing.mix_order(docs, target).collect():
+        copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+        passes.setdefault((r.source, r["pass"]), []).append((r.position, r.doc_id))
+    assert copies == {d: r.copies for d, r in plan_of.items() if r.copies}
+    orders = {}
+    for (source, n), found in passes.items():
+        found.sort()
+        assert [p for p, _ in found] == list(range(1, len(found) + 1))
+        orders.setdefault(source, []).append([d for _, d in found])
+        blocks = [plan_of[d].block for _, d in found]
+        assert sum(a != b for a, b in zip(blocks, blocks[1:])) == len(set(blocks)) - 1  # each block in one piece
+        whole = {d for d, r in plan_of.items() if r.source == source and r.passes > n}
+        assert not whole or whole == {d for _, d in found}
+    assert any(len(o) > 1 and o[0][: len(o[1])] != o[1] for o in orders.values()) or all(len(o) == 1 for o in orders.values())
+
+
 def test_empty_tables_and_texts(documents):
     assert plan(documents([]), Target()) == []
     assert [r["copies"] for r in plan(documents([(1, None), (2, "", "b")]), Target())] == [1, 1]

@@ -272,7 +272,7 @@ def test_changed_users_are_stored_and_taken_by_later_loads(spark, layout):
     pipeline.change_users(spark, layout, change, ["department"], AS_OF)
     pipeline.process_batch(spark, layout, raw(spark, raw_row(badge="B2")), 1, AS_OF, STAGED, STAGED)
     assert sorted((r.badge_id, r.user_key) for r in layout.fact(spark).collect()) == [("B1", 1), ("B2", 6)]
-    assert layout.users(spark).where("user_key = 6").first().effective_start_date == at("2024-01-11T00:00:00")
+    assert layout.users(spark).where("user_key = 6").first().effective_start_date == at("2024-02-01T00:00:00")
 
 
 def test_catch_up_loads_zones_added_later(spark, layout):

@@ -24,7 +24,7 @@ from badgeflow import schemas
 from badgeflow.operators import facts, feed, rollups, staging, users
 from badgeflow.plans import monitoring as m
 from badgeflow.plans import quality, validation as v
-from badgeflow.plans.pipeline import change_users, load_facts, process_batch
+from badgeflow.plans.pipeline import catch_up, change_users, load_facts, process_batch, sweep
 from badgeflow.session import configure, work_dir
 from badgeflow.sources import files, fixture, messages, sample, seeds
 from badgeflow.sources.tables import Layout, with_file
@@ -40,6 +40,8 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 AS_OF = fixture.AS_OF
 #: From when on the users are valid whose changes are applied.
 USERS_SINCE = "2024-01-10 00:00:00"
+#: Up to which day the swept layout is swept.
+SWEPT_BEFORE = "2024-01-20"
 #: A day whose files are merged there.
 CLOSED_DAY = "2024-01-15"
 DATABASE = fixture.DATABASE
@@ -192,6 +194,22 @@ class Inputs:
         layout.close_day(self.spark, "staging", CLOSED_DAY)
         return layout
 
+    @cached_property
+    def swept(self) -> Layout:
+        """Followed, and swept up to a day at which staged rows of an unknown zone still wait for it."""
+        layout = Layout(work_dir(self.spark, "swept")).create(self.spark, AS_OF)
+        layout.append_raw(messages.shape_events(self.decoded))
+        handle = changes.batch_handler(layout, AS_OF, _staging_time(), _load_time())
+        changes.follow_raw(self.spark, layout, handle=handle).awaitTermination()
+        known = seeds.seed_zones(self.spark, AS_OF).limit(1).withColumns({
+            "zone_key": F.lit(6).cast("bigint"), "zone_id": F.lit("ZONE-UNMAPPED"),
+        })
+        sweep(self.spark, layout, {"raw": SWEPT_BEFORE, "staging": SWEPT_BEFORE})  # unmapped rows hold back the staging
+        known.write.mode("append").parquet(layout.path("dim_zones"))
+        catch_up(self.spark, layout, _load_time())
+        sweep(self.spark, layout, {"staging": SWEPT_BEFORE})
+        return layout
+
     # --- streams -----------------------------------------------------------------------
     @cached_property
     def ingested(self) -> Layout:
@@ -309,6 +327,18 @@ def _fact_user_ids(i: Inputs) -> DataFrame:
     return i.backfilled.fact(i.spark).join(users, "user_key").select("badge_id", "event_timestamp", "user_id", "user_key")
 
 
+def _swept_layers(i: Inputs) -> DataFrame:
+    """Rows by day that are left of raw and staging, and the facts, which lack none of the swept rows."""
+    def counted(layer: str, rows: DataFrame, day: str) -> DataFrame:
+        return rows.groupBy(F.lit(layer).alias("layer"), F.col(day).alias("day")).agg(F.count("*").alias("row_count"))
+
+    layout = i.swept
+    return (
+        counted("RAW", layout.raw(i.spark), "ingestion_date").unionByName(counted("STAGING", layout.staging(i.spark), "load_date"))
+        .unionByName(counted("FACT", layout.fact(i.spark), "event_date"))
+    )
+
+
 def _rejects(i: Inputs) -> DataFrame:
     decoded = messages.decode_messages(fixture.messages(i.events), F.col("timestamp"))
     return messages.rejected_events(decoded).withColumn(
@@ -400,6 +430,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "sample_events": _sample_events,
     "events_to_json": _events_to_json,
     "fact_date_slice": _fact_date_slice,
+    "swept_layers": _swept_layers,
     "staging_retention": lambda i: staging.retained(i.loaded.staging(i.spark), AS_OF).drop(*FOLDERS),
     # parsing
     "ingest_parse": lambda i: messages.parse_messages(fixture.messages(i.events), F.col("timestamp")),

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from badgeflow.constants import RAW_TABLE
 from badgeflow.functions.clock import AsOf, truncated
 from badgeflow.operators.facts import enrich
-from badgeflow.operators.staging import stage
+from badgeflow.operators.staging import stage, without_known
 from badgeflow.operators.users import apply_user_changes, numbered_users, unknown_ids
-from badgeflow.sources.tables import BY_HAND, Layout
+from badgeflow.sources.tables import BATCHED, BY_HAND, Layout, with_file
 
 Ends = tuple[datetime | None, datetime | None]
 EPOCH = datetime(1970, 1, 1)
@@ -151,6 +151,41 @@ def catch_up(spark: SparkSession, layout: Layout, load_time: AsOf = None) -> str
     return "COMPLETED"
 
 
+# --- retention ------------------------------------------------------------------------------
+
+
+def low_water_mark(spark: SparkSession, layout: Layout, table: str, before: str) -> str:
+    """The day before which a table of raw or staged rows may be swept: ``before``, or the first day that holds a row
+    which some consumer still needs.
+
+    Raw rows are needed until their files are staged, staged rows until they have a fact. Only days before
+    ``before`` are looked at.
+    """
+    day = BATCHED[table][1]
+    if table == "raw":
+        old = with_file(layout.raw(spark)).where(F.col(day) < F.lit(before).cast("date"))
+        needed = layout.unstaged(spark, old)
+    elif table == "staging":
+        old = layout.staging(spark).where(F.col(day) < F.lit(before).cast("date"))
+        needed = without_known(old, old, layout.fact(spark))
+    else:
+        return before
+    first = needed.agg(F.min(day).cast("string")).first()[0]
+    return min(before, first or before)
+
+
+def sweep(spark: SparkSession, layout: Layout, before: dict[str, str]) -> dict[str, str]:
+    """Remove days of tables that nothing needs any more; ``before`` names a day for each table.
+
+    Returns the marks. Safe to run beside the stream: batches write to days from their own clock on, and what they have
+    not loaded holds the mark.
+    """
+    marks = {table: low_water_mark(spark, layout, table, day) for table, day in before.items()}
+    for table, mark in marks.items():
+        layout.expire(spark, table, mark)
+    return marks
+
+
 def change_users(
     spark: SparkSession, layout: Layout, changes: DataFrame, attributes: list[str], as_of: AsOf = None
 ) -> None:

@@ -258,7 +258,8 @@ class Layout:
         self.replace_users(self.users(spark).hint("rebalance"))
 
     def expire(self, spark: SparkSession, name: str, before: str) -> None:
-        """Remove the days of a table before a day (``2024-01-31``)."""
+        """Remove the days of a table before a day (``2024-01-31``), whether or not a consumer still needs their rows; see
+        ``pipeline.sweep``."""
         column = BATCHED[name][1]
         for path in files.matching(spark, f"{self.path(name)}/{column}=*"):
             if path.split(f"{column}=")[1] < before:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from badgeflow import schemas
 from badgeflow.constants import ENRICH_TASK, STAGE_TASK
 from badgeflow.functions.clock import AsOf
-from badgeflow.plans.pipeline import Span, enrich_batch, stage_batch, write_ingest_log
+from badgeflow.plans.pipeline import Span, enrich_batch, stage_batch, sweep, write_ingest_log
 from badgeflow.session import configure
 from badgeflow.sources.tables import Layout
 from badgeflow.streaming.runs import run_of
@@ -68,11 +68,14 @@ def batch_handler(
     credits_per_row: float = 0.0,
     credits_per_run: float = 0.0,
     clock: Clock = _wall_clock,
+    keep_days: dict[str, int] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """What is done with a micro-batch of raw rows: two tasks, logged together when they are done or one has failed.
 
-    A replay of a batch repeats its effect. Only the first batch of a handler can have been tried before.
+    A replay of a batch repeats its effect. Only the first batch of a handler can have been tried before. Once a day of
+    the clock, days of ``keep_days`` (a table and its number of days) are swept that no consumer needs any more.
     """
+    swept: set[date] = set()
     seen: set[int] = set()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -103,6 +106,11 @@ def batch_handler(
             logged(ENRICH_TASK, lambda: enrich_batch(spark, layout, staged, as_of, fact_load_time, span, few_days=True))
         finally:
             log_runs(spark, layout, attempts)
+        if keep_days:
+            today = clock().date()
+            if today not in swept:
+                sweep(spark, layout, {table: str(today - timedelta(days=days)) for table, days in keep_days.items()})
+                swept.add(today)
 
     return handle
 

@@ -256,6 +256,13 @@ _STATEMENTS = {
       FROM (SELECT event_id, event_id::VARCHAR AS n, (SELECT count(*) FROM events) AS total FROM events)""",
     "events_to_json": "SELECT value FROM messages",
     "fact_date_slice": f"{_FACT} fact WHERE event_day BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'",
+    "swept_layers": """
+      SELECT 'RAW' AS layer, ingestion_time::DATE::VARCHAR AS day, count(*) AS row_count
+      FROM raw WHERE ingestion_time >= DATE '2024-01-20' GROUP BY ALL
+      UNION ALL
+      SELECT 'STAGING', staging_time::DATE::VARCHAR, count(*) FROM staging WHERE staging_time >= DATE '2024-01-20' GROUP BY ALL
+      UNION ALL
+      SELECT 'FACT', event_timestamp::DATE::VARCHAR, count(*) FROM staging GROUP BY ALL""",
     "staging_retention": f"SELECT * FROM staging WHERE staging_time >= {AS_OF} - INTERVAL 24 HOUR",
     "ingest_rejects": """
       SELECT badge_id, user_id, zone_id, reader_id, event_timestamp, signal_strength::VARCHAR AS signal_strength,

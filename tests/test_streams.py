@@ -286,6 +286,43 @@ def test_catch_up_loads_zones_added_later(spark, layout):
     assert sorted(r.zone_key for r in layout.fact(spark).collect()) == [1, 6]
 
 
+def days(df, column):
+    return sorted(str(r[0]) for r in df.select(column).distinct().collect())
+
+
+def test_sweep_keeps_what_is_still_needed(spark, layout):
+    arrivals = ["2024-01-10", "2024-01-11", "2024-01-12", "2024-01-13"]
+    lines = [raw_row(badge=f"B{d}", when=f"{d}T10:00:00", zone="ZONE-NEW" if d.endswith("11") else "ZONE-LOBBY-1") for d in arrivals]
+    handle = changes.batch_handler(layout, AS_OF, F.col("ingestion_time"), F.col("ingestion_time"))
+    layout.append_raw(raw(spark, *lines[:3]))
+    follow(spark, layout, handle)
+    layout.append_raw(raw(spark, lines[3], raw_row(badge="LATE", when="2024-01-10T11:00:00", arrived="2024-01-11T11:00:00")))
+    # not staged yet: raw is held at the 11th; the row without a zone holds the staging there
+    marks = pipeline.sweep(spark, layout, {"raw": "2024-01-13", "staging": "2024-01-13", "rejects": "2024-01-13"})
+    assert marks == {"raw": "2024-01-11", "staging": "2024-01-11", "rejects": "2024-01-13"}
+    assert days(layout.raw(spark), "ingestion_date") == arrivals[1:] and days(layout.staging(spark), "load_date") == arrivals[1:3]
+    follow(spark, layout, handle)
+    assert pipeline.sweep(spark, layout, {"raw": "2024-01-13"}) == {"raw": "2024-01-13"}
+    assert days(layout.raw(spark), "ingestion_date") == arrivals[3:]
+    added = seed_zones(spark, AS_OF).limit(1).withColumns({"zone_key": F.lit(6).cast("bigint"), "zone_id": F.lit("ZONE-NEW")})
+    added.write.mode("append").parquet(layout.path("dim_zones"))
+    pipeline.catch_up(spark, layout, STAGED)
+    assert layout.fact(spark).count() == 5
+    assert pipeline.sweep(spark, layout, {"staging": "2024-01-13"}) == {"staging": "2024-01-13"}
+    assert days(layout.staging(spark), "load_date") == arrivals[3:]
+
+
+def test_the_stream_sweeps_once_a_day(spark, layout):
+    moments = iter(["2024-01-12T00:00:00"] * 5 + ["2024-01-14T00:00:00"] * 50)
+    handle = changes.batch_handler(
+        layout, AS_OF, F.col("ingestion_time"), F.col("ingestion_time"), clock=lambda: at(next(moments)), keep_days={"staging": 1})
+    for day in ("10", "12", "13"):
+        layout.append_raw(raw(spark, raw_row(badge=f"B{day}", when=f"2024-01-{day}T10:00:00")))
+        follow(spark, layout, handle)
+    assert days(layout.staging(spark), "load_date") == ["2024-01-13"]
+    assert layout.fact(spark).count() == 3
+
+
 def drained(spark, stream, folder):
     query = (stream.writeStream.format("parquet").option("path", f"{folder}/out")
              .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())

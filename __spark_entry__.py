@@ -194,6 +194,22 @@ class Inputs:
         layout.close_day(self.spark, "staging", CLOSED_DAY)
         return layout
 
+    @cached_property
+    def chained(self) -> Layout:
+        """Both deliveries staged by one stream; facts by a second one, whose first attempt fails."""
+        layout = Layout(work_dir(self.spark, "chained")).create(self.spark, AS_OF)
+        stage = changes.batch_handler(layout, AS_OF, _staging_time(), enrich=False)
+        for delivery in range(2):
+            self._deliver(layout, delivery)
+            changes.follow_raw(self.spark, layout, handle=stage).awaitTermination()
+        for load_time in (F.col("no_such_column"), _load_time()):
+            try:
+                changes.follow_staged(self.spark, layout, handle=changes.enrich_handler(layout, AS_OF, load_time)).awaitTermination()
+            except StreamingQueryException:
+                if layout.fact(self.spark).take(1):
+                    raise
+        return layout
+
     @cached_property
     def swept(self) -> Layout:
         """Followed, and swept up to a day at which staged rows of an unknown zone still wait for it."""
@@ -506,6 +522,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     # streams
     "cdc_incremental": lambda i: i.followed.staging(i.spark).drop("load_date", "run"),
     "fact_load_incremental": _fact_load_incremental,
+    "fact_load_chained": lambda i: i.chained.fact(i.spark).drop("load_date"),
     "ingestion_metrics_stream": _metrics_stream,
     "ingestion_metrics_rolled": lambda i: m.rolled_ingestion_metrics(*i.hourly, i.raw, AS_OF),
     "raw_stats_rolled": lambda i: v.rolled_raw_stats(*i.hourly),

@@ -47,11 +47,11 @@ def rolled_ingestion_metrics(
     cutoff = now - timedelta(hours=24)
     hour = cutoff.replace(minute=0, second=0, microsecond=0)
     whole = hour if hour == cutoff else hour + timedelta(hours=1)
-    stats = rollups.hourly_stats(since(parts, "hour", F.lit(whole)), since(bits, "hour", F.lit(whole)), ignore_sentinel)
+    stats = rollups.hourly_stats(since(parts, "hour", instant(whole)), since(bits, "hour", instant(whole)), ignore_sentinel)
     if whole > cutoff:
-        cut = since(raw, "ingestion_time", F.lit(cutoff)).where(F.col("ingestion_time") < F.lit(whole))
+        cut = since(raw, "ingestion_time", instant(cutoff)).where(F.col("ingestion_time") < instant(whole))
         if "ingestion_date" in raw.columns:
-            cut = cut.where(F.col("ingestion_date") <= F.to_date(F.lit(whole)))
+            cut = cut.where(F.col("ingestion_date") <= F.to_date(instant(whole)))
         stats = stats.unionByName(hourly_stats(cut, truncated("hour", F.col("ingestion_time")), ignore_sentinel))
     return _shown(stats)
 

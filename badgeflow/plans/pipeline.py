@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from badgeflow.constants import RAW_TABLE
-from badgeflow.functions.clock import AsOf, truncated
+from badgeflow.functions.clock import AsOf, instant, truncated
 from badgeflow.operators.facts import enrich
 from badgeflow.operators.staging import stage, without_known
 from badgeflow.operators.users import apply_user_changes, numbered_users, unknown_ids
@@ -81,7 +81,7 @@ def facts_between(fact: DataFrame, first: datetime | None, last: datetime | None
         return fact.where("false")
     between = fact.where(
         F.col("event_date").between(F.lit(first.date()), F.lit(last.date()))
-        & F.col("event_timestamp").between(F.lit(first), F.lit(last))
+        & F.col("event_timestamp").between(instant(first), instant(last))
     )
     return between.where(F.col("event_hour").between(first.hour, last.hour)) if first.date() == last.date() else between
 

@@ -158,6 +158,7 @@ REJECTS_FILES = _with(REJECTS, ingestion_date=DAY, run=TEXT, batch_id=LONG)
 STAGING_FILES = _with(STAGING, load_date=DAY, run=TEXT, batch_id=LONG)
 FIRST_EVENTS_FILES = _with(_EVENT, event_date=DAY, run=TEXT, batch_id=LONG)
 STAGED_FILES = _table(file=TEXT, ingestion_date=DAY)
+STAGED_BATCHES = _table(run=TEXT, batch_id=LONG, staged_at=MOMENT)
 FACT_FILES = _with(FACT, load_date=DAY)
 INGEST_LOG_FILES = _with(INGEST_LOG, log_date=DAY, run=TEXT, batch_id=LONG)
 RUN_LOG_FILES = _with(RUN_LOG, attempt=LONG, run_date=DAY, run=TEXT, batch_id=LONG)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +69,13 @@ class Layout:
         open_days = f"{self.path('raw')}/ingestion_date=*/run=[^{CLOSED[0]}]*"
         return with_file(reader.parquet(open_days))
 
+    def staged_batch_stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
+        """Marker rows of staged batches."""
+        reader = spark.readStream.schema(schemas.STAGED_BATCHES)
+        if max_files is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.parquet(self.path("staged_batches"))
+
     def staging(self, spark: SparkSession) -> DataFrame:
         return self.table(spark, "staging")
 
@@ -118,7 +126,7 @@ class Layout:
     def create(self, spark: SparkSession, as_of: AsOf = None) -> Layout:
         """Empty tables and seeded dimensions; a table that exists is left alone."""
 
-        for name in (*BATCHED, "fact", "staged_files", "dim_readers", "value_numbers"):
+        for name in (*BATCHED, "fact", "staged_files", "staged_batches", "dim_readers", "value_numbers"):
             files.make(spark, self.path(name))
         seed_zones(spark, as_of).coalesce(1).write.mode("ignore").parquet(self.path("dim_zones"))
         seed_users(spark, as_of).coalesce(1).write.mode("ignore").parquet(self._version(0))
@@ -170,6 +178,10 @@ class Layout:
     def append_staged_files(self, staged: DataFrame) -> None:
         staged.coalesce(1).write.mode("append").partitionBy("ingestion_date").parquet(self.path("staged_files"))
 
+    def append_staged_batch(self, spark: SparkSession, run: str, batch_id: int, staged_at: datetime) -> None:
+        marker = spark.createDataFrame([(run, batch_id, staged_at)], schemas.STAGED_BATCHES)
+        marker.coalesce(1).write.mode("append").parquet(self.path("staged_batches"))
+
     # --- versions of the user dimension ----------------------------------------------
     def _version(self, number: int) -> str:
         return f"{self.path('dim_users')}/version={number}"

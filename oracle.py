@@ -558,7 +558,8 @@ changed_users AS (
 ])
 
 
-# The same results from rollups.
+# The same results from a second stream, and from rollups.
+_STATEMENTS["fact_load_chained"] = _STATEMENTS["fact_load_incremental"]
 _STATEMENTS |= {f"{name}_rolled": _STATEMENTS[name] for name in ("ingestion_metrics", "raw_stats")}
 
 

@@ -286,6 +286,38 @@ def test_catch_up_loads_zones_added_later(spark, layout):
     assert sorted(r.zone_key for r in layout.fact(spark).collect()) == [1, 6]
 
 
+def test_enrichment_as_a_stream_of_its_own(spark, layout, tmp_path):
+    """Staging goes on while the second task fails; a batch staged twice makes facts once."""
+    from badgeflow.sources.tables import Layout
+
+    deliveries = [raw(spark, *map(event, range(0, 12))), raw(spark, *[event(n, direction="EXIT") for n in range(6, 20)])]
+    single = Layout(str(tmp_path / "single")).create(spark, AS_OF)
+    stage_only = changes.batch_handler(layout, AS_OF, STAGED, enrich=False)
+    for delivery in deliveries:
+        single.append_raw(delivery)
+        follow(spark, single)
+        layout.append_raw(delivery)
+        follow(spark, layout, stage_only)
+    assert layout.fact(spark).count() == 0 and layout.staging(spark).count() == single.staging(spark).count()
+
+    def enrich(handle):
+        changes.follow_staged(spark, layout, handle=handle).awaitTermination()
+
+    broken = changes.enrich_handler(layout, AS_OF, F.col("no_such_column"))
+    with pytest.raises(Exception, match="no_such_column"):
+        enrich(broken)
+    first = layout.table(spark, "staging").select("run", "batch_id").distinct().orderBy("batch_id").first()
+    layout.append_staged_batch(spark, first.run, first.batch_id, at("2024-03-01T00:00:00"))  # as after a crash of the first task
+    enrich(changes.enrich_handler(layout, AS_OF, STAGED))
+    loaded, want = (t.fact(spark).select("badge_id", "event_timestamp", "direction", "user_key", "zone_key") for t in (layout, single))
+    assert loaded.exceptAll(want).count() == want.exceptAll(loaded).count() == 0 and loaded.count() == 20
+    runs = layout.run_log(spark).where("name = 'badge_enrich_task' AND batch_id = 0").orderBy("attempt").collect()
+    assert [(r.state, r.attempt) for r in runs] == [("FAILED", 1), ("SUCCEEDED", 2)]
+    calls = []
+    enrich(lambda markers, batch_id: calls.append(batch_id))
+    assert calls == []
+
+
 def days(df, column):
     return sorted(str(r[0]) for r in df.select(column).distinct().collect())
 

@@ -148,14 +148,14 @@ class Layout:
         self._clustered(named, [day, "run", "batch_id"], not few_days).mode("append").parquet(self.path(name))
 
     @staticmethod
-    def _clustered(rows: DataFrame, folders: list[str], together: bool) -> DataFrameWriter:
+    def _clustered(rows: DataFrame, folders: list[str], together: bool, whole_days: bool = False) -> DataFrameWriter:
         """A writer into folders, of rows that are sorted by time and badge within each file of events.
 
         Pages then hold a short span of time each, and Parquet's page index leaves out those that a filter on
         the facts' ``event_hour`` excludes (Spark hands no filters on zone-less timestamps to Parquet). Rows brought together
-        by day make few files, and adaptive execution splits a day that is too large for one task; such files also carry
-        Bloom filters of their badges, so that the rows of one badge are read without the row groups that lack it. (Small
-        files of one batch have their dictionaries for that.)
+        by day make few files, and adaptive execution splits a day that is too large for one task. Files of whole, merged
+        days also carry Bloom filters of their badges, so that the rows of one badge are read without the row groups that
+        lack it. (Small files of one batch have their dictionaries for that, and a filter would outweigh them.)
         """
         of_events = {"event_timestamp", "badge_id"} <= set(rows.columns)
         if together:
@@ -163,7 +163,7 @@ class Layout:
         if of_events:  # the folders first: the writer asks for that order, and would sort again
             rows = rows.sortWithinPartitions(*folders, "event_timestamp", "badge_id")
         writer = rows.write.partitionBy(*folders)
-        if of_events and together:
+        if of_events and whole_days:
             for option, value in BADGE_FILTER.items():
                 writer = writer.option(option, value)
         return writer
@@ -250,7 +250,7 @@ class Layout:
         spark, hidden = rows.sparkSession, self._hidden(name, folder)
         old = spark.createDataFrame([(f,) for f in rows.inputFiles()], "value string")  # the files of one day
         old.coalesce(1).write.mode("overwrite").text(f"{hidden}/old")
-        self._clustered(merged, list(partitions), True).mode("overwrite").parquet(f"{hidden}/rows")
+        self._clustered(merged, list(partitions), True, whole_days=True).mode("overwrite").parquet(f"{hidden}/rows")
 
     def _swap(self, spark: SparkSession, name: str, folder: str) -> None:
         """Remove the listed files and move the merged ones to their place. Names never recur, so a

@@ -56,7 +56,7 @@ def test_a_small_load_does_not_shuffle_the_fact(spark, layout):
     scan = next(n for n, line in enumerate(lines) if "FileScan" in line and "[isnotnull(event_date#" in line)
     joins = [n for n, line in enumerate(lines[:scan]) if "BroadcastHashJoin [event_timestamp" in line and "LeftSemi" in line]
     assert joins, text
-    assert not any("Exchange" in line for line in lines[joins[-1] : scan])
+    assert not any("Exchange" in line for line in lines[joins[-1] : scan]), "\n".join(lines[joins[-1] : scan + 1])
 
 
 def test_users_are_not_hinted_as_broadcast(spark):

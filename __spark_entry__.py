@@ -51,6 +51,12 @@ SLICE = ("2024-01-10", "2024-01-16")
 FOLDERS = ("load_date", "run", "batch_id")
 #: Arrival times that part the rows of the streams into three files.
 PARTS = ("2024-01-11", "2024-01-21")
+#: Fields that are read from variant messages.
+VARIANT_FIELDS = {
+    "event_id": ("$.event_id", "bigint"), "exact_signal": ("$.signal_strength", "double"),
+    "firmware": ("$.reader.firmware", "string"), "second_hop": ("$.reader.hops[1]", "int"),
+    "zone_as_number": ("$.zone_id", "int"), "serial": ("$.reader.serial", "string"),
+}
 #: Start of the clock of the followed runs, and their stated costs.
 RUNS_BEGIN = datetime(2024, 1, 30, 23, 30)
 CREDITS_PER_ROW = 1e-6
@@ -226,6 +232,19 @@ class Inputs:
         sweep(self.spark, layout, {"staging": SWEPT_BEFORE})
         return layout
 
+    @cached_property
+    def variants(self) -> Layout:
+        """Raw messages as variants. Every third one has a nested object that no column was declared for."""
+        n = F.col("event_id")
+        reader = F.concat(
+            F.lit(',"reader":{"firmware":"v'), n % 4, F.lit('","hops":['), n % 5, F.lit(","), n % 7, F.lit("]}}")
+        )
+        text = F.col("raw_json")
+        grown = F.when(n % 3 == 0, F.concat(F.substring(text, F.lit(1), F.length(text) - 1), reader)).otherwise(text)
+        layout = Layout(work_dir(self.spark, "variants"), variant=True).create(self.spark, AS_OF)
+        layout.append_raw(messages.shape_events(self.decoded.withColumn("raw_json", grown)))
+        return layout
+
     # --- streams -----------------------------------------------------------------------
     @cached_property
     def ingested(self) -> Layout:
@@ -355,6 +374,13 @@ def _swept_layers(i: Inputs) -> DataFrame:
     )
 
 
+def _raw_variant_paths(i: Inputs) -> DataFrame:
+    """Fields of the messages that raw has no columns for, a nested one and one that no message has among them."""
+    return messages.message_fields(i.variants.raw(i.spark), VARIANT_FIELDS).select(
+        "badge_id", "event_timestamp", *VARIANT_FIELDS
+    )
+
+
 def _rejects(i: Inputs) -> DataFrame:
     decoded = messages.decode_messages(fixture.messages(i.events), F.col("timestamp"))
     return messages.rejected_events(decoded).withColumn(
@@ -452,6 +478,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ingest_parse": lambda i: messages.parse_messages(fixture.messages(i.events), F.col("timestamp")),
     "ingest_rejects": _rejects,
     "signal_quality": _signal_quality,
+    "raw_variant_paths": _raw_variant_paths,
     # staging, dimensions, facts
     "stage_dedup": lambda i: staging.stage(i.raw, _staging_time()),
     "latest_rows_for_badge": lambda i: staging.latest_rows(i.raw, BADGE).select(*messages.RAW_COLUMNS),

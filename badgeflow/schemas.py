@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
-    StructField, StructType, TimestampNTZType,
+    StructField, StructType, TimestampNTZType, VariantType,
 )
 
 TEXT, LONG, INT, BYTES = StringType(), LongType(), IntegerType(), BinaryType()
 FLAG, DAY, MOMENT, REAL = BooleanType(), DateType(), TimestampNTZType(), DoubleType()
 SIGNAL, DEGREES, DIGEST = DecimalType(5, 2), DecimalType(10, 6), DecimalType(38, 0)
+VARIANT = VariantType()
 
 
 def _table(**columns: DataType) -> StructType:
@@ -154,6 +155,7 @@ REJECTS = StructType([*REJECTS.fields, StructField("broken_rules", ArrayType(TEX
 
 # The same tables as files: with the columns that only the folders carry.
 RAW_FILES = _with(RAW, message_bytes=INT, ingestion_date=DAY, run=TEXT, batch_id=LONG)
+RAW_VARIANT_FILES = StructType([StructField(f.name, VARIANT) if f.name == "raw_json" else f for f in RAW_FILES])
 REJECTS_FILES = _with(REJECTS, ingestion_date=DAY, run=TEXT, batch_id=LONG)
 STAGING_FILES = _with(STAGING, load_date=DAY, run=TEXT, batch_id=LONG)
 FIRST_EVENTS_FILES = _with(_EVENT, event_date=DAY, run=TEXT, batch_id=LONG)

@@ -113,5 +113,19 @@ def rejected_events(decoded: DataFrame) -> DataFrame:
     return decoded.where(bad).withColumn("broken_rules", broken_rules())
 
 
+def message_variant(text: str = "raw_json") -> Column:
+    """The message as a variant; one that is no strict JSON (a key twice, single quotes) as a variant of its text."""
+    return F.coalesce(F.try_parse_json(text), F.col(text).cast("variant"))
+
+
+def message_fields(raw: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Fields of variant messages next to the raw columns, as ``{name: (path, type)}``.
+
+    A path that a message lacks, or whose value is of no fitting type, gives null. Nothing is parsed again, and the scan
+    reads the named paths only, from their own Parquet columns where they were shredded.
+    """
+    return raw.withColumns({name: F.try_variant_get("raw_json", path, kind) for name, (path, kind) in fields.items()})
+
+
 def parse_messages(messages: DataFrame, ingestion_time: AsOf = None) -> DataFrame:
     return shape_events(decode_messages(messages, ingestion_time))

@@ -21,6 +21,7 @@ from badgeflow import schemas
 from badgeflow.functions.clock import AsOf
 from badgeflow.operators.feed import table_changes
 from badgeflow.sources import files
+from badgeflow.sources.messages import message_variant
 from badgeflow.sources.seeds import fill_columns, seed_users, seed_zones
 
 BATCHED = {
@@ -42,7 +43,11 @@ BY_HAND = "by-hand"
 
 @dataclass(frozen=True)
 class Layout:
+    """With ``variant`` the messages of raw are kept as variants in place of text: Spark shreds their common fields into
+    Parquet columns of their own, and ``messages.message_fields`` reads single fields. A layout keeps one kind for good."""
+
     root: str
+    variant: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -54,16 +59,19 @@ class Layout:
     def _read(self, spark: SparkSession, table: str, schema: StructType) -> DataFrame:
         return spark.read.schema(schema).parquet(self.path(table))
 
+    def _schema(self, name: str) -> StructType:
+        return schemas.RAW_VARIANT_FILES if name == "raw" and self.variant else BATCHED[name][0]
+
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """A table of batches, with the columns of its folders."""
-        return self._read(spark, name, BATCHED[name][0])
+        return self._read(spark, name, self._schema(name))
 
     def raw(self, spark: SparkSession) -> DataFrame:
         return self.table(spark, "raw")
 
     def raw_stream(self, spark: SparkSession, max_files: int | None = None) -> DataFrame:
         """Raw rows of open days with the file they come from, in column ``file``."""
-        reader = spark.readStream.schema(schemas.RAW_FILES).option("basePath", self.path("raw"))
+        reader = spark.readStream.schema(self._schema("raw")).option("basePath", self.path("raw"))
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
         open_days = f"{self.path('raw')}/ingestion_date=*/run=[^{CLOSED[0]}]*"
@@ -113,7 +121,7 @@ class Layout:
 
     def batch(self, spark: SparkSession, name: str, run: str, batch_id: int) -> DataFrame:
         """The rows of one batch, read from its own folders."""
-        schema, _ = BATCHED[name]
+        schema = self._schema(name)
         folders = files.matching(spark, self._folders(name, run, batch_id))
         if not folders:
             return fill_columns(spark.range(0).select(), schema, {})
@@ -132,9 +140,17 @@ class Layout:
         seed_users(spark, as_of).coalesce(1).write.mode("ignore").parquet(self._version(0))
         return self
 
+    def raw_files(self, raw: DataFrame) -> DataFrame:
+        """Raw rows with the two columns only the files carry, and their message as the layout keeps it."""
+        rows = raw.withColumns({
+            "message_bytes": F.octet_length("raw_json"),
+            "ingestion_date": F.to_date("ingestion_time"),
+        })
+        return rows.withColumn("raw_json", message_variant()) if self.variant else rows
+
     def append_raw(self, raw: DataFrame) -> None:
         """Append rows to raw by hand, as a batch of their own."""
-        self.write_batch(raw_files(raw), "raw", f"{BY_HAND}-{uuid.uuid4().hex}", 0)
+        self.write_batch(self.raw_files(raw), "raw", f"{BY_HAND}-{uuid.uuid4().hex}", 0)
 
     def write_batch(self, rows: DataFrame, name: str, run: str, batch_id: int, few_days: bool = False) -> None:
         """Write a batch, in place of what an earlier attempt of it may have written.
@@ -212,7 +228,7 @@ class Layout:
         column = BATCHED[name][1]
         folder = f"{column}={day}"
         if not self._closing(spark, name, folder):
-            rows = self._of_folder(spark, name, BATCHED[name][0], f"{folder}/run=*/batch_id=*")
+            rows = self._of_folder(spark, name, self._schema(name), f"{folder}/run=*/batch_id=*")
             if rows is None:
                 return
             if name == "raw" and self.unstaged(spark, with_file(rows)).take(1):
@@ -295,14 +311,6 @@ def _append_some(rows: DataFrame, path: str) -> None:
         kept.unpersist()
 
 
-def raw_files(raw: DataFrame) -> DataFrame:
-    """Raw rows with the two columns only the files carry."""
-    return raw.withColumns({
-        "message_bytes": F.octet_length("raw_json"),
-        "ingestion_date": F.to_date("ingestion_time"),
-    })
-
-
 def with_file(rows: DataFrame) -> DataFrame:
     """Rows of files with the file's path in column ``file``."""
     return rows.withColumn("file", F.col("_metadata.file_path"))

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from badgeflow.functions.clock import AsOf
 from badgeflow.session import configure
 from badgeflow.sources.messages import decode_messages, read_messages, rejected_events, shape_events
-from badgeflow.sources.tables import Layout, raw_files
+from badgeflow.sources.tables import Layout
 from badgeflow.streaming.runs import run_of
 
 
@@ -17,7 +17,7 @@ def write_messages(layout: Layout, decoded: DataFrame, run: str, batch_id: int)
     """Good rows of a batch to raw, all others to the rejects, from one parse."""
     kept = decoded.persist()
     try:
-        layout.write_batch(raw_files(shape_events(kept)), "raw", run, batch_id)
+        layout.write_batch(layout.raw_files(shape_events(kept)), "raw", run, batch_id)
         rejects = rejected_events(kept).withColumn("ingestion_date", F.to_date("ingestion_time"))
         layout.write_batch(rejects, "rejects", run, batch_id)
     finally:

@@ -269,6 +269,17 @@ _STATEMENTS = {
         direction, ingestion_time, raw_json, 'badge_id missing' AS broken_rules
       FROM messages WHERE badge_id IS NULL""",
     "signal_quality": "SELECT signal_strength, signal_quality, count(*) AS row_count FROM raw GROUP BY ALL",
+    "raw_variant_paths": """
+      SELECT badge_id, event_timestamp::TIMESTAMP AS event_timestamp, json_extract(grown, '$.event_id')::BIGINT AS event_id,
+        json_extract(grown, '$.signal_strength')::DOUBLE AS exact_signal, json_extract_string(grown, '$.reader.firmware') AS firmware,
+        json_extract(grown, '$.reader.hops[1]')::INTEGER AS second_hop, NULL::INTEGER AS zone_as_number,
+        json_extract_string(grown, '$.reader.serial') AS serial
+      FROM (
+        SELECT *, CASE WHEN event_id % 3 = 0
+          THEN left(raw_json, length(raw_json) - 1) || ',"reader":{"firmware":"v' || event_id % 4
+            || '","hops":[' || event_id % 5 || ',' || event_id % 7 || ']}}'
+          ELSE raw_json END AS grown
+        FROM messages WHERE badge_id IS NOT NULL)""",
     "stage_dedup": "SELECT * FROM staging",
     "latest_rows_for_badge": """
       SELECT * EXCLUDE (redelivery, event_id) FROM raw WHERE badge_id = 'BADGE-000008'

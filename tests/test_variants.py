@@ -1,0 +1,74 @@
+"""Raw messages kept as variants: nothing is lost, single fields are read, and the scan reads only these."""
+
+import glob
+
+import pyarrow.parquet as pq
+import pytest
+from badgeflow.sources.messages import decode_messages, message_fields
+from badgeflow.sources.tables import Layout
+from badgeflow.streaming import changes, ingest
+from helpers import AS_OF, message, messages, rows
+from pyspark.sql import functions as F
+
+FIELDS = {
+    "floor": ("$.reader.floor", "int"), "tag": ("$.reader.tags[1]", "string"), "signal": ("$.signal_strength", "double"),
+    "none": ("$.reader.none.deeper", "string"), "badge_as_number": ("$.badge_id", "int"),
+}
+
+
+@pytest.fixture
+def layout(spark, tmp_path):
+    return Layout(str(tmp_path / "tables"), variant=True).create(spark, AS_OF)
+
+
+def write(spark, layout, *lines):
+    ingest.write_messages(layout, decode_messages(messages(spark, *lines), AS_OF), "stream-a", 0)
+
+
+def field_rows(spark, layout):
+    return rows(message_fields(layout.raw(spark), FIELDS).select("badge_id", *FIELDS).orderBy("badge_id"))
+
+
+def test_fields_of_messages(spark, layout):
+    write(
+        spark, layout, message(badge_id="B1", reader={"floor": 3, "tags": ["a", "b"]}), message(badge_id="B2"),
+        message(badge_id="B3", reader="R", signal_strength="-70"), message(badge_id="B4", reader={"floor": None, "tags": []}),
+        message(badge_id="5", reader={"floor": "x"}),
+    )
+    assert field_rows(spark, layout) == [
+        ("5", None, None, -65.5, None, 5), ("B1", 3, "b", -65.5, None, None), ("B2", None, None, -65.5, None, None),
+        ("B3", None, None, -70.0, None, None), ("B4", None, None, -65.5, None, None),
+    ]
+
+
+def test_a_message_that_is_no_strict_json_is_kept_as_text(spark, layout):
+    twice = message(badge_id="B1")[:-1] + ', "zone_id": "Z"}'
+    quoted = message(badge_id="B2").replace('"', "'")
+    write(spark, layout, twice, quoted, message(badge_id="B3"))
+    held = layout.raw(spark)
+    kept = held.select(F.try_variant_get("raw_json", "$", "string").alias("text"), "message_bytes").where("badge_id <> 'B3'")
+    assert sorted(r.text for r in kept.collect()) == sorted([twice, quoted])
+    assert held.count() == 3 and kept.where(F.octet_length("text") != F.col("message_bytes")).isEmpty()
+    assert [r[3] for r in field_rows(spark, layout)] == [None, None, -65.5]
+
+
+def test_common_fields_are_shredded_and_read_alone(spark, layout):
+    write(spark, layout, *[message(badge_id=f"B{n}", reader={"floor": n, "note": "x" * 200}) for n in range(50)])
+    file = glob.glob(f"{layout.path('raw')}/**/*.parquet", recursive=True)[0]
+    columns = pq.ParquetFile(file).schema.to_arrow_schema().field("raw_json").type
+    assert "typed_value" in [columns.field(n).name for n in range(columns.num_fields)]
+    floors = message_fields(layout.raw(spark), {"floor": ("$.reader.floor", "int")}).select("floor")
+    assert sorted(r.floor for r in floors.collect()) == list(range(50))
+    assert "ReadSchema: struct<raw_json:struct<0:int>>" in floors._jdf.queryExecution().explainString(
+        floors.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def test_followed_merged_and_empty(spark, layout):
+    assert field_rows(spark, layout) == []
+    write(spark, layout, *[message(badge_id=f"B{n}", reader={"floor": n, "tags": []}) for n in range(3)])
+    before = field_rows(spark, layout)
+    handle = changes.batch_handler(layout, AS_OF, AS_OF, AS_OF)
+    changes.follow_raw(spark, layout, handle=handle).awaitTermination()
+    assert layout.fact(spark).count() == 3
+    layout.close_day(spark, "raw", AS_OF[:10])
+    assert field_rows(spark, layout) == before and layout.batch(spark, "raw", "stream-a", 0).isEmpty()

@@ -2,14 +2,16 @@
 
 Of each text, the hashes of all runs of ``K`` words are taken, and from every ``WINDOW`` neighbouring
 ones the smallest is kept as a fingerprint. Two texts that share ``K + WINDOW - 1`` words in a row share
-all hashes of one such window, hence a fingerprint. Fingerprints of documents and benchmark items are
-joined on the hash; each hit is extended word by word to both sides, and counts when it reaches the
-guaranteed length. Items shorter than that are one window each, looked up as a whole.
+all hashes of one such window, hence a fingerprint. Each fingerprint of a document that the benchmark
+has too is extended to the windows of which it is the smallest hash, and fingerprint and window are joined
+with those of the benchmark: a run that many texts have in other surroundings meets nothing. Items shorter
+than a window are one window each, looked up as a whole.
 
-Only fingerprints that pass a bit table of the benchmark's (fixed size, whatever the benchmark's) leave
-the scan of the documents, so what is shuffled follows the suspect passages, not the corpus. The join's
-sides are plain, so Spark broadcasts the benchmark if it measures it small and otherwise splits a hot
-fingerprint over tasks.
+Only fingerprints that pass a bit table of the benchmark's (as large as its fingerprints need, at most 16 MB)
+leave the scan of the documents, so what is shuffled follows the suspect passages, not the corpus. The
+benchmark holds each window once. Windows of the same items are one class, told by the number and two
+digests of its items; documents carry classes, and items are listed once for each set of classes that
+occurs, so that a passage of many items is never copied along with its hits.
 
 Defined cases: a null text has no words. Identical rows are judged once; a doc_id (null too) with several
 texts gives a row for each. Items without words are ignored; those without an id count as hits, but are in no list
@@ -29,59 +31,60 @@ from badgeflow.llm.common import Words, column_type, slices, words_of, written
 
 K, WINDOW = 5, 6
 SPAN = K + WINDOW - 1
-#: Bits of the table of benchmark fingerprints, as a power of two: 2 MB.
-TABLE_BITS = 24
+#: Bits of the table of benchmark fingerprints: so many for each, and at most a power of two, 16 MB.
+BITS_EACH, MAX_BITS = 64, 27
 
-_FOUND = "array<struct<hash:bigint,span:int,pos:int,before:int,words:string>>"
-_FOUND_ARROW = pa.struct(
-    [("hash", pa.int64()), ("span", pa.int32()), ("pos", pa.int32()), ("before", pa.int32()), ("words", pa.string())]
-)
+_FOUND = "array<struct<hash:bigint,span:int,pos:int,words:string>>"
+_FOUND_ARROW = pa.struct([("hash", pa.int64()), ("span", pa.int32()), ("pos", pa.int32()), ("words", pa.string())])
+_KEY = ["hash", "span", "words"]
 
 
-def fingerprints(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Word positions and hashes of the kept runs: smallest of a window, every one of equal smallest."""
+def _minima(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash of each run, whether it is within one text, and the smallest of the window from each run on.
+
+    0 marks a window that is not within one text.
+    """
     hashes, whole = words.grams(K)
-    n = len(hashes) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = hashes | np.uint64(1)  # 0 marks a window that is not within one text
+    hashes = hashes | np.uint64(1)
+    n = max(0, len(hashes) - WINDOW + 1)
     least = hashes[:n].copy()
     for i in range(1, WINDOW):
         np.minimum(least, hashes[i : n + i], out=least)
     least[words.doc[:n] != words.doc[SPAN - 1 : SPAN - 1 + n]] = 0
+    return hashes, whole, least
+
+
+def fingerprints(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Word positions and hashes of the kept runs: smallest of a window, every one of equal smallest."""
+    hashes, whole, least = _minima(words)
+    n = len(least)
     best = np.zeros(len(hashes), np.uint64)  # the largest of the minima of the windows around a run
-    for i in range(WINDOW):
+    for i in range(WINDOW if n else 0):
         np.maximum(best[i : n + i], least, out=best[i : n + i])
     at = np.flatnonzero((best == hashes) & whole)
     return at, hashes[at]
 
 
 def found(words: Words, lengths: list[int], known: np.ndarray | None) -> list[tuple]:
-    """(text, hash, span, pos, before, words) of fingerprints, with the words that an extension can reach.
+    """(text, hash, span, pos, words) of the windows whose fingerprint is known.
 
-    span is 0 for a winnowed run and the length of a short item's window otherwise.
+    span is the number of words: SPAN, or the length of a short item.
     """
     def passing(h):
         if known is None:
             return np.ones(len(h), bool)
-        bit = h & np.uint64((1 << TABLE_BITS) - 1)
+        bit = (h >> np.uint64(1)) & np.uint64(len(known) * 64 - 1)
         return (known[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
 
     first = np.cumsum(words.counts) - words.counts
-    last = first + words.counts - 1
+    least = _minima(words)[2]
+    windows = [(SPAN, least, least != 0), *((k, *words.grams(k)) for k in lengths)]
     out = []
-    at, hashes = fingerprints(words)
-    ok = passing(hashes)
-    for i, h in zip(at[ok].tolist(), hashes[ok].view(np.int64).tolist()):
-        d = words.doc[i]
-        a, b = max(first[d], i - WINDOW + 1), min(last[d], i + SPAN - 1)
-        out.append((int(d), h, 0, int(i - first[d]), int(i - a), words.text(a, b)))
-    for k in lengths:
-        hashes, whole = words.grams(k)
+    for k, hashes, whole in windows:
         ok = np.flatnonzero(whole & passing(hashes))
         for i, h in zip(ok.tolist(), hashes[ok].view(np.int64).tolist()):
             d = words.doc[i]
-            out.append((int(d), h, k, int(i - first[d]), 0, words.text(i, i + k - 1)))
+            out.append((int(d), h, k, int(i - first[d]), words.text(i, i + k - 1)))
     return out
 
 
@@ -109,60 +112,67 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece, texts in slices(batches):
         words = words_of(texts)
         short = sorted({int(c) for c in words.counts if 0 < c < SPAN})
-        rows = [r for r in found(words, short, None) if r[2] in (0, words.counts[r[0]])]
+        rows = [r for r in found(words, short, None) if r[2] in (SPAN, words.counts[r[0]])]
         yield pa.RecordBatch.from_arrays([piece.column("item_id"), _nested(rows, len(texts))], names=["item_id", "found"])
 
 
-def benchmark_fingerprints(benchmark: DataFrame) -> DataFrame:
-    """hash, span, before, words, items: equal passages of several items are one row."""
+def benchmark_windows(benchmark: DataFrame) -> DataFrame:
+    """hash, span, words, item_id: each window of each item once."""
     return (
         benchmark.select("item_id", "text")
         .mapInArrow(_item_rows, f"item_id {column_type(benchmark, 'item_id')}, found {_FOUND}")
         .select("item_id", F.inline("found"))
-        .groupBy("hash", "span", "before", "words")
-        .agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+        .select("item_id", *_KEY).distinct()
+    )
+
+
+def _classes(links: DataFrame) -> DataFrame:
+    """hash, span, words, item_class of each window; the class is null where no item has an id."""
+    item = F.col("item_id")
+    digests = [F.bit_xor(F.when(item.isNotNull(), F.xxhash64(*salt, item))) for salt in ([], [F.lit("second")])]
+    return links.groupBy(*_KEY).agg(F.concat_ws(":", F.nullif(F.count(item), F.lit(0)), *digests).alias("c")).select(
+        *_KEY, F.when(F.col("c") != "", F.col("c")).alias("item_class")
     )
 
 
-def _bit_table(items: DataFrame) -> np.ndarray:
-    """At most 2 ** TABLE_BITS / 64 words reach the driver."""
-    low = F.col("hash").bitwiseAND((1 << TABLE_BITS) - 1)
+def _bit_table(windows: DataFrame) -> np.ndarray:
+    """At most 2 ** MAX_BITS / 64 words reach the driver."""
+    hashes = windows.select("hash").distinct()
+    bits = min(MAX_BITS, max(12, (hashes.count() * BITS_EACH).bit_length()))
+    low = F.shiftrightunsigned("hash", 1).bitwiseAND((1 << bits) - 1)
     words = (
-        items.select(F.shiftright(low, 6).alias("word"), F.expr(f"shiftleft(1L, cast(hash & 63 AS int))").alias("bit"))
+        hashes.select(low.alias("low"))
+        .select(F.shiftright("low", 6).alias("word"), F.expr("shiftleft(1L, cast(low & 63 AS int))").alias("bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
     )
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table = np.zeros(1 << (bits - 6), np.int64)
     for row in words.toLocalIterator():
         table[row.word] = row.bits
     return table.view(np.uint64)
 
 
-def _extended(pos: Column, before: Column, words: Column, item_before: Column, item_words: Column) -> Column:
-    """First and last document word of the run of equal words around a hit; null if it is too short."""
-    own, other = F.split(words, " "), F.split(item_words, " ")
-
-    def fits(back: Column) -> Column:
-        mine, theirs = F.slice(own, before - back + 1, SPAN), F.slice(other, item_before - back + 1, SPAN)
-        return (F.size(mine) == SPAN) & (mine == theirs)
-
-    backs = F.filter(F.sequence(F.lit(0), F.least(before, item_before)), fits)
-    return F.when(
-        F.size(backs) > 0,
-        F.struct((pos - F.array_max(backs)).alias("a"), (pos - F.array_min(backs) + SPAN - 1).alias("b")),
-    )
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, runs (word ranges a..b inside benchmark windows), items (their item ids, ascending)."""
-    return _judged(docs, benchmark).drop("text_key")
+    """doc_id, n_words, runs (word ranges a..b of benchmark windows), items (their item ids, ascending)."""
+    links = written(benchmark_windows(benchmark), "benchmark-windows")
+    windows = written(_classes(links), "benchmark-classes")
+    judged = written(_judged(docs, windows), "contamination")
+    # the items of a class are those of any of its windows
+    one = windows.where("item_class IS NOT NULL").groupBy("item_class").agg(F.min(F.struct(*_KEY)).alias("w"))
+    members = one.select("item_class", "w.*").join(links, _KEY).where("item_id IS NOT NULL").select("item_class", "item_id")
+    sets = (
+        judged.where(F.size("classes") > 0).select("classes").distinct()
+        .select("classes", F.explode("classes").alias("item_class")).join(members, "item_class")
+        .groupBy("classes").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    )
+    none = F.array().cast(f"array<{column_type(benchmark, 'item_id')}>")
+    return judged.join(sets, "classes", "left").select("doc_id", "n_words", "runs", F.coalesce("items", none).alias("items"))
 
 
-def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    spark = docs.sparkSession
-    items = written(benchmark_fingerprints(benchmark), "benchmark-fingerprints")
-    lengths = [r.span for r in items.where("span > 0").select("span").distinct().collect()]  # 1 to 9
-    known = spark.sparkContext.broadcast(_bit_table(items))
-    judged = (
+def _judged(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_words, runs, classes (of the windows that occur, ascending)."""
+    lengths = [r.span for r in windows.where(F.col("span") < SPAN).select("span").distinct().collect()]  # 1 to 9
+    known = docs.sparkSession.sparkContext.broadcast(_bit_table(windows))
+    suspects = (
         docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
         .mapInArrow(
             _document_rows(sorted(lengths), known),
@@ -171,27 +181,19 @@ def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("doc_id", "text_key", "n_words", F.explode_outer("found").alias("f"))
         # a document without suspects keeps a row, under a key of its own that joins with nothing
         .select(
-            "doc_id", "text_key", "n_words", F.col("f.pos"), F.col("f.before"), F.col("f.words"),
+            "doc_id", "text_key", "n_words", F.col("f.pos"), F.col("f.words"),
             F.coalesce("f.hash", F.xxhash64("doc_id", "text_key")).alias("hash"),
             F.coalesce("f.span", F.lit(-1)).alias("span"),
         )
-        .alias("d")
-        .join(items.alias("i"), ["hash", "span"], "left")
-        .withColumn(
-            "run",
-            F.when(
-                F.col("span") == 0,
-                _extended(*[F.col(c) for c in ("pos", "d.before", "d.words", "i.before", "i.words")]),
-            ).when(
-                F.col("d.words") == F.col("i.words"),
-                F.struct(F.col("pos").alias("a"), (F.col("pos") + F.col("span") - 1).alias("b")),
-            ),
-        )
     )
-    return judged.groupBy("doc_id", "text_key").agg(
-        F.max("n_words").alias("n_words"),
-        F.sort_array(F.collect_set("run")).alias("runs"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("run").isNotNull(), F.col("items")))))).alias("items"),
+    run = F.struct(F.col("pos").alias("a"), (F.col("pos") + F.col("span") - 1).alias("b"))
+    return (
+        suspects.join(windows.withColumn("hit", F.lit(True)), _KEY, "left")
+        .groupBy("doc_id", "text_key").agg(
+            F.max("n_words").alias("n_words"),
+            F.sort_array(F.collect_set(F.when(F.col("hit"), run))).alias("runs"),
+            F.sort_array(F.collect_set("item_class")).alias("classes"),
+        )
     )
 
 
@@ -208,7 +210,8 @@ def hit_words(runs: Column) -> Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any benchmark window, as they are. Rows are named by id and text."""
-    leaked = _judged(docs, benchmark).where(F.size("runs") > 0).select(F.col("doc_id").alias("leaked_id"), F.col("text_key").alias("leaked_key"))
+    windows = written(benchmark_windows(benchmark).select(*_KEY).distinct().withColumn("item_class", F.lit(None).cast("string")), "benchmark-windows")
+    leaked = _judged(docs, windows).where(F.size("runs") > 0).select(F.col("doc_id").alias("leaked_id"), F.col("text_key").alias("leaked_key"))
     leaked = written(leaked.distinct(), "contaminated")  # so that the join knows its size
     d = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("leaked_id")) & (F.xxhash64("row.text") == F.col("leaked_key"))

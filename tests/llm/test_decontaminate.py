@@ -67,6 +67,26 @@ def test_every_shared_span_of_the_guaranteed_length_has_a_common_fingerprint():
         assert kept[0] & kept[1]
 
 
+def test_passages_of_many_items_and_runs_in_other_surroundings(spark, documents):
+    """A passage that a third of all items share, and five words that all items and documents have, each among other words."""
+    rng = random.Random(4)
+    shared = prose(rng, 25)
+    common = "one two three four five"
+    around = lambda: f"{prose(rng, 6)} {common} {prose(rng, 6)}"
+    items = [(i, f"{around()} {shared if i % 3 == 0 else ''}") for i in range(90)]
+    items += [(i, "a third shorter one") for i in range(200, 240)] + [(None, prose(rng, 15))]
+    docs = [(d, f"{around()} {shared if d % 3 == 0 else ''} {items[d][1] if d % 7 == 0 else ''}") for d in range(80)]
+    docs += [(90, "so a third shorter one is"), (91, items[-1][1])]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert set(result(documents(docs), table)) == brute(docs, items)
+    windows = decontaminate.benchmark_windows(table)
+    assert windows.count() == windows.distinct().count()
+    classes = decontaminate._classes(windows)
+    assert classes.count() == windows.select("hash", "span", "words").distinct().count()
+    # each window of a document meets one window of the benchmark at most
+    assert classes.groupBy("hash", "span", "words").count().where("count > 1").isEmpty()
+
+
 def test_clean_documents_keeps_columns_and_odd_rows(spark, documents):
     passage = " ".join(f"w{i}" for i in range(10))
     docs = documents([(1, "so " + passage), (2, passage.replace("w5", "x")), *ODD])

@@ -89,9 +89,12 @@ def found(words: Words, lengths: list[int], known: np.ndarray | None) -> list[tu
 
 
 def _nested(rows: list[tuple], n: int) -> pa.Array:
-    rows = sorted(rows)
-    ends = np.cumsum(np.bincount([r[0] for r in rows], minlength=n)) if rows else np.zeros(n, np.int64)
-    flat = pa.array([dict(zip(_FOUND_ARROW.names, r[1:])) for r in rows], _FOUND_ARROW)
+    """The rows of each of n texts as an array of structs."""
+    rows = sorted(rows, key=lambda r: r[0])
+    columns = list(zip(*rows)) or [()] * (1 + len(_FOUND_ARROW))
+    ends = np.cumsum(np.bincount(np.array(columns[0], np.int64), minlength=n))
+    fields = [pa.array(values, field.type) for values, field in zip(columns[1:], _FOUND_ARROW)]
+    flat = pa.StructArray.from_arrays(fields, fields=list(_FOUND_ARROW))
     return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), flat)
 
 
@@ -164,8 +167,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("classes", F.explode("classes").alias("item_class")).join(members, "item_class")
         .groupBy("classes").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
     )
+    sets = written(sets, "contamination-items")  # so that the join knows its size
     none = F.array().cast(f"array<{column_type(benchmark, 'item_id')}>")
-    return judged.join(sets, "classes", "left").select("doc_id", "n_words", "runs", F.coalesce("items", none).alias("items"))
+    # documents without a class are no group of their own: each has its own part
+    part = F.when(F.size("classes") == 0, F.xxhash64("doc_id", "text_key")).otherwise(F.lit(0)).alias("part")
+    return (
+        judged.select("*", part).join(sets.withColumn("part", F.lit(0).cast("bigint")), ["classes", "part"], "left")
+        .select("doc_id", "n_words", "runs", F.coalesce("items", none).alias("items"))
+    )
 
 
 def _judged(docs: DataFrame, windows: DataFrame) -> DataFrame:

@@ -99,3 +99,16 @@ def test_frequent_ids_take_one_byte(spark, documents, tmp_path):
 
 def test_empty_table(documents):
     assert token_files.written_and_read(documents([]), PATH).collect() == []
+
+
+def test_a_task_leaves_no_words_in_the_worker(library):
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    texts = [prose(rng, 40) for _ in range(30)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    out = list(token_files._tokenized(PATH, token_files.END_ID)([batch]))
+    ids = [np.frombuffer(x, token_files.word_cache(PATH).dtype).tolist() for b in out for x in b.column("ids").to_pylist()]
+    assert ids == [e.ids + [token_files.END_ID] for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert len(token_files.word_cache(PATH)) == 0
+    assert token_files.CACHED_WORDS <= 200_000
